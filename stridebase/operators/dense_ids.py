@@ -2,40 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridebase.sources.tables import cut_lineage
+from stridebase.operators.slices import place_in_slices, running_total
 
 
 def dense_ranks(df: DataFrame, column: str, rank: str) -> DataFrame:
-    """Distinct values of ``column`` with their dense rank; NULL counts as the least value.
-
-    The distinct values are range-partitioned into slices, each slice numbers its own
-    values, and a slice starts where the ones before it end. The slices are written out
-    because both the counting and the numbering must see the same cut, and range
-    boundaries are sampled anew whenever a plan is run again.
-    """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut_lineage(
-        df.select(column)
-        .distinct()
-        .repartitionByRange(slices, F.asc_nulls_first(column))
-        .withColumn("slice", F.spark_partition_id()),
-        f"slices-{column}",
-    )
-    # One row per slice, so at most spark.sql.shuffle.partitions rows: safe for a window
-    # without partitions and for a broadcast.
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("slice")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select("slice", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    )
-    within = Window.partitionBy("slice").orderBy(F.asc_nulls_first(column))
-    return placed.join(F.broadcast(starts), "slice").select(
-        column, (F.col("start") + F.row_number().over(within)).cast("int").alias(rank)
-    )
+    """Distinct values of ``column`` with their dense rank; NULL counts as the least value."""
+    values = df.select(column).distinct().withColumn("step", F.lit(1))
+    ranked = running_total(place_in_slices(values, column), column, "step", rank)
+    return ranked.select(column, F.col(rank).cast("int"))
 
 
 def with_dense_ids(df: DataFrame, ids: dict[str, str]) -> DataFrame:
@@ -46,8 +23,7 @@ def with_dense_ids(df: DataFrame, ids: dict[str, str]) -> DataFrame:
     """
     out = df
     for rank, column in ids.items():
-        ranks = dense_ranks(df, column, rank).withColumnRenamed(column, f"{rank}_value")
-        out = out.join(ranks, out[column].eqNullSafe(ranks[f"{rank}_value"]), "left").drop(
-            f"{rank}_value"
-        )
+        key = f"{rank}_value"
+        ranks = dense_ranks(df, column, rank).withColumnRenamed(column, key)
+        out = out.join(ranks, out[column].eqNullSafe(ranks[key]), "left").drop(key)
     return out

@@ -67,8 +67,9 @@ def percent(part: str, whole: str, digits: int) -> Column:
 def describe(df: DataFrame) -> DataFrame:
     """``column, count, mean, stddev, min, max`` for every column.
 
-    Mean and deviation of text are those of the values that are numbers; least and
-    greatest are given as text.
+    The figures of Spark's own ``describe``, in long form and from one aggregate. Mean and
+    deviation of text are those of the values that Spark can cast to a number ("6d" is
+    6); least and greatest are given as text.
     """
     number = lambda c: c.try_cast("double")
     return _long_form(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from stridebase.functions import clock, keys, speed, units
 from stridebase.functions.text import strip
 from stridebase.operators.profiling import percent
+from stridebase.operators.quantiles import exact_quantiles
 from stridebase.plans import explore
 from stridebase.plans.silver import finishing_seconds, in_scope
 
@@ -98,17 +100,10 @@ def performance_seconds_parsed(races: DataFrame) -> DataFrame:
 
 
 def speed_quartiles(races: DataFrame) -> DataFrame:
-    """Least, quartiles and greatest of the digits of the speed, outliers included.
-
-    The quartiles come from a sketch of bounded size, so no task holds the values.
-    """
+    """Least, quartiles and greatest of the digits of the speed, outliers included."""
     number = speed.speed_digits(F.col("athlete_average_speed")).cast("double")
-    return races.agg(
-        F.min(number).alias("min_speed"),
-        F.percentile_approx(number, 0.25).alias("q1_speed"),
-        F.percentile_approx(number, 0.75).alias("q3_speed"),
-        F.max(number).alias("max_speed"),
-    )
+    points = {"min_speed": 0.0, "q1_speed": 0.25, "q3_speed": 0.75, "max_speed": 1.0}
+    return exact_quantiles(races.select(number.alias("speed_num")), "speed_num", points)
 
 
 def cleaning_report(races: DataFrame) -> DataFrame:
@@ -199,6 +194,7 @@ def speed_stats(races: DataFrame) -> DataFrame:
 
 
 def speed_p99(races: DataFrame) -> DataFrame:
+    """Approximate on purpose: a sketch of bounded size, one pass, no shuffle of values."""
     return _clean_speeds(races).agg(F.percentile_approx("speed_float", 0.99).alias("p99_speed"))
 
 
@@ -246,8 +242,6 @@ def distance_counts_top(rows: DataFrame, measure: str, n: int = SAMPLE_ROWS) ->
 
 
 def _hours(seconds: Column) -> Column:
-    from decimal import Decimal
-
     return F.round(seconds / F.lit(Decimal("3600.0")), 2).cast("double")
 
 

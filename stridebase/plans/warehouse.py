@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stridebase.plans import gold, marts
 from stridebase.plans.silver import clean_results
+from stridebase.plans.star_queries import Star
 from stridebase.session import shared_folder
 from stridebase.sources.order_races import races_from_orders
 from stridebase.sources.tables import create_schema, drop_table, refresh_table
@@ -38,9 +39,14 @@ class Warehouse:
         self.spark: SparkSession = races.sparkSession
         self._races = races
         self._prefix = prefix
+        self.location = location
         for layer in ("bronze", "silver", "gold"):
             create_schema(self.spark, self.schema(layer), f"{location}/{layer}")
 
+    @property
+    def star(self) -> Star:
+        return Star(self.fct_results, self.dim_athlete, self.dim_event, self.dim_time)
+
     def schema(self, layer: str) -> str:
         return f"{self._prefix}{layer}"
 

@@ -6,7 +6,7 @@ already there, and the outcome equals a batch run over all files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -33,7 +33,6 @@ def refresh_silver(
     target: str,
     checkpoint: str,
     countries: Sequence[str] = EUROPE,
-    clean: Callable[..., DataFrame] = clean_results,
 ) -> StreamingQuery:
     """Clean all files that are new since the last run, append them, and stop.
 
@@ -41,7 +40,7 @@ def refresh_silver(
     what makes a repeated or interrupted run write each file exactly once.
     """
     return (
-        clean(races, countries)
+        clean_results(races, countries)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
