@@ -139,7 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "speed_quartiles": lambda w: reports.speed_quartiles(w.races),
         "cleaning_report": lambda w: reports.cleaning_report(w.races),
         # Exploratory cleanings
-        "explore_clean": lambda w: explore.explore_clean(w.races, V1),
+        "explore_clean": lambda w: explore.explore_clean(w.races, V1).drop("speed_number"),
         "explore_silver_v1": lambda w: explore.explore_silver(w.races, V1),
         "explore_silver_v2": lambda w: explore.explore_silver(w.races, V2),
         "dense_ids_event": lambda w: _dense_ids(w, "event_name", "event_id"),

@@ -1,38 +1,62 @@
 """Finishing times: text to seconds and back."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import strip, truncated_number, whole_number
+from .text import FINITE_NUMBER, INTEGER, before, second_field, strip, whole_number
 
 # Fixed values.
-UNIT_SUFFIX = r"\s*(h|km|mi)$"
+UNIT_SUFFIXES = ("h", "km", "mi")
+DAY_WORD = "day"
 SECONDS_PER_DAY, SECONDS_PER_HOUR, SECONDS_PER_MINUTE = 86400, 3600, 60
+CLOCK = rf"^\s*{INTEGER}\s*:\s*{INTEGER}\s*:\s*{FINITE_NUMBER}\s*$"
 
 
 def without_unit(performance: Column) -> Column:
-    return F.trim(F.regexp_replace(performance, UNIT_SUFFIX, ""))
+    """The performance without a unit at its end. Blanks before the unit stay; the readers
+    of times and of numbers ignore them."""
+    bare = performance
+    for suffix in UNIT_SUFFIXES:
+        shorter = F.left(performance, F.length(performance) - len(suffix))
+        bare = F.when(performance.endswith(suffix), shorter).otherwise(bare)
+    return bare
 
 
-def clock_to_seconds(text: Column) -> Column:
-    """Seconds of ``[N day(s), ]H:MM:SS``; NULL for any other text.
+def first_word(performance: Column) -> Column:
+    """The performance without unit, up to its first space."""
+    return before(strip(without_unit(performance)), " ")
+
+
+def with_seconds(df: DataFrame, performance: Column, name: str) -> DataFrame:
+    """Add ``name``: the seconds of ``[N day(s), ]H:MM:SS``, NULL for any other text.
 
     Fractions of a second are cut off, minutes and seconds above 59 are taken as they
-    are, and a total beyond 32 bits is NULL. Each part is bounded to 32 bits, so the
-    64-bit arithmetic cannot overflow.
+    are, and a total or part beyond 32 bits is NULL, so the 64-bit arithmetic cannot
+    overflow.
+
+    The steps are columns of their own because each is used several times by the next:
+    Spark keeps such projections apart and computes every step once per row.
     """
-    text = strip(text)
-    has_days = text.contains("day")
-    days = F.when(has_days, whole_number(F.split_part(strip(F.split_part(text, F.lit(","), F.lit(1))), F.lit(" "), F.lit(1))))
-    clock = F.when(has_days, strip(F.get(F.split(text, ","), F.lit(1)))).otherwise(text)
-    parts = F.split(clock, ":")
+    text, days, clock = (F.col(f"{name}_{step}") for step in ("text", "days", "clock"))
+    has_days = text.contains(DAY_WORD)
+    hours, minutes, seconds = before(clock, ":"), second_field(clock, ":"), F.substring_index(clock, ":", -1)
     total = (
-        F.when(has_days, days.cast("bigint")).otherwise(F.lit(0).cast("bigint")) * SECONDS_PER_DAY
-        + whole_number(F.get(parts, F.lit(0))).cast("bigint") * SECONDS_PER_HOUR
-        + whole_number(F.get(parts, F.lit(1))).cast("bigint") * SECONDS_PER_MINUTE
-        + truncated_number(F.get(parts, F.lit(2))).cast("bigint")
+        days.cast("bigint") * SECONDS_PER_DAY
+        + hours.try_cast("int").cast("bigint") * SECONDS_PER_HOUR
+        + minutes.try_cast("int").cast("bigint") * SECONDS_PER_MINUTE
+        + seconds.try_cast("double").try_cast("int").cast("bigint")
+    )
+    return (
+        df.withColumn(f"{name}_text", strip(performance))
+        .withColumns(
+            {
+                f"{name}_days": F.when(has_days, whole_number(before(before(text, ","), " "))).otherwise(F.lit(0)),
+                f"{name}_clock": F.when(has_days, second_field(text, ",")).otherwise(text),
+            }
+        )
+        .withColumn(name, F.when(clock.rlike(CLOCK), total).try_cast("int"))
+        .drop(f"{name}_text", f"{name}_days", f"{name}_clock")
     )
-    return F.when(F.size(parts) == 3, total).try_cast("int")
 
 
 def seconds_to_clock(seconds: Column) -> Column:

@@ -3,20 +3,17 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import before
+
 # Fixed values.
-NOT_DIGIT_OR_DOT = "[^0-9.]"
+NOT_DIGIT_OR_DOT = "[^0-9.]+"
 
 
 def speed_digits(speed: Column) -> Column:
     """Number left after dropping all but digits and dots; NULL if that is no number."""
-    return F.regexp_replace(speed, NOT_DIGIT_OR_DOT, "").try_cast("float")
-
-
-def is_plausible_speed(speed: Column, low: float, high: float) -> Column:
-    """No clock text, and the digits lie in ``[low, high]``. A missing speed fails."""
-    return ~speed.contains(":") & speed_digits(speed).between(F.lit(float(low)), F.lit(float(high)))
+    return F.nullif(F.regexp_replace(speed, NOT_DIGIT_OR_DOT, ""), F.lit("")).try_cast("float")
 
 
 def leading_number(text: Column) -> Column:
     """Number before the first space, as stored; NULL if that is no number."""
-    return F.split_part(text, F.lit(" "), F.lit(1)).try_cast("float")
+    return before(text, " ").try_cast("float")

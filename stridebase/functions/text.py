@@ -13,8 +13,8 @@ WHITESPACE = (
 
 # What counts as a number. A bare cast is too lenient, it also takes the
 # JVM's "39d" and "0x1p3".
-_DIGITS = r"[0-9]+(?:_[0-9]+)*"
-FINITE_NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+INTEGER = r"[+-]?[0-9]+"
+FINITE_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 ANY_NUMBER = rf"^(?:{FINITE_NUMBER}|[+-]?(?i:inf|infinity|nan))$"
 
 
@@ -26,12 +26,19 @@ def is_number(text: Column) -> Column:
     return strip(text).rlike(ANY_NUMBER)
 
 
-def whole_number(text: Column) -> Column:
-    """Integer value of the text; NULL where it is not an integer or exceeds 32 bits."""
-    return strip(text).try_cast("int")
+def before(text: Column, delimiter: str) -> Column:
+    """The text up to the first delimiter, all of it if there is none."""
+    return F.substring_index(text, delimiter, 1)
+
+
+def second_field(text: Column, delimiter: str) -> Column:
+    """Between the first and the second delimiter."""
+    return F.substring_index(F.substring_index(text, delimiter, 2), delimiter, -1)
 
 
-def truncated_number(text: Column) -> Column:
-    """Decimal text cut towards zero; NULL where it is no finite number."""
-    text = strip(text)
-    return F.when(text.rlike(f"^{FINITE_NUMBER}$"), text.try_cast("double").try_cast("int"))
+def whole_number(text: Column) -> Column:
+    """Integer value, surrounding blanks allowed; NULL where it is none or exceeds 32 bits.
+
+    The pattern goes first because a failing ``try_cast`` to an integer costs an exception.
+    """
+    return F.when(text.rlike(rf"^\s*{INTEGER}\s*$"), text.try_cast("int"))

@@ -21,6 +21,11 @@ def event_unit(distance: Column, units=EVENT_UNITS) -> Column:
     return ending_unit(F.lower(strip(distance)), units)
 
 
+def has_unit(distance: Column, unit: str) -> Column:
+    """``event_unit(distance) == unit`` with the text prepared once: no unit ends in another."""
+    return F.lower(strip(distance)).endswith(unit)
+
+
 def performance_unit(performance: Column) -> Column:
     """Strict: a clock text is ``h``, a bare number is ``km``, anything else NULL."""
     return F.when(performance.contains(":"), F.lit("h")).when(is_number(performance), F.lit("km"))

@@ -15,14 +15,12 @@ def latest_by(df: DataFrame, key: str, order: str, attributes: Sequence[str]) ->
     order. Rows without ``order`` are ignored, and a key that has no other rows keeps
     NULL attributes.
 
-    Rows that agree on everything are collapsed first. That step is a hash aggregate
-    with a map side, so a key that holds a large share of the rows is reduced in every
-    task before it is shuffled, and only distinct variants reach the sort-based ``max``.
+    One ``max`` over a struct needs one shuffle and has a map side, so a key that holds a
+    large share of the rows is reduced in every task before it is shuffled.
     """
-    variants = df.select(key, order, *attributes).distinct()
     newest = F.max(F.when(F.col(order).isNotNull(), F.struct(order, *attributes)))
     return (
-        variants.groupBy(key)
+        df.groupBy(key)
         .agg(newest.alias("newest"))
         .select(key, *[F.col(f"newest.{name}").alias(name) for name in attributes])
     )

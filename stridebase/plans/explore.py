@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridebase.functions import athlete, clock, speed, units
-from stridebase.functions.text import strip
 from stridebase.operators.dense_ids import with_dense_ids
+from stridebase.operators.settle import settle
 from stridebase.schema import BRONZE_COLUMNS
 
-HELPERS = ("event_unit", "performance_unit", "is_valid_combo")
+UNIT_COLUMNS = ("event_unit", "performance_unit", "is_valid_combo")
 DENSE_IDS = {"event_id": "event_name", "athlete_key": "athlete_id", "year_id": "year_of_event"}
 
 
@@ -29,18 +29,15 @@ class Variant:
     high: float
     cut_unit: bool
 
-    def seconds(self) -> Column:
+    def time_text(self) -> Column:
         performance = F.col("athlete_performance")
-        if not self.cut_unit:
-            return clock.clock_to_seconds(performance)
-        first_word = F.split_part(strip(clock.without_unit(performance)), F.lit(" "), F.lit(1))
-        return clock.clock_to_seconds(first_word)
+        return clock.first_word(performance) if self.cut_unit else performance
 
     def kilometres(self) -> Column:
         performance = F.col("athlete_performance")
-        if not self.cut_unit:
-            return speed.leading_number(performance)
-        return clock.without_unit(performance).try_cast("float")
+        if self.cut_unit:
+            return clock.without_unit(performance).try_cast("float")
+        return speed.leading_number(performance)
 
 
 # The two variants.
@@ -61,7 +58,7 @@ def with_units(races: DataFrame) -> DataFrame:
     )
 
 
-def kept(variant: Variant) -> Column:
+def is_complete() -> Column:
     """Row predicate on the output of :func:`with_units`."""
     return (
         F.col("athlete_performance").isNotNull()
@@ -69,22 +66,38 @@ def kept(variant: Variant) -> Column:
         & F.col("athlete_id").isNotNull()
         & (F.col("event_unit") != "d")
         & F.col("is_valid_combo")
-        & speed.is_plausible_speed(F.col("athlete_average_speed"), variant.low, variant.high)
+        & ~F.col("athlete_average_speed").contains(":")
     )
 
 
+def with_speed_number(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("speed_number", speed.speed_digits(F.col("athlete_average_speed")))
+
+
+def is_plausible(variant: Variant) -> Column:
+    """A missing speed fails."""
+    return F.col("speed_number").between(float(variant.low), float(variant.high))
+
+
 def explore_clean(races: DataFrame, variant: Variant = V1) -> DataFrame:
-    return with_units(races).where(kept(variant))
+    """Kept rows with their units and the number in their speed."""
+    return (
+        with_units(races)
+        .where(is_complete())
+        .transform(with_speed_number)
+        .transform(settle, "speed_number")
+        .where(is_plausible(variant))
+    )
 
 
 def explore_converted(races: DataFrame, variant: Variant) -> DataFrame:
     """Kept rows with a time in seconds or a distance in km, by performance unit."""
     unit = F.col("performance_unit")
-    return explore_clean(races, variant).withColumns(
-        {
-            "performance_seconds": F.when(unit == "h", variant.seconds()),
-            "performance_km": F.when(unit == "km", variant.kilometres()),
-        }
+    kilometres = F.when(unit == "km", variant.kilometres())
+    return (
+        explore_clean(races, variant)
+        .transform(clock.with_seconds, F.when(unit == "h", variant.time_text()), "performance_seconds")
+        .withColumn("performance_km", kilometres)
     )
 
 
@@ -103,7 +116,7 @@ def explore_rows(races: DataFrame, variant: Variant) -> DataFrame:
                 "athlete_country": athlete.upper_code(F.col("athlete_country")),
             }
         )
-        .drop(*HELPERS)
+        .drop(*UNIT_COLUMNS, "speed_number")
     )
 
 

@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridebase.functions import clock, keys, speed, units
-from stridebase.functions.text import strip
 from stridebase.operators.profiling import percent
 from stridebase.operators.quantiles import exact_quantiles
-from stridebase.plans import explore
-from stridebase.plans.silver import finishing_seconds, in_scope
+from stridebase.plans import explore, silver
 
 # Fixed values.
 COMMON_DISTANCES = ("50km", "100km", "50mi", "100mi")
@@ -74,7 +72,7 @@ def performance_format_counts(races: DataFrame) -> DataFrame:
 
 def unit_combo_profile(races: DataFrame) -> DataFrame:
     """Results per loose unit pair and its validity."""
-    return _counted(explore.with_units(races), *explore.HELPERS).orderBy(
+    return _counted(explore.with_units(races), *explore.UNIT_COLUMNS).orderBy(
         F.desc("results"), F.asc_nulls_first("event_unit"), "performance_unit"
     )
 
@@ -86,16 +84,11 @@ def invalid_combo_count(races: DataFrame) -> DataFrame:
 def performance_seconds_parsed(races: DataFrame) -> DataFrame:
     """Every performance text with its seconds as each cleaning reads it."""
     performance = F.col("athlete_performance")
-    bare = clock.without_unit(performance)
     return (
         _counted(races, "athlete_performance")
-        .withColumns(
-            {
-                "seconds": finishing_seconds(),
-                "seconds_with_unit": clock.clock_to_seconds(performance),
-                "seconds_first_word": clock.clock_to_seconds(F.split_part(strip(bare), F.lit(" "), F.lit(1))),
-            }
-        )
+        .transform(clock.with_seconds, clock.without_unit(performance), "seconds")
+        .transform(clock.with_seconds, performance, "seconds_with_unit")
+        .transform(clock.with_seconds, clock.first_word(performance), "seconds_first_word")
     )
 
 
@@ -109,15 +102,17 @@ def speed_quartiles(races: DataFrame) -> DataFrame:
 def cleaning_report(races: DataFrame) -> DataFrame:
     """Rows before, after and removed per cleaning, all from one scan."""
     rules = {
-        "silver": in_scope() & (finishing_seconds() > 0),
-        "explore_v1": explore.kept(explore.V1),
-        "explore_v2": explore.kept(explore.V2),
+        "silver": silver.in_scope() & silver.is_plausible(),
+        "explore_v1": explore.is_complete() & explore.is_plausible(explore.V1),
+        "explore_v2": explore.is_complete() & explore.is_plausible(explore.V2),
     }
-    row = explore.with_units(races).agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.array(
-            *[F.struct(F.lit(name).alias("cleaning"), F.count_if(rule).alias("rows_after")) for name, rule in rules.items()]
-        ).alias("cleanings"),
+    after = [
+        F.struct(F.lit(name).alias("cleaning"), F.count_if(rule).alias("rows_after"))
+        for name, rule in rules.items()
+    ]
+    row = (
+        silver.with_measures(explore.with_units(races))
+        .agg(F.count(F.lit(1)).alias("rows_before"), F.array(*after).alias("cleanings"))
     )
     return (
         row.select("rows_before", F.inline("cleanings"))
@@ -158,9 +153,8 @@ def performance_sample(races: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def _clean_speeds(races: DataFrame) -> DataFrame:
-    number = speed.speed_digits(F.col("athlete_average_speed")).cast("double")
     rows = explore.explore_clean(races, explore.V1)
-    return rows.withColumn("speed_float", number).where(F.col("speed_float").isNotNull())
+    return rows.withColumn("speed_float", F.col("speed_number").cast("double"))
 
 
 def speed_top20(races: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -303,7 +297,7 @@ def performance_hms(fct: DataFrame) -> DataFrame:
     )
 
 
-def surrogate_keys(silver: DataFrame) -> DataFrame:
+def surrogate_keys(results: DataFrame) -> DataFrame:
     """Every surrogate key with the value it stands for, from one scan and one distinct."""
     sources = {"event_id": "event_name", "athlete_key": "athlete_id", "year_id": "year_of_event"}
     entries = [
@@ -314,7 +308,7 @@ def surrogate_keys(silver: DataFrame) -> DataFrame:
         )
         for key, source in sources.items()
     ]
-    return silver.select(F.inline(F.array(*entries))).distinct()
+    return results.select(F.inline(F.array(*entries))).distinct()
 
 
 def layer_row_counts(layers: dict[str, DataFrame]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridebase.functions import athlete, clock, keys, speed, units
+from stridebase.operators.settle import settle
 from stridebase.schema import BRONZE_COLUMNS
 
 # Countries in scope.
@@ -34,26 +35,31 @@ SILVER_COLUMNS = [
 ]
 
 
-def in_scope(
-    countries: Sequence[str] = EUROPE, low: float = MIN_SPEED, high: float = MAX_SPEED
-) -> Column:
-    """Row predicate on raw columns, cheapest tests first: null checks and the country
-    set drop most rows before any regular expression runs."""
-    distance, performance = F.col("event_distance_length"), F.col("athlete_performance")
-    unit = units.event_unit(distance)
+def in_scope(countries: Sequence[str] = EUROPE) -> Column:
+    """Row predicate on raw columns: a timed kilometre event of an athlete in scope, with a
+    speed that is no clock text. Cheap tests come first."""
+    performance = F.col("athlete_performance")
     return (
         performance.isNotNull()
-        & distance.isNotNull()
+        & F.col("event_distance_length").isNotNull()
         & F.col("athlete_id").isNotNull()
         & athlete.upper_code(F.col("athlete_country")).isin(*countries)
-        & (unit == "km")
-        & units.is_valid_pair(unit, units.performance_unit(performance))
-        & speed.is_plausible_speed(F.col("athlete_average_speed"), low, high)
+        & units.has_unit(F.col("event_distance_length"), "km")
+        & (units.performance_unit(performance) == "h")
+        & ~F.col("athlete_average_speed").contains(":")
     )
 
 
-def finishing_seconds() -> Column:
-    return clock.clock_to_seconds(clock.without_unit(F.col("athlete_performance")))
+def with_measures(races: DataFrame) -> DataFrame:
+    """Add ``speed_number`` and ``performance_seconds``, both NULL where unreadable."""
+    rows = races.withColumn("speed_number", speed.speed_digits(F.col("athlete_average_speed")))
+    bare = clock.without_unit(F.col("athlete_performance"))
+    return clock.with_seconds(rows, bare, "performance_seconds")
+
+
+def is_plausible(low: float = MIN_SPEED, high: float = MAX_SPEED) -> Column:
+    """Predicate on the measures. A missing speed or time fails."""
+    return F.col("speed_number").between(float(low), float(high)) & (F.col("performance_seconds") > 0)
 
 
 def clean_results(
@@ -65,9 +71,10 @@ def clean_results(
     """Kilometre events of the given countries with a positive finishing time."""
     born = F.col("athlete_year_of_birth").try_cast("int")
     return (
-        races.where(in_scope(countries, low, high))
-        .withColumn("performance_seconds", finishing_seconds())
-        .where(F.col("performance_seconds") > 0)
+        races.where(in_scope(countries))
+        .transform(with_measures)
+        .transform(settle, "speed_number", "performance_seconds")
+        .where(is_plausible(low, high))
         .withColumns(
             {
                 "event_id": keys.hash_key(F.col("event_name")),
