@@ -32,7 +32,7 @@ def with_seconds(df: DataFrame, performance: Column, name: str) -> DataFrame:
 
     Fractions of a second are cut off, minutes and seconds above 59 are taken as they
     are, and a total or part beyond 32 bits is NULL, so the 64-bit arithmetic cannot
-    overflow.
+    overflow. Any whitespace may surround the text, ASCII blanks its parts.
 
     The steps are columns of their own because each is used several times by the next:
     Spark keeps such projections apart and computes every step once per row.

@@ -1,0 +1,142 @@
+"""Column expressions: literal cases, then generated texts against a plain-Python model."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stridebase.functions import athlete, clock, keys, speed, units
+from stridebase.operators.profiling import describe
+from tests import model
+
+EMPTY_HASH = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def evaluate(spark, texts, **columns):
+    """Values of the named expressions over column ``x``, in input order."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    out = rows.select("i", *[c.alias(n) for n, c in columns.items()]).orderBy("i").collect()
+    return [tuple(row)[1:] if len(columns) > 1 else row[1] for row in out]
+
+
+def parsed(spark, texts, cut_unit=False):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    source = clock.without_unit(F.col("x")) if cut_unit else F.col("x")
+    return [r.s for r in clock.with_seconds(rows, source, "s").orderBy("i").collect()]
+
+
+def test_event_unit(spark):
+    cases = {"50km": "km", "24h": "h", "100mi": "mi", "6d": None, " 80KM ": "km", "50km\t": "km",
+             "50km ": "km", "20km,42km": "km", "100": None, "": None, None: None}
+    assert evaluate(spark, cases, u=units.event_unit(F.col("x"))) == list(cases.values())
+    km = evaluate(spark, cases, u=units.has_unit(F.col("x"), "km"))
+    assert [bool(v) for v in km] == [v == "km" for v in cases.values()]
+
+
+def test_profile_units(spark):
+    assert evaluate(spark, ["6d", "6D "], u=units.event_unit(F.col("x"), units.PROFILE_UNITS)) == ["d", "d"]
+    as_written = evaluate(spark, ["50km", " 80KM ", "6d", "x", None], u=units.ending_unit(F.col("x")))
+    assert as_written == ["km", None, "d", None, None]
+
+
+def test_performance_unit(spark):
+    cases = {"4:51:39 h": "h", "120.5": "km", "120.5 km": None, "": None, None: None, " 12 ": "km",
+             "1e3": "km", "-.5": "km", "nan": "km", "Infinity": "km", "39d": None, "0x1p3": None, "DNF": None}
+    assert evaluate(spark, cases, u=units.performance_unit(F.col("x"))) == list(cases.values())
+    loose = evaluate(spark, ["4:51", "120.5 km", "DNF", None], u=units.performance_unit_loose(F.col("x")))
+    assert loose == ["h", "km", "km", "km"]
+
+
+@pytest.mark.parametrize(
+    ("event", "performance", "valid"),
+    [("km", "h", True), ("mi", "h", True), ("h", "km", True), ("km", "km", False), ("h", "h", False),
+     ("d", "h", False), (None, "h", False), ("km", None, False), (None, None, False)],
+)
+def test_unit_pair(spark, event, performance, valid):
+    row = spark.createDataFrame([(event, performance)], "e string, p string")
+    assert row.select(units.is_valid_pair(F.col("e"), F.col("p"))).first()[0] is valid
+
+
+def test_seconds(spark):
+    cases = {"2:34:10": 9250, "1 day, 3:00:00": 97200, "2 days, 3:00:00": 183600, "1 day,3:00:00": 97200,
+             "4:51:39.9": 17499, "1:99:99": 9639, "-1:00:00": -3600, "1 day 3:00:00": None, "1 day, 3:00": None,
+             "1d 05:00:00": None, "4:51": None, "1:2:3:4": None, "1:2:": None, "abc": None, "": None, None: None,
+             "999999:00:00": None, "1day, 3:00:00": None, "day, 1:00:00": None, "1 day, 3:00:00, more": 97200,
+             "99999999999:00:00": None, "0:00:99999999999": None, "1:00:39d": None, " 4: 51 :39 ": 17499,
+             "0:00:1e2": 100, "596523:14:07": 2147483647, "596523:14:08": None}
+    assert parsed(spark, cases) == list(cases.values())
+
+
+def test_seconds_with_unit(spark):
+    cases = {"4:51:39 h": 17499, "4:51:39h": 17499, "1 day, 1:24:16 h": 91456, "1d 05:00:00 h": None,
+             "DNF": None, "0:00:00 h": 0, "4:51:39 km": 17499, "h": None, None: None}
+    assert parsed(spark, cases, cut_unit=True) == list(cases.values())
+    assert parsed(spark, ["4:51:39 h"]) == [None]
+
+
+def test_first_word_loses_days(spark):
+    assert evaluate(spark, ["1 day, 3:00:00 h", "4:51:39 h"], w=clock.first_word(F.col("x"))) == ["1", "4:51:39"]
+
+
+def test_seconds_to_clock(spark):
+    rows = spark.createDataFrame([(9250,), (360000,), (0,), (59,), (None,)], "s int")
+    texts = [r[0] for r in rows.select(clock.seconds_to_clock(F.col("s"))).collect()]
+    assert texts == ["02:34:10", "100:00:00", "00:00:00", "00:00:59", None]
+
+
+def test_speed(spark):
+    cases = {"8.5 km/h": (8.5, 8.5), "8.5km/h": (8.5, None), " 8.5": (8.5, None), "-8.5 km/h": (8.5, -8.5),
+             "n/a": (None, None), "1.2.3": (None, None), "": (None, None), None: (None, None)}
+    got = evaluate(spark, cases, a=speed.speed_digits(F.col("x")), b=speed.leading_number(F.col("x")))
+    assert got == list(cases.values())
+
+
+def test_hash_key(spark):
+    rows = spark.createDataFrame([("a", None, 7), (None, None, None)], "x string, y string, z bigint")
+    one = rows.select(keys.hash_key(F.col("x")).alias("k"), keys.hash_key(*map(F.col, "xyz")).alias("all")).collect()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    assert [tuple(r) for r in one] == [(sha("a"), sha("a||7")), (EMPTY_HASH, EMPTY_HASH)]
+    keyed = rows.transform(keys.with_hash_key, ["x", "z"], "id")
+    assert [r.id for r in keyed.collect()] == [sha("a||7"), EMPTY_HASH]
+
+
+def test_gender_and_age(spark):
+    genders = evaluate(spark, ["M", " f ", "w", "X", "", None], g=athlete.known_gender(F.col("x")))
+    assert genders == ["M", "F", "W", None, None, None]
+    years = spark.createDataFrame([(1999, 1193), (1999, None), (2147483647, -1)], "y int, b int")
+    ages = [r[0] for r in years.select(athlete.age_in(F.col("y"), F.col("b"))).collect()]
+    assert ages == [806, None, None]
+
+
+def generated(seed, pieces, n=3000):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(n)] + [None]
+
+
+def test_generated_times(spark):
+    pieces = ["1", "23", "59", "007", ":", ":", ":", " ", "day", " day, ", " days, ", ",", ".", "-", "+", "h", "e1", "\t", " ", "d"]
+    texts = generated(1, pieces) + [
+        f"{a}{b}:{c}:{e}" for a in ("", "1 day, ", "2 days,", "3day, ", "x day, ") for b in ("0", "07", " 9", "-1", "")
+        for c in ("00", "5", "99", " 3 ", "x") for e in ("0", "59", "1.9", ".5", "", "1d", "1e1", "30 ")
+    ]
+    wrong = [(t, got) for t, got in zip(texts, parsed(spark, texts)) if got != model.seconds(t)]
+    assert wrong == []
+
+
+def test_generated_units_and_speeds(spark):
+    pieces = ["1", "42", ".", "km", "KM", "mi", "h", "d", " ", "\n", " ", ":", "-", "+", "e", "nan", "inf", "f", "/h", ",", "0x"]
+    texts = generated(2, pieces)
+    x = F.col("x")
+    got = evaluate(spark, texts, a=units.event_unit(x), b=units.performance_unit(x), c=speed.speed_digits(x))
+    assert got == [(model.unit_of_event(t), model.unit_of_performance(t), model.digits(t)) for t in texts]
+
+
+def test_describe_equals_builtin(spark):
+    rows = spark.createDataFrame([("193.5", 1, 2.0), ("x", 2, None), ("6d", None, 5.5)], "a string, b int, c double")
+    ours = {r["column"]: r for r in describe(rows).collect()}
+    builtin = {r["summary"]: r for r in rows.describe().collect()}
+    for column in rows.columns:
+        for measure in ("count", "mean", "stddev", "min", "max"):
+            mine, theirs = ours[column][measure], builtin[measure][column]
+            assert (None if mine is None else str(mine)) == theirs, (column, measure)

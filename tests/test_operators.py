@@ -1,0 +1,210 @@
+"""Operators on small tables, against brute force, with hot keys and NULLs."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stridebase.operators import profiling
+from stridebase.operators.dense_ids import dense_ranks, with_dense_ids
+from stridebase.operators.latest import latest_by
+from stridebase.operators.quantiles import exact_quantiles
+from stridebase.operators.settle import settle
+from stridebase.operators.topk import least_with_ties, look_up
+from stridebase.plans.marts import mart_fastest_athletes, mart_top_countries
+from stridebase.plans.star_queries import Star, kpi_by_year, kpi_overview, speed_by_distance
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_latest_keeps_null_value_of_latest_row(spark):
+    df = spark.createDataFrame([("a", 1, "b"), ("a", 3, None), ("a", None, "z")], "k string, y int, v string")
+    assert rows_of(latest_by(df, "k", "y", ["v"])) == [("a", None)]
+
+
+def test_latest_without_any_year(spark):
+    df = spark.createDataFrame([("a", None, "b"), ("a", None, "c")], "k string, y int, v string")
+    assert rows_of(latest_by(df, "k", "y", ["v"])) == [("a", None)]
+
+
+def test_latest_tie_takes_one_whole_row(spark):
+    df = spark.createDataFrame(
+        [("a", 2, "p", 9), ("a", 2, "q", 1), ("a", 2, "q", None), ("a", 1, "z", 99)], "k string, y int, v string, n int"
+    )
+    assert rows_of(latest_by(df, "k", "y", ["v", "n"])) == [("a", "q", 1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_dense_ranks_equal_plain_window(spark, partitions):
+    rng = random.Random(partitions)
+    values = [(rng.choice([None, *range(400), *[7] * 200]), f"n{rng.randint(0, 60):03}") for _ in range(5000)]
+    df = spark.createDataFrame(values, "a int, b string").repartition(partitions)
+    expected = df.select(
+        "*",
+        F.dense_rank().over(Window.orderBy("a")).alias("a_id"),
+        F.dense_rank().over(Window.orderBy("b")).alias("b_id"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        assert rows_of(with_dense_ids(df, {"a_id": "a", "b_id": "b"})) == rows_of(expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dense_ranks_of_nothing(spark):
+    assert dense_ranks(spark.createDataFrame([], "a int"), "a", "id").collect() == []
+
+
+def test_exact_quantiles(spark):
+    rng = random.Random(5)
+    values = [rng.choice([1.5, 1.5, 1.5, rng.uniform(0, 40)]) for _ in range(4001)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 50, "x double")
+    points = {"least": 0.0, "q1": 0.25, "half": 0.5, "p99": 0.99, "most": 1.0}
+    ordered = sorted(values)
+    at = lambda p: ordered[max(0, -(-int(p * 10000) * len(values) // 10000) - 1)]
+    assert tuple(exact_quantiles(df, "x", points).first()) == tuple(at(p) for p in points.values())
+
+
+def test_exact_quantiles_of_nothing(spark):
+    assert tuple(exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", {"p": 0.5}).first()) == (None,)
+
+
+def test_settle_keeps_rows_and_column_order(spark):
+    df = spark.range(10).select("id", (F.col("id") % 3).alias("m"), F.lit("x").alias("t"))
+    assert settle(df, "m").columns == df.columns
+    assert rows_of(settle(df, "m", "id").where("m > 0")) == rows_of(df.where("m > 0"))
+
+
+def test_least_with_ties_keeps_all_ties(spark):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate([5, 1, 3, 3, 3, 9, None])], "s int, i int")
+    assert rows_of(least_with_ties(df, "s", 2)) == [(1, 1), (3, 2), (3, 3), (3, 4)]
+    assert least_with_ties(df, "s", 100).count() == 6
+    assert least_with_ties(df.where("s > 100"), "s", 3).count() == 0
+
+
+def test_look_up_is_a_left_join(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("x", 3)], "k string, n int")
+    dimension = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, v string")
+    assert rows_of(look_up(rows, dimension, "k")) == [("a", 1, "A"), ("a", 2, "A"), ("x", 3, None)]
+
+
+@pytest.fixture(scope="module")
+def hot_star(spark):
+    """A third of all results belong to one athlete and one event."""
+    rng = random.Random(11)
+    results = []
+    for i in range(6000):
+        hot = i % 3 == 0
+        results.append(
+            (
+                f"r{i % 5900}",
+                "e0" if hot else f"e{rng.randint(1, 40)}",
+                "a0" if hot else f"a{rng.randint(1, 300)}",
+                f"y{rng.randint(0, 4)}",
+                rng.choice([None, rng.randint(1, 60) * 100]),
+                rng.choice([None, rng.randint(10, 200) / 8]),
+                30,
+            )
+        )
+    fct = spark.createDataFrame(
+        results,
+        "result_id string, event_id string, athlete_key string, year_id string, performance_seconds int,"
+        " athlete_average_speed float, athlete_age_at_event int",
+    ).repartition(6)
+    athletes = [(f"a{i}", i, f"C{i % 4}" if i % 7 else None, "M", 1980, "M35") for i in range(290)]  # ten are missing
+    events = [(f"e{i}", f"Event {i % 30}", f"{50 + i % 3}km", 10, "d") for i in range(41)]
+    return (
+        Star(
+            fct,
+            spark.createDataFrame(
+                athletes,
+                "athlete_key string, athlete_id bigint, athlete_country string, athlete_gender string,"
+                " athlete_year_of_birth int, athlete_age_category string",
+            ),
+            spark.createDataFrame(
+                events,
+                "event_id string, event_name string, event_distance_length string, event_number_of_finishers int,"
+                " event_dates string",
+            ),
+            spark.createDataFrame([(f"y{i}", 2000 + i) for i in range(5)], "year_id string, year_of_event int"),
+        ),
+        results,
+        {a[0]: a for a in athletes},
+        {e[0]: e for e in events},
+    )
+
+
+def mean(values):
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
+def half_up(value, digits=2):
+    return None if value is None else float(Decimal(repr(value)).quantize(Decimal(1).scaleb(-digits), "ROUND_HALF_UP"))
+
+
+def test_top_countries_with_hot_key(hot_star):
+    star, results, athletes, _ = hot_star
+    groups = {}
+    for r in results:
+        groups.setdefault(athletes[r[2]][2] if r[2] in athletes else None, []).append(r)
+    expected = [
+        (country, len(rs), half_up(mean([r[5] for r in rs])), half_up(mean([r[4] for r in rs]) / 3600))
+        for country, rs in groups.items()
+    ]
+    assert rows_of(mart_top_countries(star.fct_results, star.dim_athlete)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("k", [1, 37, 1000, 100000])
+def test_fastest_with_many_ties(hot_star, k):
+    star, results, athletes, events = hot_star
+    last = lambda v: (v is None, v or 0)
+    lines = []
+    for r in results:
+        if r[4] is None:
+            continue
+        a, e = athletes.get(r[2], (None,) * 6), events[r[1]]
+        order = (r[4], last(a[1]), e[1], r[0], last(r[5]))
+        hours = Decimal(r[4]) / Decimal(3600)
+        lines.append(
+            (order, (a[1], a[2], a[3], e[1], e[2], r[4], hours.quantize(Decimal("0.01"), "ROUND_HALF_UP"), r[5]))
+        )
+    lines.sort(key=lambda line: line[0])
+    mart = mart_fastest_athletes(star.fct_results, star.dim_athlete, star.dim_event, k)
+    assert [tuple(r) for r in mart.collect()] == [line for _, line in lines[:k]]
+
+
+def test_kpis_per_year_equal_the_filtered_ones(hot_star):
+    star = hot_star[0]
+    by_year = {r.year_of_event: tuple(r)[1:] for r in kpi_by_year(star).collect()}
+    assert set(by_year) == {2000, 2001, 2002, 2003, 2004}
+    for year, figures in by_year.items():
+        assert tuple(kpi_overview(star, year).first()) == figures
+    assert tuple(kpi_overview(star, 1800).first()) == (0, 0, 0, None)
+
+
+def test_speed_by_distance_with_hot_key(hot_star):
+    star, results, _, events = hot_star
+    groups = {}
+    for r in results:
+        groups.setdefault(events[r[1]][2], []).append(r[5])
+    assert rows_of(speed_by_distance(star)) == sorted((d, half_up(mean(v))) for d, v in groups.items())
+
+
+def test_null_profiles(spark):
+    df = spark.createDataFrame([("", 1), (None, None), ("x", 3)], "a string, b int")
+    assert rows_of(profiling.null_summary(df)) == [("a", 1, 33.33), ("b", 1, 33.33)]
+    assert [tuple(r) for r in profiling.null_or_blank_pct(df).collect()] == [("a", 2, 66.7), ("b", 1, 33.3)]
+    assert tuple(profiling.null_counts(df).first()) == (1, 1)
+    assert rows_of(profiling.null_summary(df.where("b > 9"))) == [("a", 0, None), ("b", 0, None)]
+
+
+def test_value_and_unique_counts(spark):
+    df = spark.createDataFrame([("x",), ("y",), ("x",), (None,), ("z",)], "a string")
+    assert [tuple(r) for r in profiling.value_counts(df, "a", 2).collect()] == [("x", 2), (None, 1)]
+    assert rows_of(profiling.unique_counts(df.withColumn("b", F.lit(1)), ["a", "b"])) == [("a", 4), ("b", 1)]
