@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridebase.operators.slices import place_in_slices, running_total
+from stridebase.sources.tables import cut_lineage
 
 
 def dense_ranks(df: DataFrame, column: str, rank: str) -> DataFrame:
-    """Distinct values of ``column`` with their dense rank; NULL counts as the least value."""
+    """Distinct values of ``column`` with their dense rank; NULL counts as the least value.
+
+    The ranks are written out too: a join with them then plans with their true size,
+    broadcasting few and shuffling many.
+    """
     values = df.select(column).distinct().withColumn("step", F.lit(1))
     ranked = running_total(place_in_slices(values, column), column, "step", rank)
-    return ranked.select(column, F.col(rank).cast("int"))
+    return cut_lineage(ranked.select(column, F.col(rank).cast("int")), f"ranks-{column}")
 
 
 def with_dense_ids(df: DataFrame, ids: dict[str, str]) -> DataFrame:

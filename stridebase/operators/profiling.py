@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Texts that a cast to double may accept, type letters and hex included.
+CASTABLE = (
+    r"^[\x00-\x20]*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?"
+    r"|0[xX][0-9a-fA-F.]+[pP][+-]?[0-9]+[fFdD]?|(?i:inf|infinity|nan))[\x00-\x20]*$"
+)
 
 
 def _long_form(
-    df: DataFrame, columns: Sequence[str], measures: dict[str, callable], totals: dict[str, Column]
+    df: DataFrame, columns: Sequence[str], measures: dict[str, Callable[[str], Column]], totals: dict[str, Column]
 ) -> DataFrame:
     """One row per column with the given measures; ``totals`` repeat on every row.
 
@@ -20,7 +27,7 @@ def _long_form(
             *[
                 F.struct(
                     F.lit(name).alias("column"),
-                    *[measure(F.col(name)).alias(label) for label, measure in measures.items()],
+                    *[measure(name).alias(label) for label, measure in measures.items()],
                 )
                 for name in columns
             ]
@@ -40,7 +47,7 @@ def null_summary(df: DataFrame) -> DataFrame:
     profile = _long_form(
         df,
         df.columns,
-        {"null_count": lambda c: F.count_if(c.isNull())},
+        {"null_count": lambda name: F.count_if(F.col(name).isNull())},
         {"rows": F.count(F.lit(1))},
     )
     return profile.select("column", "null_count", percent("null_count", "rows", 2).alias("null_pct"))
@@ -51,7 +58,7 @@ def null_or_blank_pct(df: DataFrame) -> DataFrame:
     profile = _long_form(
         df,
         df.columns,
-        {"nulls": lambda c: F.count_if(c.isNull() | (c.cast("string") == ""))},
+        {"nulls": lambda name: F.count_if(F.col(name).isNull() | (F.col(name).cast("string") == ""))},
         {"rows": F.count(F.lit(1))},
     )
     return profile.select("column", "nulls", percent("nulls", "rows", 1).alias("pct")).orderBy(
@@ -71,21 +78,32 @@ def describe(df: DataFrame) -> DataFrame:
     deviation of text are those of the values that Spark can cast to a number ("6d" is
     6); least and greatest are given as text.
     """
-    number = lambda c: c.try_cast("double")
+    text_columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    numbers = df.withColumns({f"{name}_number": _castable(F.col(name)) for name in text_columns})
+
+    def number(name: str) -> Column:
+        return F.col(f"{name}_number" if name in text_columns else name).cast("double")
+
     return _long_form(
-        df,
+        numbers,
         df.columns,
         {
             "count": F.count,
-            "mean": lambda c: F.avg(number(c)),
-            "stddev": lambda c: F.stddev(number(c)),
-            "min": lambda c: F.min(c).cast("string"),
-            "max": lambda c: F.max(c).cast("string"),
+            "mean": lambda name: F.avg(number(name)),
+            "stddev": lambda name: F.stddev(number(name)),
+            "min": lambda name: F.min(name).cast("string"),
+            "max": lambda name: F.max(name).cast("string"),
         },
         {},
     )
 
 
+def _castable(text: Column) -> Column:
+    """Number that Spark's cast reads from the text. The pattern goes first because a
+    failing cast costs an exception, and most text is no number."""
+    return F.when(text.rlike(CASTABLE), text.try_cast("double"))
+
+
 def value_counts(df: DataFrame, column: str, top_n: int | None = 20, name: str = "count") -> DataFrame:
     """Most frequent values first, ties by value; all of them with ``top_n=None``."""
     counts = (

@@ -298,17 +298,20 @@ def performance_hms(fct: DataFrame) -> DataFrame:
 
 
 def surrogate_keys(results: DataFrame) -> DataFrame:
-    """Every surrogate key with the value it stands for, from one scan and one distinct."""
+    """Every surrogate key with the value it stands for, from one scan and one distinct.
+
+    Only distinct values are hashed.
+    """
     sources = {"event_id": "event_name", "athlete_key": "athlete_id", "year_id": "year_of_event"}
-    entries = [
-        F.struct(
-            F.lit(key).alias("key_column"),
-            F.col(source).cast("string").alias("source_value"),
-            keys.hash_key(F.col(source)).alias("key_value"),
-        )
+    values = [
+        F.struct(F.lit(key).alias("key_column"), F.col(source).cast("string").alias("source_value"))
         for key, source in sources.items()
     ]
-    return results.select(F.inline(F.array(*entries))).distinct()
+    return (
+        results.select(F.inline(F.array(*values)))
+        .distinct()
+        .transform(keys.with_hash_key, ["source_value"], "key_value")
+    )
 
 
 def layer_row_counts(layers: dict[str, DataFrame]) -> DataFrame:

@@ -133,7 +133,7 @@ def test_generated_units_and_speeds(spark):
 
 
 def test_describe_equals_builtin(spark):
-    rows = spark.createDataFrame([("193.5", 1, 2.0), ("x", 2, None), ("6d", None, 5.5)], "a string, b int, c double")
+    rows = spark.createDataFrame([("193.5", 1, 2.0), ("x", 2, None), ("6d", None, 5.5), (" 0x1p3 ", 4, 1.0), ("1.5e1f", 4, 1.0)], "a string, b int, c double")
     ours = {r["column"]: r for r in describe(rows).collect()}
     builtin = {r["summary"]: r for r in rows.describe().collect()}
     for column in rows.columns:
