@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,15 @@ def with_dense_ids(df: DataFrame, ids: dict[str, str]) -> DataFrame:
     The ranks are joined back null-safe. They are unique per value, so a value that
     holds a large share of the rows is a skewed join side that adaptive execution splits.
     """
+
+    def ranked(entry: tuple[str, str]) -> DataFrame:
+        rank, column = entry
+        return dense_ranks(df, column, rank).withColumnRenamed(column, f"{rank}_value")
+
+    with ThreadPoolExecutor() as pool:  # the ranks are independent jobs, run side by side
+        ranks = list(pool.map(ranked, ids.items()))
     out = df
-    for rank, column in ids.items():
+    for (rank, column), values in zip(ids.items(), ranks):
         key = f"{rank}_value"
-        ranks = dense_ranks(df, column, rank).withColumnRenamed(column, key)
-        out = out.join(ranks, out[column].eqNullSafe(ranks[key]), "left").drop(key)
+        out = out.join(values, out[column].eqNullSafe(values[key]), "left").drop(key)
     return out
