@@ -51,7 +51,8 @@ class Warehouse:
         return f"{self._prefix}{layer}"
 
     def _store(self, layer: str, table: str, df: DataFrame, comment: str) -> DataFrame:
-        return refresh_table(df, f"{self.schema(layer)}.{table}", comment)
+        path = f"{self.location}/{layer}/{table}"
+        return refresh_table(df, f"{self.schema(layer)}.{table}", comment, path)
 
     @cached_property
     def races(self) -> DataFrame:

@@ -15,10 +15,13 @@ def create_schema(spark: SparkSession, schema: str, location: str) -> None:
 
 
 def refresh_table(
-    df: DataFrame, name: str, comment: str, partition_by: tuple[str, ...] = ()
+    df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Replace the stored table by ``df`` and return it as read back.
 
+    The files belong to ``path``, not to the catalog: a later application whose catalog
+    starts empty replaces them just the same.
+
     With ``partition_by`` the rows are rebalanced on those columns first: every
     partition value lands in few, evenly sized files, and adaptive execution splits a
     value that holds a large share of the rows.
@@ -26,7 +29,7 @@ def refresh_table(
     spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
@@ -36,6 +39,7 @@ def refresh_table(
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget the table; its files stay until the next refresh replaces them."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 

@@ -113,6 +113,9 @@ def test_refresh_is_repeatable_and_documented(spark, warehouse, shared):
     assert set(tables) == set(GOLD_TABLES) and all(tables.values())
     other.drop()
     assert spark.catalog.listTables(other.schema("gold")) == []
+    # As in a new application: the files are there, the catalog does not know them.
+    again = {name: df.collect() for name, df in other.refresh().items()}
+    assert {n: order(r) for n, r in again.items()} == {n: order(r) for n, r in first.items()}
 
 
 def test_documented_types(warehouse):
@@ -130,7 +133,7 @@ def test_documented_types(warehouse):
 def test_partitioned_table(spark, warehouse, shared):
     schema = "t" + uuid.uuid4().hex[:8]
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{shared}/{schema}'")
-    stored = refresh_table(warehouse.silver, f"{schema}.obt", "It's by year", ("year_of_event",))
+    stored = refresh_table(warehouse.silver, f"{schema}.obt", "It's by year", f"{shared}/{schema}/obt", ("year_of_event",))
     assert same_rows(stored.select(*SILVER_COLUMNS), warehouse.silver)
     one_year = stored.where("year_of_event = 1998")
     assert "PartitionFilters: [isnotnull(year_of_event" in plan(one_year)
