@@ -24,6 +24,12 @@ from stridebase.sources.order_races import races_from_orders  # noqa: E402
 from stridebase.sources.races_csv import read_races_csv, write_races_csv  # noqa: E402
 from stridebase.streaming.incremental import refresh_silver, stream_races  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from stridebase.llm import queries as llm
+except ImportError:  # the package may be left out
+    llm = None
+
 # Parameters of the registered reports.
 AS_OF_YEAR = 2025
 CLICKED_YEAR = 1998
@@ -183,8 +189,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_birth_year": lambda w: quality.birth_year_plausibility(w.races),
     }
     registered = {name: _on_layers(build) for name, build in on_layers.items()}
+    if llm:
+        registered |= {**llm.QUERIES, "pipeline": corpus_pipeline.run}
     return {"bronze_races": races_from_orders, **registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **(llm.SQL if llm else {})}
