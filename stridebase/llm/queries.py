@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import packing, sharding, warc
+from stridebase.llm import decontaminate, packing, sharding, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item of which it holds four fifths of the shingles."""
+    return decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in as few sequences of 1024 tokens as best-fit decreasing finds."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -54,7 +59,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_warc": op2_warc, "op3_sharding": op3_sharding, "op9_packing": op9_packing}
+QUERIES = {
+    "op2_warc": op2_warc,
+    "op3_sharding": op3_sharding,
+    "op8_decontamination": op8_decontamination,
+    "op9_packing": op9_packing,
+}
+
+
+def _shingles(source: str, key: str, name: str) -> str:
+    """SQL for a row per position of a text's shingles: runs of five words, or all of fewer."""
+    return f"""{name}_words AS (
+  SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {source} WHERE text IS NOT NULL
+), {name} AS (
+  SELECT {key}, len(w) AS words, i, array_to_string(w[i + 1 : i + 5], ' ') AS s
+  FROM (SELECT {key}, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM {name}_words WHERE len(w) > 0)
+)"""
+
 
 SQL = {
     "op2_warc": """
@@ -68,4 +89,12 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN first END AS refers_to
 FROM f""",
+    "op8_decontamination": f"""
+WITH {_shingles("documents", "doc_id", "d")}, {_shingles("benchmark", "item_id", "b")},
+size AS (SELECT item_id, count(*) AS n FROM (SELECT DISTINCT item_id, s FROM b) GROUP BY item_id)
+SELECT d.doc_id, b.item_id, count(DISTINCT b.s) AS shared, any_value(n) AS item_shingles,
+  count(DISTINCT b.s) / any_value(n) AS containment,
+  min(d.i) AS first_word, max(d.i) + any_value(least(d.words, 5)) - 1 AS last_word
+FROM d JOIN b USING (s) JOIN size USING (item_id)
+GROUP BY d.doc_id, b.item_id HAVING count(DISTINCT b.s) >= 0.8 * any_value(n) - 1e-9""",
 }
