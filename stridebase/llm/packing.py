@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridebase.llm.tables import cut_lineage, fresh_name
+from stridebase.llm.words import rows_of
 
 # Blank characters after which a word is encoded on its own, and any other blank character.
 _BLANK = " \t\n\x0b\x0c\r"
@@ -81,10 +82,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int
         encode = encoder(tokenizer)
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for a, b in _slices(texts, 1 << 20):
+            ids = batch.column(0)
+            for first, texts in rows_of(batch, 1, 1 << 20):
                 owner, number, start, parts = [], [], [], []
-                for i, data in enumerate(encode([t or "" for t in texts.slice(a, b - a).to_pylist()]), a):
+                for i, data in enumerate(encode([t or "" for t in texts]), first):
                     data += last
                     n = len(data) // 4
                     edge = n % capacity if n > capacity else n
@@ -113,18 +114,6 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int
     return docs.select(id_column, text_column).mapInArrow(cut, schema)
 
 
-def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``size`` bytes of text each, or one row."""
-    start, held = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
-        if i > start and held + (n or 0) > size:
-            yield start, i
-            start, held = i, 0
-        held += n or 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 class Rooms:
     """Which amounts of room some open bin has: a segment tree over 0 to ``most``."""
 
