@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, packing, sharding, warc
+from stridebase.llm import decontaminate, ngram_join, packing, sharding, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of similar ones and its number of links."""
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with every benchmark item of which it holds four fifths of the shingles."""
     return decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,6 +67,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
 }
@@ -89,6 +95,19 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN first END AS refers_to
 FROM f""",
+    "op7_ngram_join": f"""
+WITH RECURSIVE {_shingles("documents", "doc_id", "d")},
+g AS (SELECT DISTINCT doc_id, s FROM d WHERE doc_id IS NOT NULL),
+size AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN size p ON p.doc_id = x.doc_id JOIN size q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING count(*) >= 0.8 * (p.n + q.n - count(*)) - 1e-9
+),
+reached(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reached r JOIN pairs p ON r.b = p.a)
+SELECT doc_id, least(doc_id, coalesce((SELECT min(b) FROM reached r WHERE r.a = doc_id), doc_id)) AS class_id,
+  (SELECT count(*) FROM pairs p WHERE p.a = doc_id) AS links
+FROM documents""",
     "op8_decontamination": f"""
 WITH {_shingles("documents", "doc_id", "d")}, {_shingles("benchmark", "item_id", "b")},
 size AS (SELECT item_id, count(*) AS n FROM (SELECT DISTINCT item_id, s FROM b) GROUP BY item_id)
