@@ -10,11 +10,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import packing
+from stridebase.llm import decontaminate, neighbours, ngram_join, packing
 from stridebase.llm.queries import TOKENIZER
 from stridebase.llm.tables import cut_lineage, table
 
 
+def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that their labelled neighbours vote for; the labels are those of ``docs`` itself."""
+    voters = neighbours.fit_voters(docs, table(spark, sf_dir, "labels"))
+    scored = neighbours.quality_scores(docs, voters)
+    return scored.where(F.col("score") >= neighbours.ACCEPTED).drop("score")
+
+
+def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near-duplicates."""
+    return ngram_join.one_of_each_class(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of what is left, one row per piece of a document."""
     pieces = packing.token_pieces(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -22,6 +39,9 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_good_documents),
+    ("n-gram Jaccard join", keep_one_of_each_class),
+    ("benchmark decontamination", keep_uncontaminated),
     ("best-fit packing", pack_documents),
 ]
 

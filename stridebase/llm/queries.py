@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, ngram_join, packing, sharding, warc
+from stridebase.llm import decontaminate, neighbours, ngram_join, packing, sharding, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality by labelled neighbours."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = neighbours.quality_scores(docs, neighbours.fit_voters(docs, labels), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        neighbours.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= neighbours.ACCEPTED).cast("int").alias("predicted"),
+    )
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of similar ones and its number of links."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
@@ -67,6 +79,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op5_quality": op5_quality,
     "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
