@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, neighbours, ngram_join, packing, sharding, warc
+from stridebase.llm import decontaminate, kdtree, neighbours, ngram_join, packing, sharding, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector against all others."""
+    vectors = kdtree.quantised(table(spark, sf_dir, "embeddings"))
+    return kdtree.nearest(vectors, vectors.where(F.col("id") % 50 == 0))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of similar ones and its number of links."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op5_quality": op5_quality,
+    "op6_exact_topk": op6_exact_topk,
     "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
@@ -108,6 +115,15 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN first END AS refers_to
 FROM f""",
+    "op6_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op7_ngram_join": f"""
 WITH RECURSIVE {_shingles("documents", "doc_id", "d")},
 g AS (SELECT DISTINCT doc_id, s FROM d WHERE doc_id IS NOT NULL),
