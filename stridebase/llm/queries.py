@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, kdtree, neighbours, ngram_join, packing, sharding, warc
+from stridebase.llm import decontaminate, kdtree, neighbours, ngram_join, packing, sharding, url_templates, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
+from stridebase.llm.url_templates import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -44,6 +45,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the query on URLs.
+URL_RULES = (
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and by learnt templates; a page is bad if the document
+    of its number is labelled toxic or of low quality."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page"), bad.alias("bad"))
+    return url_templates.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality by labelled neighbours."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -85,6 +103,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
     "op6_exact_topk": op6_exact_topk,
     "op7_ngram_join": op7_ngram_join,
