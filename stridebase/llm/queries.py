@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, kdtree, neighbours, ngram_join, packing, sharding, url_templates, warc
+from stridebase.llm import decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 from stridebase.llm.url_templates import Rule
 
@@ -100,6 +100,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in the documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
@@ -109,6 +114,7 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
+    "op10_licenses": op10_licenses,
 }
 
 
