@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc
+from stridebase.llm import chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc
 from stridebase.llm.tables import cut_lineage, run_folder, table
 from stridebase.llm.url_templates import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from transcripts of all conversations, by a model of four fifths of them."""
+    transcripts = chat.as_transcripts(table(spark, sf_dir, "conversations"))
+    model = chat.count_labelled(transcripts.where(~neighbours.held_out("conv")))
+    turns = chat.parse_transcripts(transcripts, model)
+    return turns.withColumn("held_out", neighbours.held_out("conv")).withColumnRenamed("conv", "conv_id")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives and read back."""
     warc.register(spark)
@@ -106,6 +114,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat": op1_chat,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
