@@ -68,6 +68,11 @@ def _numeric(queries: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.n
     return queries.astype(kind), vectors.astype(kind)
 
 
+def _long(scores: np.ndarray) -> np.ndarray:
+    """Scores beyond the range of a long count as its end."""
+    return np.clip(scores, -(1 << 63), (1 << 63) - 1) if scores.dtype == object else scores
+
+
 def search(leaves: list[Leaf], query_ids: np.ndarray, queries: np.ndarray, floor: list, k: int) -> list[list[tuple]]:
     """Per query its best (score, id) of these leaves, scores of at least ``floor`` (None: any) only.
 
@@ -79,7 +84,7 @@ def search(leaves: list[Leaf], query_ids: np.ndarray, queries: np.ndarray, floor
     queries, boxes = _numeric(queries, np.concatenate([x for leaf in leaves for x in ([leaf.low], [leaf.high])]))
     low, high = boxes[0::2], boxes[1::2]
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = up @ high.T + down @ low.T
+    bounds = _long(up @ high.T + down @ low.T)
     floors = np.array([-np.inf if f is None else f for f in floor], dtype=bounds.dtype)
     kind = queries.dtype
     vectors = [leaf.vectors.astype(kind) for leaf in leaves]
@@ -91,7 +96,7 @@ def search(leaves: list[Leaf], query_ids: np.ndarray, queries: np.ndarray, floor
             break
         for leaf in np.unique(leaf_of[live]):
             who = live[leaf_of[live] == leaf]
-            scores = queries[who] @ vectors[leaf].T
+            scores = _long(queries[who] @ vectors[leaf].T)
             ids = leaves[leaf].ids
             rows, columns = np.nonzero(scores >= floors[who][:, None])
             for r, c in zip(rows, columns):
@@ -149,7 +154,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     Both tables have ``id`` and ``vector`` (array of long, not empty), as from :func:`quantised`.
     A query is not its own neighbour, ties go to the smaller id, and a query with fewer than ``k``
-    candidates gets all. Vectors meet those of their own length. Rows that repeat an id are
+    candidates gets all. A score beyond the range of long counts as its end. Vectors meet those of their own length. Rows that repeat an id are
     vectors of their own; a query that repeats an id is answered once. An empty table gives no rows.
 
     Shards and blocks of queries are dealt by a hash of the id, as many as the numbers of rows ask

@@ -309,7 +309,7 @@ class WarcReader(DataSourceReader):
             [(c, pa.int64() if c in ("page_id", "payload_length") else pa.binary() if c == "payload" else pa.string()) for c in COLUMNS]
         )
         rows, held = [], 0
-        for row in self._rows(partition.files):
+        for row in self._rows(partition.files if partition else []):
             rows.append(row)
             held += 500 + len(row["payload"] or b"")
             if held > 8 << 20:
