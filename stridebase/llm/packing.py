@@ -11,12 +11,14 @@ of their length, which is computed by counts per partition; no task sees all pie
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,43 +26,52 @@ from pyspark.sql import types as T
 from stridebase.llm.tables import cut_lineage, fresh_name
 from stridebase.llm.words import rows_of
 
-# Blank characters after which a word is encoded on its own, and any other blank character.
-_BLANK = " \t\n\x0b\x0c\r"
-_WORD = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
-_OTHER_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-REMEMBERED = 300_000  # words per worker whose ids are kept
+# Texts with other characters are left to the tokenizers library: about the common ones all
+# libraries agree on what is a letter, a number or a blank.
+_UNCOMMON = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f\u2010-\u2027]")
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letters that stand for the 256 bytes in a byte-level vocabulary."""
+    shown = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace() and b != 0xAD]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
 class Encoder:
-    """Ids of a byte-level BPE tokenizer, as little-endian unsigned 32-bit bytes.
+    """Ids of a byte-level BPE tokenizer file, as little-endian unsigned 32-bit bytes.
 
-    Its merges never cross from a visible into a blank character, so a text is the
-    sequence of its words, each with the blanks before it, and the ids of a frequent word are
-    looked up. A text with rarer kinds of blanks is encoded as a whole.
+    The ids are those of the tokenizers library. Where the file's merges are in the order of its ids, as
+    in a plain byte-level vocabulary, the faster tiktoken gives the same ids from them;
+    texts with uncommon characters or special tokens, and other files, take the library itself.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [[] if _OTHER_BLANK.search(t) else _WORD.findall(t) for t in texts]
-        known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        known.update(zip(new, self.whole(new)))
-        out = [
-            b"".join(map(known.__getitem__, ws)) if ws or not t else self.whole([t])[0] for t, ws in zip(texts, words)
-        ]
-        if len(known) > REMEMBERED:
-            for w in new:
-                del known[w]
-        return out
+        state = json.loads(self.tokenizer.to_str())
+        self.special = [t["content"] for t in state["added_tokens"]]
+        self.fast = self._fast(state)
+
+    def _fast(self, state: dict) -> tiktoken.Encoding | None:
+        model, before = state["model"], state["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if state["normalizer"] or {k: before.get(k) for k in plain} != plain or model["type"] != "BPE":
+            return None
+        vocabulary, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [vocabulary.get("".join(m), -1) for m in merges]
+        if ids != sorted(set(ids)) or (ids and ids[0] < 256):
+            return None
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if token not in self.special}
+        return tiktoken.Encoding("file", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str) -> bytes:
+        if self.fast is None or _UNCOMMON.search(text) or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -85,8 +96,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int
             ids = batch.column(0)
             for first, texts in rows_of(batch, 1, 1 << 20):
                 owner, number, start, parts = [], [], [], []
-                for i, data in enumerate(encode([t or "" for t in texts]), first):
-                    data += last
+                for i, text in enumerate(texts, first):
+                    data = encode(text or "") + last
                     n = len(data) // 4
                     edge = n % capacity if n > capacity else n
                     edges = [0, *range(edge or capacity, n + 1, capacity)]
