@@ -2,7 +2,7 @@
 
 The paths of a host form a tree of segments. Going down from the root, segments are
 generalised: a number, date, hash or the like stands for its kind; branches with little
-support, and branches that differ from all their siblings together neither in the share of bad labels nor
+support, and branches that differ from similar siblings neither in the share of bad labels nor
 in the shapes of what follows, become one wildcard. A path's template is what is left; it
 is rejected if the smoothed share of bad pages among its labelled ones is high.
 
@@ -120,31 +120,45 @@ def _merged(paths: DataFrame, level: int) -> DataFrame:
     node, branch = ["host", "before"], ["host", "before", "segment"]
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     cells = cut_lineage(at.groupBy(*branch, "rest").agg(*sums), "branches")
-
-    shapes = cells.groupBy(*node, "rest").agg(F.sum("n").alias("shape_n"))
-    whole = cells.groupBy(*node).agg(
-        F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"), F.countDistinct("rest").alias("shapes")
+    branches = cells.groupBy(*branch).agg(*sums, F.max(F.struct("n", "rest"))["rest"].alias("main"))
+
+    # Branches are compared with those that mostly go on in the same way. Their median share of
+    # bad labels is not moved by a few bad branches; those near it give the share to compare with.
+    kin = [*node, "main"]
+    common = branches.where(F.col("n") >= SUPPORT)
+    share = F.when(F.col("labelled") > 0, F.col("bad") / F.col("labelled"))
+    middle = common.groupBy(*kin).agg(F.percentile_approx(share, 0.5, 10_000).alias("middle"), F.sum("labelled").alias("known"))
+    least = 1 / (F.col("known") + 2)
+    around = common.join(middle, kin).withColumn("share", F.greatest(least, F.least(1 - least, F.coalesce("middle", F.lit(0.5)))))
+    typical = around.where(_agrees(F.col("share"), 2 * QUANTILE)).groupBy(*kin).agg(
+        ((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("share"), F.sum("n").alias("all_n")
     )
-    branches = cells.groupBy(*branch).agg(F.sum("n").alias("branch_n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    expected = F.col("branch_n") * F.col("shape_n") / F.col("all_n")
-    distance = (
-        cells.select(*branch, "rest", "n")
-        .join(shapes, [*node, "rest"])
-        .join(branches.select(*branch, "branch_n"), branch)
-        .join(whole.select(*node, "all_n"), node)
-        # shapes that a branch lacks add what was expected of them
-        .groupBy(*branch)
+    clean = common.join(typical.select(*kin, "share", "all_n"), kin).where(_agrees(F.col("share"), QUANTILE))
+
+    # Distance of a branch's shapes from those of its kin together; shapes that it lacks add what was expected of them.
+    of_kin = cells.join(clean.select(*branch, "main", F.col("n").alias("branch_n")), branch)
+    together = of_kin.groupBy(*kin, "rest").agg(F.sum("n").alias("shape_n"))
+    whole = together.groupBy(*kin).agg(F.sum("shape_n").alias("kin_n"), F.count(F.lit(1)).alias("shapes"))
+    expected = F.col("branch_n") * F.col("shape_n") / F.col("kin_n")
+    distances = (
+        of_kin.join(together, [*kin, "rest"])
+        .join(whole, kin)
+        .groupBy(*branch, "main", "shapes")
         .agg((F.sum(F.pow(F.col("n") - expected, F.lit(2.0)) / expected) + F.first("branch_n") - F.sum(expected)).alias("distance"))
     )
-    share = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
-    spread = QUANTILE * F.sqrt(share * (1 - share) * F.col("labelled"))
-    alike = (F.abs(F.col("bad") - share * F.col("labelled")) <= spread + 0.5) & (
-        (F.col("shapes") == 1) | (F.col("distance") <= _critical(F.greatest(F.col("shapes") - 1, F.lit(1)).cast("double")))
-    )
-    chosen = branches.join(whole, node).join(distance, branch).where((F.col("branch_n") < SUPPORT) | alike).select(*branch)
+    freedom = F.greatest(F.col("shapes") - 1, F.lit(1)).cast("double")
+    alike = distances.where((F.col("shapes") == 1) | (F.col("distance") <= _critical(freedom))).select(*branch, "main")
+    rare = branches.where(F.col("n") < SUPPORT).select(*branch, F.lit("rare").alias("main"))
+    chosen = alike.unionAll(rare)
     # one branch alone is no variable
-    several = chosen.groupBy(*node).agg(F.count(F.lit(1)).alias("merged")).where("merged > 1").select(*node)
-    return chosen.join(several, node, "left_semi")
+    several = chosen.groupBy(*kin).agg(F.count(F.lit(1)).alias("merged")).where("merged > 1").select(*kin)
+    return chosen.join(several, kin, "left_semi").select(*branch).distinct()
+
+
+def _agrees(share: Column, quantile: float) -> Column:
+    """Whether a branch's bad labels are what chance gives at this share."""
+    spread = quantile * F.sqrt(share * (1 - share) * F.col("labelled"))
+    return F.abs(F.col("bad") - share * F.col("labelled")) <= spread + 0.5
 
 
 def learn_templates(paths: DataFrame) -> DataFrame:
