@@ -27,7 +27,7 @@ def test_against_sql(spark, duck, name):
 
 
 SHAPES = {
-    "op1_chat": "conv_id bigint, turn int, role string, content string, rendered string, lines bigint, held_out boolean",
+    "op1_chat": "conv_id bigint, turn bigint, role string, content string, rendered string, lines bigint, held_out boolean",
     "op3_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op4_url_filter": "page_id bigint, host string, path string, rule string, verdict string, template string, bad_share double",
     "op5_quality": "doc_id bigint, held_out boolean, score double, predicted int",
