@@ -17,12 +17,11 @@ from oracle.duckdb_sql import ORACLE  # noqa: E402
 from stridebase.operators import profiling  # noqa: E402
 from stridebase.operators.dense_ids import dense_ranks  # noqa: E402
 from stridebase.plans import explore, gold, marts, quality, reports, star_queries  # noqa: E402
-from stridebase.plans.explore import V1, V2  # noqa: E402
+from stridebase.plans.explore import V1  # noqa: E402
 from stridebase.plans.silver import clean_results  # noqa: E402
-from stridebase.plans.warehouse import Warehouse, order_warehouse  # noqa: E402
+from stridebase.plans.warehouse import StreamedWarehouse, Warehouse, order_warehouse  # noqa: E402
 from stridebase.sources.order_races import races_from_orders  # noqa: E402
-from stridebase.sources.races_csv import read_races_csv, write_races_csv  # noqa: E402
-from stridebase.streaming.incremental import refresh_silver, stream_races  # noqa: E402
+from stridebase.sources.races_csv import count_lines, read_races_csv, write_races_csv  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -33,6 +32,7 @@ except ImportError:  # the package may be left out
 # Parameters of the registered reports.
 AS_OF_YEAR = 2025
 CLICKED_YEAR = 1998
+DAMAGED_IDS = 101  # multiples of this are damaged in the file whose lines are counted
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -58,23 +58,30 @@ def _csv_round_trip(w: Warehouse) -> DataFrame:
     return read_races_csv(w.spark, path)
 
 
-def _streamed_silver(w: Warehouse) -> DataFrame:
+def _damaged_csv(w: Warehouse) -> DataFrame:
+    """Line counts of a file in which some ids are no numbers."""
+    path = f"{w.location}/damaged-{uuid.uuid4().hex}"
+    broken = F.when(F.col("athlete_id") % DAMAGED_IDS == 0, F.concat("athlete_id", F.lit("x")))
+    write_races_csv(w.races.withColumn("athlete_id", F.coalesce(broken, F.col("athlete_id").cast("string"))), path)
+    return count_lines(w.spark, path)
+
+
+def _streamed(w: Warehouse) -> StreamedWarehouse:
+    """Layers that take the raw results from a landing folder."""
     run = f"{w.location}/stream-{uuid.uuid4().hex}"
-    w.races  # stored before its folder is streamed
-    query = refresh_silver(stream_races(w.spark, f"{w.location}/bronze/races"), f"{run}/obt", f"{run}/checkpoint")
-    query.awaitTermination()
-    return w.spark.read.parquet(f"{run}/obt")
+    w.races.write.parquet(f"{run}/landing")
+    return StreamedWarehouse(w.spark, f"{run}/landing", f"{run}/layers", f"s{uuid.uuid4().hex[:10]}_")
 
 
 def _dense_ids(w: Warehouse, value: str, rank: str, n: int | None = None) -> DataFrame:
-    ranks = dense_ranks(explore.explore_clean(w.races, V1), value, rank)
+    ranks = dense_ranks(w.explore_v1, {rank: value})[rank]
     return ranks if n is None else ranks.orderBy(rank).limit(n)
 
 
 def _unique_counts(w: Warehouse) -> DataFrame:
     """Unique raw events, and unique values behind the exploratory ids."""
     raw = profiling.unique_counts(w.races, ["event_name"])
-    kept = profiling.unique_counts(explore.explore_clean(w.races, V1), list(explore.DENSE_IDS.values()))
+    kept = profiling.unique_counts(w.explore_v1, list(explore.DENSE_IDS.values()))
     return raw.withColumn("layer", F.lit("bronze")).unionByName(kept.withColumn("layer", F.lit("explore_v1")))
 
 
@@ -82,6 +89,11 @@ def _layer_row_counts(w: Warehouse) -> DataFrame:
     return reports.layer_row_counts({"bronze": w.races, "silver": w.silver, "gold": w.fct_results})
 
 
+def _layer_columns(w: Warehouse) -> DataFrame:
+    w.races, w.silver  # stored first
+    return quality.layer_columns(w.spark, {layer: w.schema(layer) for layer in ("bronze", "silver")})
+
+
 def _gold_inventory(w: Warehouse, inventory: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     w.gold()
     return inventory(w.spark, w.schema("gold"))
@@ -92,7 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Layers
         "bronze_races_csv": _csv_round_trip,
         "silver_obt": lambda w: clean_results(w.races),
-        "silver_stream": _streamed_silver,
+        "silver_stream": lambda w: _streamed(w).silver,
+        "mart_top_countries_streamed": lambda w: _streamed(w).mart_top_countries,
+        "csv_line_counts": _damaged_csv,
         "dim_athlete": lambda w: gold.dim_athlete(w.silver),
         "dim_event": lambda w: gold.dim_event(w.silver),
         "dim_time": lambda w: gold.dim_time(w.silver),
@@ -146,8 +160,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cleaning_report": lambda w: reports.cleaning_report(w.races),
         # Exploratory cleanings
         "explore_clean": lambda w: explore.explore_clean(w.races, V1).drop("speed_number"),
-        "explore_silver_v1": lambda w: explore.explore_silver(w.races, V1),
-        "explore_silver_v2": lambda w: explore.explore_silver(w.races, V2),
+        "explore_silver_v1": lambda w: explore.explore_silver(w.explore_v1),
+        "explore_silver_v2": lambda w: explore.explore_silver(w.explore_v2),
         "dense_ids_event": lambda w: _dense_ids(w, "event_name", "event_id"),
         "dense_ids_athlete": lambda w: _dense_ids(w, "athlete_id", "athlete_key"),
         "dense_ids_year": lambda w: _dense_ids(w, "year_of_event", "year_id"),
@@ -158,17 +172,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "speed_top20": lambda w: reports.speed_top20(w.races),
         "speed_stats": lambda w: reports.speed_stats(w.races),
         "speed_p99": lambda w: reports.speed_p99(w.races),
-        "null_counts_silver": lambda w: profiling.null_counts(explore.explore_silver(w.races, V2)),
-        "age_distribution": lambda w: reports.age_distribution(explore.explore_rows(w.races, V2)),
-        "marathon_type_counts": lambda w: reports.marathon_type_counts(explore.explore_rows(w.races, V2)),
-        "race_type_counts_explore": lambda w: reports.race_type_counts(explore.explore_rows(w.races, V2)),
-        "hour_event_profile": lambda w: reports.hour_distance_profile(explore.explore_rows(w.races, V2)),
-        "hour_performance_profile": lambda w: reports.hour_performance_profile(explore.explore_rows(w.races, V2)),
+        "null_counts_silver": lambda w: profiling.null_counts(w.explore_silver_v2),
+        "age_distribution": lambda w: reports.age_distribution(w.explore_v2),
+        "marathon_type_counts": lambda w: reports.marathon_type_counts(w.explore_v2),
+        "race_type_counts_explore": lambda w: reports.race_type_counts(w.explore_v2),
+        "hour_event_profile": lambda w: reports.hour_distance_profile(w.explore_v2),
+        "hour_performance_profile": lambda w: reports.hour_performance_profile(w.explore_v2),
         "hour_distance_counts_top20": lambda w: reports.distance_counts_top(
-            explore.explore_rows(w.races, V2), "performance_km"
+            w.explore_v2, "performance_km"
         ),
-        "distance_stats": lambda w: reports.distance_stats(explore.explore_rows(w.races, V2)),
-        "zero_time_stats": lambda w: reports.zero_time_stats(explore.explore_rows(w.races, V2)),
+        "distance_stats": lambda w: reports.distance_stats(w.explore_v2),
+        "distance_stats_silver": lambda w: reports.distance_stats(w.silver),
+        "zero_time_stats_silver": lambda w: reports.zero_time_stats(w.silver),
+        "explore_review_sample": lambda w: reports.review_sample(w.explore_silver_v1),
+        "zero_time_stats": lambda w: reports.zero_time_stats(w.explore_v2),
         # Cleaned results and star schema
         "distance_counts_top20": lambda w: reports.distance_counts_top(w.silver, "performance_seconds"),
         "race_type_counts": lambda w: reports.race_type_counts(w.silver),
@@ -180,6 +197,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "performance_hms": lambda w: reports.performance_hms(w.fct_results),
         "surrogate_keys": lambda w: reports.surrogate_keys(w.silver),
         "layer_row_counts": _layer_row_counts,
+        "layer_schema_inventory": _layer_columns,
         "gold_table_inventory": lambda w: _gold_inventory(w, quality.table_inventory),
         "gold_schema_inventory": lambda w: _gold_inventory(w, quality.column_inventory),
         # Data quality

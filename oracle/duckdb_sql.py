@@ -291,6 +291,44 @@ def _gold_schema() -> str:
     return " UNION ALL ".join(rows)
 
 
+_LAYER_COLUMNS = {
+    ("bronze", "races", "races"): "year_of_event int, event_dates string, event_name string, event_distance_length string, "
+    "event_number_of_finishers int, athlete_performance string, athlete_club string, athlete_country string, "
+    "athlete_year_of_birth double, athlete_gender string, athlete_age_category string, athlete_average_speed string, athlete_id bigint",
+    ("silver", "obt", "silver"): "year_of_event int, event_dates string, event_name string, event_distance_length string, "
+    "event_number_of_finishers int, athlete_performance string, athlete_club string, athlete_country string, "
+    "athlete_year_of_birth int, athlete_gender string, athlete_age_category string, athlete_average_speed float, athlete_id bigint, "
+    "performance_seconds int, event_id string, athlete_key string, year_id string, athlete_age_at_event int",
+}
+
+
+def _layer_schema() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, {position} AS position, '{column.split(' ')[0]}' AS column_name,"
+        f" '{column.split(' ')[1]}' AS data_type, count({column.split(' ')[0]}) AS \"values\" FROM {cte}"
+        for (layer, table, cte), columns in _LAYER_COLUMNS.items()
+        for position, column in enumerate(columns.split(", "), start=1)
+    )
+
+
+def _distance_stats(rows: str) -> str:
+    return f"""SELECT event_distance_length, min(performance_seconds) AS fastest_seconds,
+  {_hours("min(performance_seconds)")} AS fastest_hours, round(avg(athlete_average_speed), 2) AS avg_speed_kmh,
+  count(*) AS results FROM {rows} WHERE event_distance_length IN ('50km', '100km', '50mi', '100mi') GROUP BY 1"""
+
+
+def _zero_time_stats(rows: str) -> str:
+    return f"""SELECT event_distance_length, count(*) AS results, count(*) FILTER (performance_seconds = 0) AS zero_times,
+  min(performance_seconds) FILTER (performance_seconds > 0) AS fastest_seconds,
+  {_hours("min(CASE WHEN performance_seconds > 0 THEN performance_seconds END)")} AS fastest_hours
+  FROM {rows} WHERE event_distance_length IN ('50km', '100km', '50mi', '100mi') GROUP BY 1"""
+
+
+_REVIEWED = (
+    "event_id", "event_name", "event_distance_length", "athlete_key", "athlete_id", "athlete_performance",
+    "performance_seconds", "performance_km", "athlete_gender", "athlete_country", "year_of_event",
+)
+
 _STAR = ("fct", "dim_athlete", "dim_event", "dim_time")
 _SILVER_OUT = "SELECT * REPLACE (athlete_average_speed::double AS athlete_average_speed) FROM silver"
 _LATER_STAGE = """CASE WHEN regexp_matches(trim(athlete_performance),
@@ -300,6 +338,11 @@ ORACLE: dict[str, str] = {
     "bronze_races": _query("SELECT * FROM races", "races"),
     "bronze_races_csv": _query("SELECT * FROM races", "races"),
     "silver_obt": _query(_SILVER_OUT, "silver"),
+    "csv_line_counts": _query(
+        f"""SELECT count(*) AS lines, count(*) FILTER (athlete_id % 101 = 0) AS rejected,
+  {" + ".join(f"count({c})" for c in _BRONZE_COLUMNS)} - count(*) FILTER (athlete_id % 101 = 0) AS values_read FROM races""",
+        "races",
+    ),
     "silver_stream": _query(_SILVER_OUT, "silver"),
     "dim_athlete": _query("SELECT * FROM dim_athlete", "dim_athlete"),
     "dim_event": _query("SELECT * FROM dim_event", "dim_event"),
@@ -493,18 +536,12 @@ ORACLE: dict[str, str] = {
   ORDER BY 2 DESC, 1 LIMIT 20""",
         "v2",
     ),
-    "distance_stats": _query(
-        f"""SELECT event_distance_length, min(performance_seconds) AS fastest_seconds,
-  {_hours("min(performance_seconds)")} AS fastest_hours, round(avg(athlete_average_speed), 2) AS avg_speed_kmh,
-  count(*) AS results FROM v2 WHERE event_distance_length IN ('50km', '100km', '50mi', '100mi') GROUP BY 1""",
-        "v2",
-    ),
-    "zero_time_stats": _query(
-        f"""SELECT event_distance_length, count(*) AS results, count(*) FILTER (performance_seconds = 0) AS zero_times,
-  min(performance_seconds) FILTER (performance_seconds > 0) AS fastest_seconds,
-  {_hours("min(CASE WHEN performance_seconds > 0 THEN performance_seconds END)")} AS fastest_hours
-  FROM v2 WHERE event_distance_length IN ('50km', '100km', '50mi', '100mi') GROUP BY 1""",
-        "v2",
+    "distance_stats": _query(_distance_stats("v2"), "v2"),
+    "distance_stats_silver": _query(_distance_stats("silver"), "silver"),
+    "zero_time_stats": _query(_zero_time_stats("v2"), "v2"),
+    "zero_time_stats_silver": _query(_zero_time_stats("silver"), "silver"),
+    "explore_review_sample": _query(
+        f"SELECT {', '.join(_REVIEWED)} FROM v1 ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _REVIEWED)} LIMIT 20", "v1"
     ),
     "distance_counts_top20": _query(
         "SELECT event_distance_length, count(*) AS results FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", "silver"
@@ -545,6 +582,7 @@ ORACLE: dict[str, str] = {
         "mart_countries",
         "mart_fastest",
     ),
+    "layer_schema_inventory": _query(_layer_schema(), "races", "silver"),
     "gold_schema_inventory": _query(_gold_schema(), *_STAR, "mart_countries", "mart_fastest"),
     "dq_pk_duplicates": _query(
         """SELECT 'fct_results' AS table_name, result_id AS key_value, count(*) AS occurrences FROM fct GROUP BY 2 HAVING count(*) > 1
@@ -574,6 +612,8 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE["mart_top_countries_streamed"] = ORACLE["mart_top_countries"]
+
 for _name, _rows in (("race_type_counts", "silver"), ("race_type_counts_explore", "v2")):
     ORACLE[_name] = _query(
         f"""SELECT CASE WHEN event_distance_length LIKE '%mi' THEN 'miles' WHEN event_distance_length LIKE '%km'

@@ -19,7 +19,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles: dict[str, float]) ->
     )
     placed = place_in_slices(counts, column)
     total = placed.agg(F.sum("occurrences")).scalar()
-    running = running_total(placed, column, "occurrences", "up_to")
+    running = running_total(placed, (column,), "occurrences", "up_to")
     return running.agg(
         *[
             F.min(F.when(F.col("up_to") >= F.ceil(total * F.lit(p)), F.col(column))).alias(name)

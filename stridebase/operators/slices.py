@@ -12,18 +12,18 @@ from pyspark.sql import functions as F
 from stridebase.sources.tables import cut_lineage
 
 
-def place_in_slices(values: DataFrame, column: str) -> DataFrame:
-    """Add ``slice``, ascending with ``column`` and NULL first.
+def place_in_slices(values: DataFrame, *columns: str) -> DataFrame:
+    """Add ``slice``, ascending with ``columns`` and NULL first.
 
     The result is written out: whatever reads it twice must see the same cut, and range
     boundaries are sampled anew whenever a plan is run again.
     """
     slices = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = values.repartitionByRange(slices, F.asc_nulls_first(column))
-    return cut_lineage(placed.withColumn("slice", F.spark_partition_id()), f"slices-{column}")
+    placed = values.repartitionByRange(slices, *map(F.asc_nulls_first, columns))
+    return cut_lineage(placed.withColumn("slice", F.spark_partition_id()), f"slices-{columns[0]}")
 
 
-def running_total(placed: DataFrame, column: str, weight: str, name: str) -> DataFrame:
+def running_total(placed: DataFrame, columns: tuple[str, ...], weight: str, name: str) -> DataFrame:
     """Add the sum of ``weight`` over all values up to and including this one.
 
     There is one start per slice, so at most spark.sql.shuffle.partitions of them: few
@@ -37,7 +37,7 @@ def running_total(placed: DataFrame, column: str, weight: str, name: str) -> Dat
     )
     within = (
         Window.partitionBy("slice")
-        .orderBy(F.asc_nulls_first(column))
+        .orderBy(*map(F.asc_nulls_first, columns))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (

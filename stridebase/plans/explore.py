@@ -120,8 +120,9 @@ def explore_rows(races: DataFrame, variant: Variant) -> DataFrame:
     )
 
 
-def explore_silver(races: DataFrame, variant: Variant) -> DataFrame:
-    return with_dense_ids(explore_rows(races, variant), DENSE_IDS).select(
+def explore_silver(rows: DataFrame) -> DataFrame:
+    """Stored rows of :func:`explore_rows` with their ids."""
+    return with_dense_ids(rows, DENSE_IDS).select(
         *BRONZE_COLUMNS,
         "performance_seconds",
         "performance_km",

@@ -86,6 +86,12 @@ def table_inventory(spark: SparkSession, schema: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def layer_columns(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
+    """Columns of all stored tables of several schemas, given as ``{layer: schema}``."""
+    found = [column_inventory(spark, schema).select(F.lit(layer).alias("layer"), "*") for layer, schema in layers.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 def column_inventory(spark: SparkSession, schema: str) -> DataFrame:
     """Columns of every stored table with type and number of values, one scan per table."""
     described = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 from functools import reduce
 
@@ -16,7 +17,16 @@ from stridebase.plans import explore, silver
 # Fixed values.
 COMMON_DISTANCES = ("50km", "100km", "50mi", "100mi")
 CLOCK_FORMAT, DECIMAL_FORMAT, OTHER_FORMAT = "HH:MM:SS", "decimal", "övrigt"
+TIME_BASED, DISTANCE_BASED = "time_based", "distance_based"
+MILES, KILOMETERS, OTHER_TYPE = "miles", "kilometers", "other"
 SAMPLE_ROWS = 20
+REVIEWED = (
+    "event_id", "event_name", "event_distance_length",
+    "athlete_key", "athlete_id",
+    "athlete_performance", "performance_seconds", "performance_km",
+    "athlete_gender", "athlete_country", "year_of_event",
+)
+VARIANTS = {"v1": explore.V1, "v2": explore.V2}
 
 
 def _counted(df: DataFrame, *columns: str | Column, name: str = "results") -> DataFrame:
@@ -124,20 +134,36 @@ def cleaning_report(races: DataFrame) -> DataFrame:
 # Exploratory rows
 
 
+def _both_variants(races: DataFrame) -> DataFrame:
+    """Complete rows with the measures of both variants, from one scan and one parse of each text."""
+    rows = explore.with_units(races).where(explore.is_complete()).transform(explore.with_speed_number)
+    timed, measured = F.col("performance_unit") == "h", F.col("performance_unit") == "km"
+    for name, variant in VARIANTS.items():
+        rows = clock.with_seconds(rows, F.when(timed, variant.time_text()), f"seconds_{name}")
+        rows = rows.withColumn(f"km_{name}", F.when(measured, variant.kilometres()))
+    return rows
+
+
+def _per_variant(rows: DataFrame, figures: Callable[[str, Column], list[Column]]) -> DataFrame:
+    """One row per variant from one aggregate; ``figures`` get its name and which rows it keeps."""
+    found = [
+        F.struct(F.lit(name).alias("variant"), *figures(name, explore.is_plausible(variant)))
+        for name, variant in VARIANTS.items()
+    ]
+    return rows.agg(F.array(*found).alias("found")).select(F.inline("found"))
+
+
 def conversion_failures(races: DataFrame) -> DataFrame:
     """Times that could not be read, and rows left without any measure, per variant."""
-    no_time = F.col("performance_seconds").isNull()
-    counts = []
-    for name, variant in (("v1", explore.V1), ("v2", explore.V2)):
-        rows = explore.explore_converted(races, variant)
-        counts.append(
-            rows.agg(
-                F.lit(name).alias("variant"),
-                F.count_if((F.col("performance_unit") == "h") & no_time).alias("failed_times"),
-                F.count_if(no_time & F.col("performance_km").isNull()).alias("no_measure"),
-            )
-        )
-    return _union(counts)
+
+    def figures(name: str, kept: Column) -> list[Column]:
+        no_time = kept & F.col(f"seconds_{name}").isNull()
+        return [
+            F.count_if(no_time & (F.col("performance_unit") == "h")).alias("failed_times"),
+            F.count_if(no_time & F.col(f"km_{name}").isNull()).alias("no_measure"),
+        ]
+
+    return _per_variant(_both_variants(races), figures)
 
 
 def performance_sample(races: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -167,24 +193,19 @@ def speed_top20(races: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def speed_stats(races: DataFrame) -> DataFrame:
-    """Least, greatest and mean speed: as digits in v1, as stored in v2."""
-    frames = {
-        "v1": _clean_speeds(races).select(F.col("speed_float").alias("speed")),
-        "v2": explore.explore_rows(races, explore.V2).select(
-            F.col("athlete_average_speed").cast("double").alias("speed")
-        ),
-    }
-    return _union(
-        [
-            frame.agg(
-                F.lit(name).alias("variant"),
-                F.min("speed").alias("min_speed"),
-                F.max("speed").alias("max_speed"),
-                F.round(F.avg("speed"), 6).alias("avg_speed"),
-            )
-            for name, frame in frames.items()
+    """Least, greatest and mean speed: as digits in v1, as stored in v2. One scan for both."""
+    rows = explore.with_units(races).where(explore.is_complete()).transform(explore.with_speed_number)
+    read = {"v1": F.col("speed_number"), "v2": speed.leading_number(F.col("athlete_average_speed"))}
+
+    def figures(name: str, kept: Column) -> list[Column]:
+        value = F.when(kept, read[name].cast("double"))
+        return [
+            F.min(value).alias("min_speed"),
+            F.max(value).alias("max_speed"),
+            F.round(F.avg(value), 6).alias("avg_speed"),
         ]
-    )
+
+    return _per_variant(rows, figures)
 
 
 def speed_p99(races: DataFrame) -> DataFrame:
@@ -193,13 +214,13 @@ def speed_p99(races: DataFrame) -> DataFrame:
 
 
 def marathon_type_counts(rows: DataFrame) -> DataFrame:
-    kind = F.when(F.col("performance_seconds").isNotNull(), "time_based").otherwise("distance_based")
+    kind = F.when(F.col("performance_seconds").isNotNull(), TIME_BASED).otherwise(DISTANCE_BASED)
     return _counted(rows, kind.alias("marathon_type"))
 
 
 def race_type_counts(rows: DataFrame) -> DataFrame:
     distance = F.col("event_distance_length")
-    kind = F.when(distance.like("%mi"), "miles").when(distance.like("%km"), "kilometers").otherwise("other")
+    kind = F.when(distance.like("%mi"), MILES).when(distance.like("%km"), KILOMETERS).otherwise(OTHER_TYPE)
     return _counted(rows, kind.alias("race_type"))
 
 
@@ -272,6 +293,11 @@ def zero_time_stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def review_sample(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """Key columns of the first ``n`` exploratory rows in the order of these columns."""
+    return rows.select(*REVIEWED).orderBy(*map(F.asc_nulls_first, REVIEWED)).limit(n)
+
+
 def age_distribution(rows: DataFrame) -> DataFrame:
     return _counted(rows, "athlete_age_at_event").orderBy(F.asc_nulls_first("athlete_age_at_event"))
 

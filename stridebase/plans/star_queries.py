@@ -1,7 +1,7 @@
 """Questions asked of the star schema, and the dashboard datasets.
 
-Every dataset takes an optional year, the dashboard's cross-filter: it narrows the
-fact through ``dim_time`` before anything is aggregated.
+The datasets that the dashboard filters by a clicked year take it as an optional argument: it
+narrows the fact through ``dim_time`` before anything is aggregated.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
-"""The layers as stored tables: bronze, silver and gold, refreshed in full.
+"""The layers as stored tables: bronze, silver and gold, and the exploratory cleanings.
 
 Every table is written once and read back by what follows, so four gold tables share
-one cleaned copy instead of cleaning four times.
+one cleaned copy instead of cleaning four times, and all reports of an exploratory
+variant share another.
 """
 
 from __future__ import annotations
@@ -11,12 +12,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridebase.plans import gold, marts
-from stridebase.plans.silver import clean_results
+from stridebase.plans import explore, gold, marts
+from stridebase.plans.silver import SILVER_COLUMNS, clean_results
 from stridebase.plans.star_queries import Star
-from stridebase.session import shared_folder
+from stridebase.schema import BRONZE_SCHEMA
+from stridebase.sources import races_csv
+from stridebase.sources.files import delete_folder
 from stridebase.sources.order_races import races_from_orders
-from stridebase.sources.tables import create_schema, drop_table, refresh_table
+from stridebase.sources.tables import application_folder, create_schema, drop_table, refresh_table
+from stridebase.streaming.incremental import refresh_silver, stream_races
 
 GOLD_TABLES = (
     "dim_athlete",
@@ -26,12 +30,23 @@ GOLD_TABLES = (
     "mart_fastest_athletes",
     "mart_top_countries",
 )
+# Cached table -> (layer, stored name).
+STORED = {
+    "races": ("bronze", "races"),
+    "silver": ("silver", "obt"),
+    **{name: ("gold", name) for name in GOLD_TABLES},
+    "explore_v1": ("explore", "rows_v1"),
+    "explore_v2": ("explore", "rows_v2"),
+    "explore_silver_v1": ("explore", "silver_v1"),
+    "explore_silver_v2": ("explore", "silver_v2"),
+}
 
 
 class Warehouse:
     """Stored layers over one source of raw results.
 
-    A table is built when it is first asked for; :meth:`refresh` builds all of them.
+    A table is built when it is first asked for; :meth:`refresh` builds all but the exploratory
+    ones, which are built anew when they are next asked for.
     ``prefix`` goes in front of the schema names, ``location`` is the folder they live in.
     """
 
@@ -40,7 +55,7 @@ class Warehouse:
         self._races = races
         self._prefix = prefix
         self.location = location
-        for layer in ("bronze", "silver", "gold"):
+        for layer in ("bronze", "silver", "gold", "explore"):
             create_schema(self.spark, self.schema(layer), f"{location}/{layer}")
 
     @property
@@ -50,59 +65,107 @@ class Warehouse:
     def schema(self, layer: str) -> str:
         return f"{self._prefix}{layer}"
 
-    def _store(self, layer: str, table: str, df: DataFrame, comment: str) -> DataFrame:
-        path = f"{self.location}/{layer}/{table}"
-        return refresh_table(df, f"{self.schema(layer)}.{table}", comment, path)
+    def _place(self, name: str) -> tuple[str, str]:
+        """Table and folder of a stored layer."""
+        layer, table = STORED[name]
+        return f"{self.schema(layer)}.{table}", f"{self.location}/{layer}/{table}"
+
+    def _store(self, name: str, df: DataFrame, comment: str) -> DataFrame:
+        table, path = self._place(name)
+        return refresh_table(df, table, comment, path)
 
     @cached_property
     def races(self) -> DataFrame:
-        return self._store("bronze", "races", self._races, "Raw results, columns renamed")
+        return self._store("races", self._races, "Raw results, columns renamed")
 
     @cached_property
     def silver(self) -> DataFrame:
         comment = "Cleaned results: kilometre events of European athletes"
-        return self._store("silver", "obt", clean_results(self.races), comment)
+        return self._store("silver", clean_results(self.races), comment)
 
     @cached_property
     def dim_athlete(self) -> DataFrame:
-        return self._store("gold", "dim_athlete", gold.dim_athlete(self.silver), "Latest athlete attributes")
+        return self._store("dim_athlete", gold.dim_athlete(self.silver), "Latest athlete attributes")
 
     @cached_property
     def dim_event(self) -> DataFrame:
-        return self._store("gold", "dim_event", gold.dim_event(self.silver), "Latest event attributes")
+        return self._store("dim_event", gold.dim_event(self.silver), "Latest event attributes")
 
     @cached_property
     def dim_time(self) -> DataFrame:
-        return self._store("gold", "dim_time", gold.dim_time(self.silver), "Years")
+        return self._store("dim_time", gold.dim_time(self.silver), "Years")
 
     @cached_property
     def fct_results(self) -> DataFrame:
-        return self._store("gold", "fct_results", gold.fct_results(self.silver), "One row per result")
+        return self._store("fct_results", gold.fct_results(self.silver), "One row per result")
 
     @cached_property
     def mart_top_countries(self) -> DataFrame:
         mart = marts.mart_top_countries(self.fct_results, self.dim_athlete)
-        return self._store("gold", "mart_top_countries", mart, "Results, speed and time per country")
+        return self._store("mart_top_countries", mart, "Results, speed and time per country")
 
     @cached_property
     def mart_fastest_athletes(self) -> DataFrame:
         mart = marts.mart_fastest_athletes(self.fct_results, self.dim_athlete, self.dim_event)
-        return self._store("gold", "mart_fastest_athletes", mart, "The 1,000 shortest finishing times")
+        return self._store("mart_fastest_athletes", mart, "The 1,000 shortest finishing times")
+
+    @cached_property
+    def explore_v1(self) -> DataFrame:
+        return self._store("explore_v1", explore.explore_rows(self.races, explore.V1), "Exploratory cleaning, variant 1")
+
+    @cached_property
+    def explore_v2(self) -> DataFrame:
+        return self._store("explore_v2", explore.explore_rows(self.races, explore.V2), "Exploratory cleaning, variant 2")
+
+    @cached_property
+    def explore_silver_v1(self) -> DataFrame:
+        return self._store("explore_silver_v1", explore.explore_silver(self.explore_v1), "Variant 1 with dense ids")
+
+    @cached_property
+    def explore_silver_v2(self) -> DataFrame:
+        return self._store("explore_silver_v2", explore.explore_silver(self.explore_v2), "Variant 2 with dense ids")
 
     def gold(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in GOLD_TABLES}
 
     def refresh(self) -> dict[str, DataFrame]:
         """Build every table anew, in order of dependency."""
-        for name in ("races", "silver", *GOLD_TABLES):
+        for name in STORED:
             self.__dict__.pop(name, None)
         return {"races": self.races, "silver": self.silver, **self.gold()}
 
     def drop(self) -> None:
-        drop_table(self.spark, f"{self.schema('bronze')}.races")
-        drop_table(self.spark, f"{self.schema('silver')}.obt")
-        for name in GOLD_TABLES:
-            drop_table(self.spark, f"{self.schema('gold')}.{name}")
+        """Forget all tables and remove their files."""
+        for name in STORED:
+            drop_table(self.spark, *self._place(name))
+            self.__dict__.pop(name, None)
+
+
+class StreamedWarehouse(Warehouse):
+    """Stored layers over a landing folder of raw files that only ever gains files.
+
+    A refresh cleans the files that are new since the last one and appends them to the
+    cleaned results; the star schema is built anew from these. ``limits`` go to the cleaning
+    (countries, low, high) and must stay the same for one location.
+    """
+
+    def __init__(
+        self, spark: SparkSession, landing: str, location: str, prefix: str = "", file_format: str = "parquet", **limits
+    ) -> None:
+        read = races_csv.read_races_csv if file_format == "csv" else lambda s, path: s.read.schema(BRONZE_SCHEMA).parquet(path)
+        super().__init__(read(spark, landing), location, prefix)
+        self.landing, self.file_format, self.limits = landing, file_format, limits
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        target, checkpoint = f"{self.location}/silver/streamed", f"{self.location}/silver/checkpoint"
+        arriving = stream_races(self.spark, self.landing, self.file_format)
+        refresh_silver(arriving, target, checkpoint, **self.limits).awaitTermination()
+        return self.spark.read.parquet(target).select(*SILVER_COLUMNS)
+
+    def drop(self) -> None:
+        super().drop()
+        delete_folder(self.spark, f"{self.location}/silver")
 
 
 _open: dict[tuple[str, str], Warehouse] = {}
@@ -118,6 +181,6 @@ def order_warehouse(spark: SparkSession, directory: str) -> Warehouse:
     key = (application, directory)
     if key not in _open:
         name = "races_" + hashlib.sha256(directory.encode()).hexdigest()[:12]
-        location = f"{shared_folder(spark)}/stridebase/{application}/{name}"
+        location = f"{application_folder(spark)}/{name}"
         _open[key] = Warehouse(races_from_orders(spark, directory), location, f"{name}_")
     return _open[key]

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from stridebase.sources import files
+
 # Settings the jobs are tuned for. They go on the builder, so a cluster's own
 # spark-defaults still decide master, memory and the checkpoint folder.
 SETTINGS = {
@@ -16,6 +18,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
+SHARED_MOUNT = "spark.stridebase.sharedMount"
+
 _local_folder: dict[str, str] = {}
 
 
@@ -32,14 +36,19 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session may run without it; there the driver is the one executor
-    and gets a temporary folder.
+    and gets a temporary folder. On a cluster the folder must not be in a machine's own file
+    system, unless ``spark.stridebase.sharedMount`` says that all machines mount it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    local = context.master.startswith("local")
     if folder:
+        mounted = spark.conf.get(SHARED_MOUNT, "false").lower() == "true"
+        if not local and not mounted and files.scheme(spark, folder) == "file":
+            raise RuntimeError(f"{folder} is on a machine's own disk; set {SHARED_MOUNT} if all machines mount it")
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    return _local_folder.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="stridebase-")
-    )
+    if context.applicationId not in _local_folder:
+        _local_folder[context.applicationId] = tempfile.mkdtemp(prefix="stridebase-")
+    return _local_folder[context.applicationId]

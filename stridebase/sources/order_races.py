@@ -54,15 +54,4 @@ def races_from_orders(spark: SparkSession, directory: str) -> DataFrame:
         name: spark.read.parquet(f"{directory}/{name}.parquet")
         for name in ("lineitem", "orders", "customer", "part")
     }
-    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
-        tables[name] = _use_all_cores(tables[name], key)
     return spark.sql(RACES_SQL, **tables)
-
-
-def _use_all_cores(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than there are cores, as of one small file.
-
-    A large input has more tasks than cores and is left as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

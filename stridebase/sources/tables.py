@@ -1,17 +1,29 @@
-"""Table sink with full refresh, and lineage cuts in the shared folder."""
+"""Table sink with full refresh, and intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridebase.session import shared_folder
+from stridebase.sources import files
+
+MARKER = "_refreshed_in_full"
+KEPT_VERSIONS = 2  # the published one, and the one that running readers may still hold
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_schema(spark: SparkSession, schema: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION {_quoted(location)}")
 
 
 def refresh_table(
@@ -19,8 +31,11 @@ def refresh_table(
 ) -> DataFrame:
     """Replace the stored table by ``df`` and return it as read back.
 
-    The files belong to ``path``, not to the catalog: a later application whose catalog
-    starts empty replaces them just the same.
+    The rows go to a new version folder under ``path``, and only when all are written is the
+    table pointed there. A failed refresh leaves the table as it was and its own
+    files removed. The version before stays until the next refresh, for readers that began
+    with it; older ones are removed. The files belong to ``path``, not to the catalog:
+    a later application whose catalog starts empty goes on in the same folder.
 
     With ``partition_by`` the rows are rebalanced on those columns first: every
     partition value lands in few, evenly sized files, and adaptive execution splits a
@@ -29,27 +44,91 @@ def refresh_table(
     spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    quoted = comment.replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {name} IS '{quoted}'")
+    version = f"{path}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    try:
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(version)
+    except BaseException:
+        files.delete_folder(spark, version)
+        raise
+    files.touch(spark, f"{path}/{MARKER}")
+    _publish(spark, name, version, bool(partition_by))
+    spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+    for old in [v for v in files.subfolders(spark, path) if v.startswith("v")][:-KEPT_VERSIONS]:
+        files.delete_folder(spark, f"{path}/{old}")
     return spark.table(name)
 
 
-def drop_table(spark: SparkSession, name: str) -> None:
-    """Forget the table; its files stay until the next refresh replaces them."""
+def _publish(spark: SparkSession, name: str, version: str, partitioned: bool) -> None:
+    """Point the table to the version, in one step if its columns are the same and it has no partitions.
+
+    Otherwise a table is defined beside it and takes its name: two steps of the catalog alone.
+    """
+    there = spark.catalog.tableExists(name)
+    if there and not partitioned and spark.table(name).schema == spark.read.parquet(version).schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(version)}")
+        spark.catalog.refreshTable(name)
+        return
+    beside = f"{name}_{uuid.uuid4().hex[:8]}" if there else name
+    spark.sql(f"CREATE TABLE {beside} USING parquet LOCATION {_quoted(version)}")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {beside} RECOVER PARTITIONS")
+    if there:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+
+
+def is_refreshed_in_full(spark: SparkSession, folder: str) -> bool:
+    """Whether :func:`refresh_table` owns the folder or the one above it."""
+    above = folder.rstrip("/").rpartition("/")[0]
+    return any(files.exists(spark, f"{place}/{MARKER}") for place in (folder, above) if place)
+
+
+def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Forget the table and, if its ``path`` is given, remove its files."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if path:
+        files.delete_folder(spark, path)
+
+
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+_applications: set[str] = set()
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's folder among the shared ones; it goes when the driver ends."""
+    application = spark.sparkContext.applicationId
+    folder = f"{shared_folder(spark)}/stridebase/{application}"
+    if application not in _applications:
+        files.delete_at_exit(spark, folder)
+        _applications.add(application)
+    return folder
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of one run, removed with them at its end.
+
+    What the run returns must be stored or collected inside.
+    """
+    folder = f"{application_folder(spark)}/run-{uuid.uuid4().hex}"
+    files.make_folder(spark, folder)
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        files.delete_folder(spark, folder)
 
 
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written files.
 
     Unlike a cache, the files survive lost executors, and unlike a row checkpoint they
-    are columnar.
+    are columnar. They belong to the run of :func:`intermediates` around the call, or else to the application.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stridebase/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{_scope.get() or application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

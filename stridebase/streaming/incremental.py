@@ -11,14 +11,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stridebase.plans.silver import EUROPE, clean_results
+from stridebase.plans.silver import EUROPE, MAX_SPEED, MIN_SPEED, clean_results
 from stridebase.schema import BRONZE_SCHEMA, RAW_SCHEMA, RAW_TO_BRONZE
+from stridebase.sources.tables import is_refreshed_in_full
 
 
 def stream_races(
     spark: SparkSession, folder: str, file_format: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Raw results from files arriving in a folder, as ``parquet`` or headed ``csv``."""
+    """Raw results from files arriving in a landing folder, as ``parquet`` or headed ``csv``.
+
+    The folder must only ever gain files. One that a table is refreshed in is refused: a full
+    refresh writes the same rows to new files, which a stream would take in again.
+    """
+    if is_refreshed_in_full(spark, folder):
+        raise ValueError(f"{folder} belongs to a table that is refreshed in full; stream the landing folder of raw files")
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -33,6 +40,8 @@ def refresh_silver(
     target: str,
     checkpoint: str,
     countries: Sequence[str] = EUROPE,
+    low: float = MIN_SPEED,
+    high: float = MAX_SPEED,
 ) -> StreamingQuery:
     """Clean all files that are new since the last run, append them, and stop.
 
@@ -40,7 +49,7 @@ def refresh_silver(
     what makes a repeated or interrupted run write each file exactly once.
     """
     return (
-        clean_results(races, countries)
+        clean_results(races, countries, low, high)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)

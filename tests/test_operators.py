@@ -57,7 +57,7 @@ def test_dense_ranks_equal_plain_window(spark, partitions):
 
 
 def test_dense_ranks_of_nothing(spark):
-    assert dense_ranks(spark.createDataFrame([], "a int"), "a", "id").collect() == []
+    assert dense_ranks(spark.createDataFrame([], "a int"), {"id": "a"})["id"].collect() == []
 
 
 def test_exact_quantiles(spark):

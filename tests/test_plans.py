@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from stridebase.plans import gold, marts, star_queries
+from oracle.duckdb_sql import ORACLE
+from stridebase.plans import explore, gold, marts, reports, star_queries
 from stridebase.plans.silver import clean_results
 from tests.conftest import SF_DIR
 
-QUERIES = contract.queries()
+QUERIES = {name: query for name, query in contract.queries().items() if name in ORACLE}
 
 
 def executed(df):
@@ -66,3 +67,25 @@ def test_top_k_is_no_full_sort(warehouse):
     assert "TakeOrderedAndProject" in executed(mart)
     top = star_queries.top_country(warehouse.mart_top_countries)
     assert "TakeOrderedAndProject" in executed(top)
+
+
+def test_reports_on_both_variants_scan_once(spark, warehouse):
+    for build in (reports.speed_stats, reports.conversion_failures, reports.cleaning_report):
+        assert executed(build(warehouse.races)).count("Scan parquet") == 1
+
+
+def test_no_plan_depends_on_the_number_of_cores(spark):
+    assert "REPARTITION_BY_NUM" not in executed(QUERIES["bronze_races"](spark, SF_DIR))
+
+
+def test_exploratory_rows_are_cleaned_once(spark, warehouse):
+    for rows in (explore.explore_rows(warehouse.races, explore.V1), explore.explore_rows(warehouse.races, explore.V2)):
+        text = executed(rows)
+        assert text.count("Scan parquet") == 1 and "Exchange" not in text
+    with_ids = executed(explore.explore_silver(warehouse.explore_v1))
+    assert with_ids.count("Scan parquet") == 4  # the stored rows and three lists of ranks
+    assert "RLIKE" not in with_ids and "regexp" not in with_ids  # nothing is cleaned again
+
+
+def test_stored_marts_are_not_sorted(warehouse):
+    assert "rangepartitioning" not in executed(marts.mart_top_countries(warehouse.fct_results, warehouse.dim_athlete))

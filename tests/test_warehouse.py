@@ -1,6 +1,9 @@
 """Stored layers, CSV source, invariants between the layers, and the streamed refresh."""
 
+import os
 import shutil
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -8,11 +11,11 @@ from pyspark.sql import functions as F
 
 from stridebase.plans import quality
 from stridebase.plans.silver import EUROPE, SILVER_COLUMNS, clean_results
-from stridebase.plans.warehouse import GOLD_TABLES, Warehouse
+from stridebase.plans.warehouse import GOLD_TABLES, StreamedWarehouse, Warehouse
 from stridebase.schema import BRONZE_SCHEMA, RAW_COLUMNS
 from stridebase.session import shared_folder
-from stridebase.sources.races_csv import read_races_csv, write_races_csv
-from stridebase.sources.tables import refresh_table
+from stridebase.sources.races_csv import count_lines, read_races_csv, rejected_lines, write_races_csv
+from stridebase.sources.tables import create_schema, cut_lineage, intermediates, refresh_table
 from stridebase.streaming.incremental import refresh_silver, stream_races
 from tests.compare import open_duckdb
 from tests.conftest import SF_DIR
@@ -135,6 +138,8 @@ def test_partitioned_table(spark, warehouse, shared):
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{shared}/{schema}'")
     stored = refresh_table(warehouse.silver, f"{schema}.obt", "It's by year", f"{shared}/{schema}/obt", ("year_of_event",))
     assert same_rows(stored.select(*SILVER_COLUMNS), warehouse.silver)
+    stored = refresh_table(warehouse.silver, f"{schema}.obt", "Again", f"{shared}/{schema}/obt", ("year_of_event",))
+    assert same_rows(stored.select(*SILVER_COLUMNS), warehouse.silver)
     one_year = stored.where("year_of_event = 1998")
     assert "PartitionFilters: [isnotnull(year_of_event" in plan(one_year)
 
@@ -192,9 +197,143 @@ def test_streamed_refresh_equals_batch(spark, warehouse, shared, file_format):
     assert same_rows(refresh(), warehouse.silver)  # nothing new: nothing added
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (named.rstrip("/") if named else shared_folder(spark))
+def test_stream_then_full_refresh_then_stream(spark, warehouse, shared):
+    """Every file of the landing folder is cleaned once, whatever is refreshed in full beside it."""
+    base = f"{shared}/{uuid.uuid4().hex}"
+    warehouse.races.write.parquet(f"{base}/landing")
+    prefix = "t" + uuid.uuid4().hex[:8] + "_"
+    streamed = StreamedWarehouse(spark, f"{base}/landing", f"{base}/streamed", prefix)
+    full = Warehouse(spark.read.parquet(f"{base}/landing"), f"{base}/full", f"{prefix}full_")
+    assert same_rows(streamed.silver, warehouse.silver)
+    full.refresh()
+    streamed.refresh()
+    full.refresh()
+    streamed.refresh()
+    assert same_rows(streamed.silver, warehouse.silver)
+    for name in GOLD_TABLES:
+        assert same_rows(getattr(streamed, name), getattr(full, name))
+    for folder in (f"{base}/full/bronze/races", f"{base}/full/bronze/races/" + versions(f"{base}/full/bronze/races")[-1]):
+        with pytest.raises(ValueError, match="refreshed in full"):
+            stream_races(spark, folder)
+
+
+def test_limits_of_a_streamed_refresh(spark, shared):
+    base = f"{shared}/{uuid.uuid4().hex}"
+    rows = raw(spark, *[{"athlete_average_speed": f"{s} km/h"} for s in ("0.5", "35", "29.9")])
+    write_races_csv(rows, f"{base}/landing")
+    prefix = "t" + uuid.uuid4().hex[:8] + "_"
+    strict = StreamedWarehouse(spark, f"{base}/landing", f"{base}/layers", prefix, "csv", low=1, high=30)
+    assert [round(r["athlete_average_speed"], 1) for r in strict.silver.collect()] == [29.9]
+    assert strict.fct_results.count() == 1
+    strict.drop()
+    assert files_under(f"{base}/layers") == 0
+
+
+def versions(folder):
+    return sorted(name for name in os.listdir(folder) if name.startswith("v"))
+
+
+def files_under(folder):
+    return sum(len(names) for _, _, names in os.walk(folder))
+
+
+def test_failed_refresh_leaves_the_table(spark, shared):
+    schema = "t" + uuid.uuid4().hex[:8]
+    path = f"{shared}/{schema}/numbers"
+    create_schema(spark, schema, f"{shared}/{schema}")
+    name = f"{schema}.numbers"
+    stored = refresh_table(spark.range(10), name, "It's \\ a comment", path)
+    before = files_under(path)
+    with pytest.raises(Exception, match="broken"):
+        refresh_table(spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), name, "", path)
+    assert spark.table(name).count() == stored.count() == 10
+    assert files_under(path) == before
+    assert spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Comment'").first()["data_type"] == "It's \\ a comment"
+    # readers that began before a refresh still find their files after it
+    assert refresh_table(spark.range(3), name, "", path).count() == 3
+    assert stored.count() in (3, 10)
+    assert refresh_table(spark.range(2).select("id", F.lit(1).alias("more")), name, "", path).columns == ["id", "more"]
+
+
+def test_paths_and_comments_are_quoted(spark, shared):
+    schema = "t" + uuid.uuid4().hex[:8]
+    folder = f"{shared}/it's {schema}"
+    create_schema(spark, schema, folder)
+    assert refresh_table(spark.range(4), f"{schema}.t", "a 'b' \\c", f"{folder}/t").count() == 4
+
+
+def test_files_of_repeated_refreshes_are_bounded_and_dropped(spark, warehouse, shared):
+    prefix = "t" + uuid.uuid4().hex[:8] + "_"
+    other = Warehouse(warehouse.races, f"{shared}/{prefix}", prefix)
+    counts = []
+    for _ in range(3):
+        other.refresh()
+        counts.append(files_under(f"{shared}/{prefix}"))
+    assert counts[2] == counts[1] < 3 * counts[0]
+    other.explore_v1
+    other.drop()
+    assert files_under(f"{shared}/{prefix}") == 0
+
+
+def test_intermediate_tables_go_with_their_run(spark):
+    with intermediates(spark) as folder:
+        kept = cut_lineage(spark.range(7), "numbers")
+        assert kept.count() == 7 and files_under(folder) > 0
+    assert not os.path.exists(folder)
+    assert cut_lineage(spark.range(7), "numbers").count() == 7  # outside a run: until the application ends
+
+
+def test_applications_remove_their_folder(tmp_path):
+    code = f"""
+from stridebase.session import build_session
+from stridebase.sources.tables import cut_lineage
+spark = build_session("t", "local[1]", **{{"spark.checkpoint.dir": "{tmp_path}/shared", "spark.ui.enabled": "false"}})
+assert cut_lineage(spark.range(7), "numbers").count() == 7
+import os
+assert os.listdir("{tmp_path}/shared/stridebase")
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=120, cwd=os.path.dirname(os.path.dirname(__file__)))
+    assert os.listdir(f"{tmp_path}/shared/stridebase") == []
+
+
+class Session:
+    """What :func:`shared_folder` asks of a session."""
+
+    def __init__(self, spark, master, **settings):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: settings.get(key.replace(".", "_"), default))})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": uuid.uuid4().hex})
+        self._jvm, self._jsc = spark._jvm, spark._jsc
+
+
+def test_shared_folder(spark):
+    local = Session(spark, "local[2]")
+    assert shared_folder(local) == shared_folder(local) and os.path.isdir(shared_folder(local))
+    assert shared_folder(Session(spark, "local[2]", spark_checkpoint_dir="/some/folder/")) == "/some/folder"
+    for settings in ({}, {"spark_checkpoint_dir": "/plain"}, {"spark_checkpoint_dir": "file:/disk"}):
+        with pytest.raises(RuntimeError):
+            shared_folder(Session(spark, "spark://host:7077", **settings))
+    mounted = Session(spark, "yarn", spark_checkpoint_dir="file:/mnt/all", spark_stridebase_sharedMount="true")
+    assert shared_folder(mounted) == "file:/mnt/all"
+
+
+def test_malformed_lines_are_counted(spark, shared):
+    path = f"{shared}/{uuid.uuid4().hex}"
+    write_races_csv(raw(spark, {"event_name": 'Quoted, with "comma"'}, {"athlete_id": 2}).coalesce(1), path)
+    (name,) = [n for n in os.listdir(path) if n.endswith(".csv")]
+    with open(f"{path}/{name}") as lines:
+        header, quoted, good = lines.read().splitlines()
+    with open(f"{path}/{name}", "w") as out:
+        short = ",".join(good.split(",")[:4])
+        bad = good.rpartition(",")[0] + ",12x"
+        out.write("\n".join([header, quoted, good, short, bad]) + "\n")
+    os.remove(f"{path}/.{name}.crc")
+    rows = read_races_csv(spark, path).collect()
+    assert len(rows) == 4 and sum(r["athlete_id"] is None for r in rows) == 2
+    assert {r["event_name"] for r in rows} == {'Quoted, with "comma"', "Test 50"}
+    assert sorted(r["rejected_line"] for r in rejected_lines(spark, path).collect()) == sorted([short, bad])
+    assert count_lines(spark, path).first()[:2] == (4, 2)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_races_csv(spark, path, fail=True).collect()
 
 
 def test_fixture_sizes():
