@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridebase.llm import chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc
-from stridebase.llm.tables import cut_lineage, run_folder, table
+from stridebase.llm.tables import application_folder, cut_lineage, table
 from stridebase.llm.url_templates import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,7 +26,7 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives and read back."""
     warc.register(spark)
-    folder = f"{run_folder(spark)}/warc-{uuid.uuid4().hex}"
+    folder = f"{application_folder(spark)}/warc-{uuid.uuid4().hex}"
     records = warc.page_records(table(spark, sf_dir, "pages"), lambda df: cut_lineage(df, "repeated"))
     records.write.format("warc").mode("append").save(folder)
     read = spark.read.format("warc").load(folder)

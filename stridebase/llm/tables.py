@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridebase.session import shared_folder
-from stridebase.sources.tables import cut_lineage
+from stridebase.sources.tables import application_folder, cut_lineage
 
-__all__ = ["cut_lineage", "fresh_name", "partitions", "run_folder", "table"]
+__all__ = ["application_folder", "cut_lineage", "fresh_name", "partitions", "table"]
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -18,11 +17,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def run_folder(spark: SparkSession) -> str:
-    """This application's folder among the shared ones."""
-    return f"{shared_folder(spark)}/stridebase/{spark.sparkContext.applicationId}"
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so (case ignored)."""
     taken = {c.lower() for c in df.columns}

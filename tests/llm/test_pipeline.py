@@ -1,0 +1,59 @@
+"""The pipeline on small made-up tables: odd rows, no rows, and extra columns."""
+
+import uuid
+
+import pytest
+
+import corpus_pipeline
+from stridebase.llm import neighbours
+
+GOOD = "the quick brown fox number {0} jumps over a lazy dog near river {0} while clouds of kind {0} drift past hill {0}"
+ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+
+
+def write(spark, folder, docs, labels, items, extra=""):
+    spark.createDataFrame(docs, f"doc_id long, text string, lang string, source string, n_chars long{extra}").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def stages(spark, folder):
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = f"{folder}/stage-{i}"
+        stage(spark, docs, folder).write.parquet(out)
+        docs = spark.read.parquet(out)
+        kept.append(docs)
+    return kept
+
+
+def test_stages_on_odd_rows(spark, shared):
+    folder = f"{shared}/{uuid.uuid4().hex}"
+    docs = [(i, GOOD.format(i)) for i in range(40)]
+    docs += [(100 + i, "### $$$ !!! ### %%% $$$ " * 20) for i in range(20)]  # rejected
+    docs += [(200, docs[3][1]), (201, docs[3][1].upper()), (3, docs[3][1])]  # copies, and a repeated row
+    docs += [(300, GOOD.format(300) + " " + ITEM), (None, ITEM), (None, GOOD.format(1)), (301, None), (302, "")]
+    docs += [(400, " ".join(f"word{i % 977} thing{i % 89}" for i in range(60_000)))]  # very long
+    rows = [(*d, "en", None, 1, f"x{n}", 2.5) for n, d in enumerate(docs)]
+    labels = [(i, 1, 0) for i in range(40)] + [(100 + i, 0, 0) for i in range(20)] + [(None, 1, None), (1, None, None)]
+    write(spark, folder, rows, labels, [(1, ITEM), (2, None)], ", class_id string, score double")
+    kept = stages(spark, folder)
+    ids = [[r["doc_id"] for r in df.select("doc_id").collect()] for df in kept]
+    assert not any(i is not None and 100 <= i < 120 for i in ids[0])
+    assert set(range(40)) <= set(ids[0]) and {301, 302, 400} <= set(ids[0])
+    assert sorted(i for i in ids[1] if i is not None) == sorted({i for i in ids[0] if i is not None} - {200, 201})
+    assert ids[1].count(None) == 2
+    assert 300 not in ids[2] and ids[2].count(None) == 1
+    assert set(ids[2]) == set(ids[1]) - {300}
+    assert set(ids[3]) == set(ids[2])
+    sequences = kept[3].groupBy("sequence_id").sum("length").collect()
+    assert all(r[1] <= 1024 for r in sequences)
+
+
+@pytest.mark.parametrize("docs", [[], [(1, None, None, None, None)]])
+def test_stages_on_few_rows(spark, shared, docs):
+    folder = f"{shared}/{uuid.uuid4().hex}"
+    write(spark, folder, docs, [], [])
+    kept = stages(spark, folder)
+    assert [df.count() for df in kept] == [len(docs)] * 4  # without labels one half is above the limit
+    assert neighbours.ACCEPTED < 0.5
