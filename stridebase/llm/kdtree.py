@@ -10,14 +10,12 @@ so finds a k-th score to start from; the second round carries it to all other sh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stridebase.llm.tables import cut_lineage
 

@@ -27,6 +27,7 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualNullSafe,
     EqualTo,
     Filter,
     GreaterThan,
@@ -276,6 +277,8 @@ def header_test(condition: Filter) -> Callable[[dict], bool | None] | None:
         return lambda row: row[column] is None
     if isinstance(condition, IsNotNull):
         return lambda row: row[column] is not None
+    if isinstance(condition, EqualNullSafe):
+        return lambda row: row[column] == condition.value
     compare = _COMPARE.get(type(condition))
     if compare is None:
         return None

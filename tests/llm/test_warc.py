@@ -60,6 +60,7 @@ def test_filters_reach_the_reader_and_agree_with_spark(spark, archive):
         F.col("record_type") == "revisit",
         F.col("page_id").isin(4, 8, 9),
         F.col("page_id").isNull(),
+        F.col("page_id").eqNullSafe(8),
         F.col("page_id") > 5,
         ~(F.col("page_id") == 6),
         F.col("target_uri").startswith("http://a") & (F.col("payload_length") >= 100),
