@@ -149,6 +149,22 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id OR (first IS NOT NULL AND page_id IS NULL) THEN first END AS refers_to
 FROM f""",
+    "op3_sharding": """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n::BIGINT)) AS t
+), d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT + 1 AS size,
+    xor(4294967295, list_reduce(
+      list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT),
+      lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1]), 4294967295::BIGINT)) AS text_crc32
+  FROM documents, crc
+), p AS (
+  SELECT *, row_number() OVER w - 1 AS n, sum(size) OVER w - size AS start, sum(size) OVER () AS total FROM d
+  WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)
+), s AS (SELECT *, least((2 * start + size) * 8 // (2 * total), 7)::INTEGER AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, n - min(n) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard
+FROM s""",
     "op6_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
