@@ -22,6 +22,7 @@ from stridebase.plans.silver import clean_results  # noqa: E402
 from stridebase.plans.warehouse import StreamedWarehouse, Warehouse, order_warehouse  # noqa: E402
 from stridebase.sources.order_races import races_from_orders  # noqa: E402
 from stridebase.sources.races_csv import count_lines, read_races_csv, write_races_csv  # noqa: E402
+from stridebase.sources.tables import create_schema, drop_table, refresh_table  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -89,6 +90,17 @@ def _layer_row_counts(w: Warehouse) -> DataFrame:
     return reports.layer_row_counts({"bronze": w.races, "silver": w.silver, "gold": w.fct_results})
 
 
+def _after_a_drop(w: Warehouse) -> DataFrame:
+    """What is left of two stored tables when one has been dropped with its files."""
+    schema = f"drop_{uuid.uuid4().hex[:10]}"
+    place = f"{w.location}/{schema}"
+    create_schema(w.spark, schema, place)
+    for name in ("dim_time", "dim_event"):
+        refresh_table(getattr(w, name), f"{schema}.{name}", "Copy", f"{place}/{name}")
+    drop_table(w.spark, f"{schema}.dim_time", f"{place}/dim_time")
+    return quality.table_inventory(w.spark, schema)
+
+
 def _layer_columns(w: Warehouse) -> DataFrame:
     w.races, w.silver  # stored first
     return quality.layer_columns(w.spark, {layer: w.schema(layer) for layer in ("bronze", "silver")})
@@ -198,6 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "surrogate_keys": lambda w: reports.surrogate_keys(w.silver),
         "layer_row_counts": _layer_row_counts,
         "layer_schema_inventory": _layer_columns,
+        "tables_after_drop": _after_a_drop,
         "gold_table_inventory": lambda w: _gold_inventory(w, quality.table_inventory),
         "gold_schema_inventory": lambda w: _gold_inventory(w, quality.column_inventory),
         # Data quality

@@ -582,6 +582,7 @@ ORACLE: dict[str, str] = {
         "mart_countries",
         "mart_fastest",
     ),
+    "tables_after_drop": _query("SELECT 'dim_event' AS table_name, count(*) AS rows FROM dim_event", "dim_event"),
     "layer_schema_inventory": _query(_layer_schema(), "races", "silver"),
     "gold_schema_inventory": _query(_gold_schema(), *_STAR, "mart_countries", "mart_fastest"),
     "dq_pk_duplicates": _query(
