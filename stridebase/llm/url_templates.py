@@ -119,8 +119,8 @@ def _merged(paths: DataFrame, level: int) -> DataFrame:
     )
     node, branch = ["host", "before"], ["host", "before", "segment"]
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    cells = cut_lineage(at.groupBy(*branch, "rest").agg(*sums), "branches")
-    branches = cells.groupBy(*branch).agg(*sums, F.max(F.struct("n", "rest"))["rest"].alias("main"))
+    cells = cut_lineage(at.groupBy(*branch, "rest").agg(*sums), "cells")
+    branches = cut_lineage(cells.groupBy(*branch).agg(*sums, F.max(F.struct("n", "rest"))["rest"].alias("main")), "branches")
 
     # Branches are compared with those that mostly go on in the same way. Their median share of
     # bad labels is not moved by a few bad branches; those near it give the share to compare with.
@@ -130,10 +130,9 @@ def _merged(paths: DataFrame, level: int) -> DataFrame:
     middle = common.groupBy(*kin).agg(F.percentile_approx(share, 0.5, 10_000).alias("middle"), F.sum("labelled").alias("known"))
     least = 1 / (F.col("known") + 2)
     around = common.join(middle, kin).withColumn("share", F.greatest(least, F.least(1 - least, F.coalesce("middle", F.lit(0.5)))))
-    typical = around.where(_agrees(F.col("share"), 2 * QUANTILE)).groupBy(*kin).agg(
-        ((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("share"), F.sum("n").alias("all_n")
-    )
-    clean = common.join(typical.select(*kin, "share", "all_n"), kin).where(_agrees(F.col("share"), QUANTILE))
+    near = around.where(_agrees(F.col("share"), 2 * QUANTILE))
+    typical = near.groupBy(*kin).agg(((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("share"))
+    clean = cut_lineage(common.join(typical, kin).where(_agrees(F.col("share"), QUANTILE)), "clean")
 
     # Distance of a branch's shapes from those of its kin together; shapes that it lacks add what was expected of them.
     of_kin = cells.join(clean.select(*branch, "main", F.col("n").alias("branch_n")), branch)
@@ -149,9 +148,9 @@ def _merged(paths: DataFrame, level: int) -> DataFrame:
     freedom = F.greatest(F.col("shapes") - 1, F.lit(1)).cast("double")
     alike = distances.where((F.col("shapes") == 1) | (F.col("distance") <= _critical(freedom))).select(*branch, "main")
     rare = branches.where(F.col("n") < SUPPORT).select(*branch, F.lit("rare").alias("main"))
-    chosen = alike.unionAll(rare)
+    chosen = cut_lineage(alike.unionAll(rare), "chosen")
     # one branch alone is no variable
-    several = chosen.groupBy(*kin).agg(F.count(F.lit(1)).alias("merged")).where("merged > 1").select(*kin)
+    several = chosen.groupBy(*kin).agg(F.count(F.lit(1)).alias("merged")).where("merged > 1")
     return chosen.join(several, kin, "left_semi").select(*branch).distinct()
 
 
