@@ -102,13 +102,13 @@ def _agreement(threshold: float, depth: int):
     return measure
 
 
-def _fitting_depth(forest: DataFrame, signed: DataFrame, threshold: float) -> int:
+def _fitting_depth(forest: DataFrame, likely: DataFrame, threshold: float) -> int:
     """The longest prefix whose measured recall reaches ``RECALL``, or ``SHALLOWEST``.
 
     The members of a node are paired with its least one, so the pairs are no more than the members.
     """
-    mine = signed.select("same", F.col("signature").alias("mine"))
-    its = signed.select(F.col("same").alias("hub"), F.col("signature").alias("its"))
+    mine = likely.select("same", F.col("signature").alias("mine"))
+    its = likely.select(F.col("same").alias("hub"), F.col("signature").alias("its"))
     for depth in range(DEPTH, SHALLOWEST, -1):
         rows = _prefixes_of(forest, depth)
         hubs = rows.groupBy("node").agg(F.min("same").alias("hub"))
@@ -283,12 +283,15 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str =
     values = F.expr(f"substring(signature, tree * {_bytes_of_tree()} + 1, {_bytes_of_tree()})")
     narrow = rows.select("same", "words", "tree", "node", values.alias("values"))
     forest = cut_lineage(narrow.join(shared, "node", "left_semi").drop("node"), "forest")
-    depth = _fitting_depth(forest, signed, threshold)
+    inside = forest.select("same").distinct()
+    likely = cut_lineage(signed.join(inside, "same", "left_semi").select("same", "id", "copies", "signature"), "likely")
+    depth = _fitting_depth(forest, likely, threshold)
 
     blocks = cut_lineage(_blocks(forest, depth), "blocks")
-    wanted = cut_lineage(signed.select("same", "id").join(blocks.select("same").distinct(), "same", "left_semi").select("id").distinct(), "wanted")
+    compared = blocks.select("same").distinct()
+    wanted = cut_lineage(likely.select("same", "id").join(compared, "same", "left_semi").select("id").distinct(), "wanted")
     hashed = texts.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_hash, _HASHED).dropDuplicates(["same"])
-    candidates = blocks.join(hashed, "same").join(signed.select("same", "copies", "signature"), "same")
+    candidates = blocks.join(hashed, "same").join(likely.select("same", "copies", "signature"), "same")
     links = cut_lineage(candidates.groupBy("node", "low", "high").applyInArrow(_verify(threshold, depth), _LINKS), "links")
 
     roots = cut_lineage(components(links.select(F.col("same").alias("a"), F.col("root").alias("b"))), "roots")
