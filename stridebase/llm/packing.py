@@ -29,6 +29,8 @@ from stridebase.llm.words import rows_of
 # Texts with other characters are left to the tokenizers library: about the common ones all
 # libraries agree on what is a letter, a number or a blank.
 _UNCOMMON = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f\u2010-\u2027]")
+_BLANKS = re.compile(r"\s+")
+LONGEST_BLANK = 1 << 18  # characters; tiktoken fails on a run of about a million
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -39,12 +41,17 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _has_long_blank(text: str) -> bool:
+    return len(text) > LONGEST_BLANK and any(m.end() - m.start() > LONGEST_BLANK for m in _BLANKS.finditer(text))
+
+
 class Encoder:
     """Ids of a byte-level BPE tokenizer file, as little-endian unsigned 32-bit bytes.
 
     The ids are those of the tokenizers library. Where the file's merges are in the order of its ids, as
     in a plain byte-level vocabulary, the faster tiktoken gives the same ids from them;
-    texts with uncommon characters or special tokens, and other files, take the library itself.
+    texts with uncommon characters, special tokens or very long runs of blanks, and other files, take
+    the library itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,7 +76,7 @@ class Encoder:
         return tiktoken.Encoding("file", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if self.fast is None or _UNCOMMON.search(text) or any(s in text for s in self.special):
+        if self.fast is None or _UNCOMMON.search(text) or any(s in text for s in self.special) or _has_long_blank(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 

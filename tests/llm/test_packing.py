@@ -109,6 +109,13 @@ def test_special_texts(text):
     assert encoder()(text) == ids_of(text)[:-1].tobytes()
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \n\t"])
+def test_very_long_runs_of_blanks(blank):
+    edge = packing.LONGEST_BLANK
+    for text in (f"a{blank * 1_000_100}b", blank * 1_000_100, "x" + " " * edge + "y" + "\n" * (edge + 1)):
+        assert encoder()(text) == ids_of(text)[:-1].tobytes()
+
+
 def test_other_kinds_of_files_take_the_library():
     import public_tokenizers
 
