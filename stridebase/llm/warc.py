@@ -104,7 +104,9 @@ def parse_fields(head: bytes) -> dict[str, str]:
 
 
 def _whole_number(text: str | None) -> int | None:
-    return int(text) if text is not None and re.fullmatch(r"-?\d{1,18}", text) else None
+    """The number, if it is one that a long holds."""
+    number = int(text) if text is not None and re.fullmatch(r"-?\d{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
 
 
 def header_row(fields: dict[str, str]) -> dict:

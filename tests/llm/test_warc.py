@@ -139,6 +139,17 @@ def test_empty_table(spark, shared):
     assert spark.read.format("warc").load(folder).collect() == []
 
 
+def test_ids_of_the_whole_range_of_a_long(spark, shared):
+    folder = f"{shared}/{uuid.uuid4().hex}"
+    ids = [10**18 - 1, 10**18, -(10**18), (1 << 63) - 1, -(1 << 63)]
+    write(spark, [(i, "u", f"page {i} " * 20) for i in ids], folder)
+    source = spark.read.format("warc").load(folder)
+    assert sorted(r["page_id"] for r in source.collect()) == sorted(ids)
+    for i in ids:
+        assert [bytes(r["payload"]) for r in source.where(F.col("page_id") == i).collect()] == [(f"page {i} " * 20).encode()]
+    assert warc.header_row({"x-page-id": str(1 << 63)})["page_id"] is None
+
+
 def test_groups_of_files():
     files = [("c", 5), ("a", 4), ("b", 4), ("d", 50), ("e", 1)]
     assert warc.group_files(files, 10) == [[("a", 4), ("b", 4)], [("c", 5)], [("d", 50)], [("e", 1)]]
