@@ -2,9 +2,9 @@
 
 Every document gets ``TREES`` short MinHash signatures of ``DEPTH`` values. A tree is the
 sorted list of its signatures, a trie whose nodes are runs that share a prefix. The join
-starts from the longest prefix and shortens it until the recall that it measures reaches
-``RECALL``: similarities estimated from the signatures of matched documents tell how many
-pairs of each similarity a depth finds, and so how many it misses. ``SHALLOWEST`` bounds it; there the
+starts from the longest prefix and shortens it until pairs at the threshold, which are the hardest
+to find, are found with a chance of ``RECALL``. An average over all pairs of a table would not do: many
+very similar copies would hide the pairs that a long prefix misses. ``SHALLOWEST`` bounds it; there the
 recall at a similarity of 0.8 is above 0.9999.
 
 Runs of one tree are then verified exactly. Documents with equal shingle sets take part
@@ -85,40 +85,12 @@ def chance(similarity: float, depth: int) -> float:
     return 1 - (1 - similarity**depth) ** TREES
 
 
-def _agreement(threshold: float, depth: int):
-    """Pairs of signatures -> how many pairs at or above the threshold there are, and how many
-    there should be if each was found with the chance of its estimated similarity."""
+def fitting_depth(threshold: float) -> int:
+    """The longest prefix at which pairs at the threshold are found with a chance of ``RECALL``, or ``SHALLOWEST``.
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = expected = 0.0
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(c.to_pylist()), VALUE).reshape(-1, TREES * DEPTH) for c in batch.columns)
-            similar = (a == b).mean(axis=1)
-            similar = similar[similar >= threshold]
-            found += len(similar)
-            expected += float((1 / (1 - (1 - similar**depth) ** TREES)).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([found]), pa.array([expected])], names=["found", "expected"])
-
-    return measure
-
-
-def _fitting_depth(forest: DataFrame, likely: DataFrame, threshold: float) -> int:
-    """The longest prefix whose measured recall reaches ``RECALL``, or ``SHALLOWEST``.
-
-    The members of a node are paired with its least one, so the pairs are no more than the members.
+    Pairs above the threshold are found with a greater chance. What else is in a table does not matter.
     """
-    mine = likely.select("same", F.col("signature").alias("mine"))
-    its = likely.select(F.col("same").alias("hub"), F.col("signature").alias("its"))
-    for depth in range(DEPTH, SHALLOWEST, -1):
-        rows = _prefixes_of(forest, depth)
-        hubs = rows.groupBy("node").agg(F.min("same").alias("hub"))
-        stars = rows.join(hubs, "node").where("same <> hub").select("same", "hub").distinct()
-        pairs = stars.join(mine, "same").join(its, "hub").select("mine", "its")
-        measured = pairs.mapInArrow(_agreement(threshold, depth), "found double, expected double")
-        found, expected = measured.agg(F.sum("found"), F.sum("expected")).first()
-        if not found or found >= RECALL * expected:
-            return depth
-    return SHALLOWEST
+    return next((d for d in range(DEPTH, SHALLOWEST, -1) if chance(threshold, d) >= RECALL), SHALLOWEST)
 
 
 def _prefixes_of(forest: DataFrame, depth: int) -> DataFrame:
@@ -285,7 +257,7 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str =
     forest = cut_lineage(narrow.join(shared, "node", "left_semi").drop("node"), "forest")
     inside = forest.select("same").distinct()
     likely = cut_lineage(signed.join(inside, "same", "left_semi").select("same", "id", "copies", "signature"), "likely")
-    depth = _fitting_depth(forest, likely, threshold)
+    depth = fitting_depth(threshold)
 
     blocks = cut_lineage(_blocks(forest, depth), "blocks")
     compared = blocks.select("same").distinct()

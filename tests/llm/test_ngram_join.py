@@ -75,6 +75,24 @@ def test_recall_at_the_threshold():
     assert ngram_join.chance(0.8, ngram_join.SHALLOWEST) > 0.9999
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.82, 0.85, 0.9, 1.0])
+def test_the_depth_suits_pairs_at_the_threshold(threshold):
+    depth = ngram_join.fitting_depth(threshold)
+    assert ngram_join.chance(threshold, depth) >= ngram_join.RECALL
+    assert depth == ngram_join.DEPTH or ngram_join.chance(threshold, depth + 1) < ngram_join.RECALL
+
+
+def test_copies_do_not_hide_pairs_at_the_threshold(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(ngram_join, "_verify", lambda threshold, depth, verify=ngram_join._verify: used.append(depth) or verify(threshold, depth))
+    base = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join([*base, f"end{i}"])) for i in range(150)]  # very similar copies
+    pair = [f"v{i}" for i in range(104)]
+    docs += [(500, " ".join(pair[:94])), (501, " ".join(pair[:4] + pair[10:]))]
+    assert run(spark, docs) == brute_force(docs)
+    assert used == [ngram_join.SHALLOWEST]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     common, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (800, 100, 100))
