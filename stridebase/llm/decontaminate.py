@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stridebase.llm.tables import cut_lineage, fresh_name
 from stridebase.llm.words import SHINGLE, fold, minhash, rows_of, seeds, shingle_sequence, word_hashes
 
 RECALL = 0.9999
@@ -163,18 +162,29 @@ def find_contained(
 _classes: dict[tuple, list[SizeClass]] = {}  # of the last block this worker has seen
 
 
-def _search(block: Broadcast, threshold: float, schema: T.StructType):
-    """The search in a batch of documents."""
+def _remembered(block: Broadcast, threshold: float):
+    """What gives a task the sets of a block and their size classes."""
     key = (uuid.uuid4().hex, threshold)
-    kind = to_arrow_type(schema.fields[1].dataType)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets = block.value
+    def classes_of() -> tuple[list[np.ndarray], list[SizeClass]]:
+        sets = block.value[1]
         classes = _classes.get(key)
         if classes is None:
             _classes.clear()
             classes = _classes[key] = size_classes(sets, threshold)
-        names = pa.array(ids, kind)
+        return sets, classes
+
+    return classes_of
+
+
+def _search(block: Broadcast, threshold: float, schema: T.StructType):
+    """The search in a batch of documents."""
+    kind = to_arrow_type(schema.fields[1].dataType)
+    classes_of = _remembered(block, threshold)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, classes = classes_of()
+        names = pa.array(block.value[0], kind)
         for batch in batches:
             for start, texts in rows_of(batch, 1, 1 << 20):
                 hits = contained(texts, sets, classes, threshold)
@@ -212,17 +222,28 @@ def contained(texts: list[str | None], sets: list[np.ndarray], classes: list[Siz
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id") -> DataFrame:
-    """The documents that contain no item. Documents without an id cannot be named in a pair:
-    they are given up if their own text contains an item, like all others.
+    """The rows of ``docs`` whose own text contains no item, whatever their id and those of other rows.
 
-    The texts are searched where they are read and only ids of contaminated documents are
-    joined back; all rows of such an id go.
+    They are searched and given up where they are read, without a join; a benchmark larger than a block
+    takes one pass per block.
     """
-    with_id = docs.where(F.col(doc_id).isNotNull())
-    found = cut_lineage(find_contained(with_id, items, threshold, doc_id).select(doc_id).distinct(), "contaminated")
-    clean = with_id.join(found, doc_id, "left_anti").select(*docs.columns)
-    unnamed = docs.where(F.col(doc_id).isNull())
-    row = fresh_name(docs, "_row")
-    marked = unnamed.withColumn(row, F.monotonically_increasing_id())
-    dirty = find_contained(marked, items, threshold, row).select(row).distinct()
-    return clean.unionByName(marked.join(dirty, row, "left_anti").select(*docs.columns))
+    spark = docs.sparkSession
+    clean, at = docs, docs.columns.index("text")
+    for ids, sets in item_blocks(items, "item_id", "text"):
+        clean = clean.mapInArrow(_keep_clean(spark.sparkContext.broadcast((ids, sets)), threshold, at), docs.schema)
+    return clean
+
+
+def _keep_clean(block: Broadcast, threshold: float, at: int):
+    """The rows of a batch whose text, in column ``at``, contains no item of the block."""
+    classes_of = _remembered(block, threshold)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, classes = classes_of()
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            for start, texts in rows_of(batch, at, 1 << 20):
+                clean[[start + hit[0] for hit in contained(texts, sets, classes, threshold)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return keep

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridebase.llm.components import components
-from stridebase.llm.tables import cut_lineage
+from stridebase.llm.tables import cut_lineage, fresh_name
 from stridebase.llm.words import minhash, rows_of, seeds, shingle_sequence, word_hashes
 
 TREES, DEPTH, SHALLOWEST = 20, 6, 4
@@ -39,6 +39,7 @@ MULTIPLIERS = seeds(TREES * DEPTH, SEED)
 _SIGNED = T.StructType(
     [
         T.StructField("id", T.LongType()),
+        T.StructField("text_hash", T.LongType()),
         T.StructField("same", T.BinaryType()),
         T.StructField("words", T.LongType()),
         T.StructField("signature", T.BinaryType()),
@@ -52,9 +53,9 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> digest of the shingle set, number of words, signature; NULL without words."""
+    """(id, text hash, text) -> id, text hash, digest of the shingle set, number of words, signature; NULL without words."""
     for batch in batches:
-        for start, texts in rows_of(batch, 1):
+        for start, texts in rows_of(batch, 2):
             same, number, signature = [], [], []
             for text in texts:
                 words = word_hashes(text)
@@ -66,7 +67,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shingles = np.unique(shingle_sequence(words))
                 same.append(_digest(shingles))
                 signature.append((minhash(shingles, MULTIPLIERS) & np.uint32(0xFFFF)).astype(VALUE).tobytes())
-            columns = [batch.column(0).slice(start, len(texts)), pa.array(same, pa.binary()), pa.array(number), pa.array(signature, pa.binary())]
+            keys = [batch.column(c).slice(start, len(texts)) for c in (0, 1)]
+            columns = [*keys, pa.array(same, pa.binary()), pa.array(number), pa.array(signature, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=_SIGNED.names)
 
 
@@ -238,9 +240,24 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str =
     without an id, whose class is NULL. Rows that repeat an id are documents of their own. An empty table
     gives no rows; ids are whole numbers; other columns are not read.
     """
+    members, classes = _classified(docs, threshold, id_column, text_column)
+    return (
+        members.select("id", "same")
+        .join(classes, "same", "left")
+        .select(
+            F.col("id").alias(id_column),
+            F.when(F.col("id").isNotNull(), F.coalesce("class.id", "id")).alias("class_id"),
+            F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("near", F.lit(0))).cast("long").alias("links"),
+        )
+    )
+
+
+def _classified(docs: DataFrame, threshold: float, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The signed rows of ``docs`` (``id``, ``text_hash``, ``same``), and of shingle sets with links ``same``,
+    ``class`` (the least id of the class and that row's text hash) and ``near``. Both are stored."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    members = cut_lineage(texts.mapInArrow(_sign, _SIGNED), "signed")
-    first = F.min(F.struct("id", "words", "signature"))
+    members = cut_lineage(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_sign, _SIGNED), "signed")
+    first = F.min(F.struct("id", "text_hash", "words", "signature"))
     signed = cut_lineage(
         members.where(F.col("same").isNotNull() & F.col("id").isNotNull())
         .groupBy("same")
@@ -269,36 +286,33 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str =
     roots = cut_lineage(components(links.select(F.col("same").alias("a"), F.col("root").alias("b"))), "roots")
     number = links.groupBy("same").agg(F.sum("near").alias("near"))
     grouped = (
-        signed.select("same", "id", "copies")
+        signed.select("same", "id", "text_hash", "copies")
         .join(number, "same", "left")
         .join(roots.withColumnRenamed("node", "same"), "same", "left")
-        .select("same", "id", F.coalesce("root", "same").alias("root"), (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("near"))
+        .select("same", "id", "text_hash", F.coalesce("root", "same").alias("root"), (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("near"))
         .where("near > 0")
     )
-    least = grouped.groupBy("root").agg(F.min("id").alias("class"))
+    least = grouped.groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("class"))
     classes = grouped.join(least, "root").select("same", "class", "near")
-    return (
-        members.select("id", "same")
-        .join(cut_lineage(classes, "classes"), "same", "left")
-        .select(
-            F.col("id").alias(id_column),
-            F.when(F.col("id").isNotNull(), F.coalesce("class", "id")).alias("class_id"),
-            F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("near", F.lit(0))).cast("long").alias("links"),
-        )
-    )
+    return members, cut_lineage(classes, "classes")
 
 
 def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each class of similar ones: that with the least id.
 
-    Of rows that repeat an id only one stays; all rows without an id stay.
+    A document is an id and a text: rows that repeat an id with another text are judged by their own text,
+    and of rows that repeat both only one stays. All rows without an id stay.
     """
     named = docs.where(F.col(id_column).isNotNull())
-    classes = similar_documents(named, threshold, id_column)
-    gone = cut_lineage(classes.where(F.col("class_id") != F.col(id_column)).select(id_column).distinct(), "gone")
-    kept = named.join(gone, id_column, "left_anti").select(*docs.columns)
-    times = named.groupBy(id_column).agg(F.count(F.lit(1)).alias("n"))
-    repeated = cut_lineage(times.where("n > 1").select(id_column), "repeated")
-    once = kept.join(repeated, id_column, "left_anti").select(*docs.columns)
-    again = kept.join(repeated, id_column, "left_semi").select(*docs.columns).dropDuplicates([id_column])
+    members, classes = _classified(named, threshold, id_column, "text")
+    text_hash = fresh_name(docs, "_text_hash")
+    document = [id_column, text_hash]
+    rows = members.select(F.col("id").alias(id_column), F.col("text_hash").alias(text_hash), "same")
+    others = (F.col(id_column) != F.col("class.id")) | (F.col(text_hash) != F.col("class.text_hash"))
+    gone = cut_lineage(rows.join(classes, "same").where(others).select(*document).distinct(), "gone")
+    kept = named.withColumn(text_hash, F.xxhash64("text")).join(gone, document, "left_anti")
+    times = rows.groupBy(*document).agg(F.count(F.lit(1)).alias("n"))
+    repeated = cut_lineage(times.where("n > 1").select(*document), "repeated")
+    once = kept.join(repeated, document, "left_anti").select(*docs.columns)
+    again = kept.join(repeated, document, "left_semi").dropDuplicates(document).select(*docs.columns)
     return once.unionByName(again).unionByName(docs.where(F.col(id_column).isNull()))

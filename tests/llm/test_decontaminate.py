@@ -101,3 +101,11 @@ def test_bands_reach_the_recall():
     for least, upper in ((33, 64), (17, 32), (1, 4)):
         jaccard = 0.8 * least / (2 * upper + 0.2 * least)
         assert 1 - (1 - jaccard) ** bands(least, upper, 0.8) >= decontaminate.RECALL
+
+
+def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
+    _, items = corpus()
+    dirty, clean = items[0][1], " ".join(prose(77, 40))
+    docs = [(1, dirty), (1, clean), (2, clean), (None, dirty), (None, clean), (3, None)]
+    kept = without_contaminated(*frames(spark, docs, items))
+    assert rows(kept.select("doc_id", "text")) == sorted([d for d in docs if d[1] != dirty], key=str)

@@ -120,6 +120,17 @@ def test_one_of_each_class(spark):
     assert sorted(i for i in ids if i is not None) == sorted(least) and len(least) < 12
 
 
+def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
+    a, b, c = ([" ".join([f"{name}{i}" for i in range(60)] + end) for end in ([], ["more"])] for name in "abc")
+    docs = [(1, a[0]), (5, a[1]), (5, b[0]), (5, c[0]), (5, c[0]), (5, c[1]), (7, b[1]), (8, None), (8, None), (8, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = [tuple(r) for r in ngram_join.one_of_each_class(df).collect()]
+    assert (1, a[0]) in kept and (5, a[1]) not in kept  # a copy of another id's text goes
+    assert (5, b[0]) in kept and (7, b[1]) not in kept  # another text of that id stays, and stands for its class
+    assert len([d for d in kept if d in ((5, c[0]), (5, c[1]))]) == 1
+    assert len(kept) == 5 and (8, None) in kept and (8, "") in kept
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)
