@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stridebase.llm.tables import cut_lineage
 
-DEEPEST = 8  # segments of a template; what follows counts as one
+DEEPEST = 8  # segments that ``segments_of`` keeps unless told otherwise; what follows counts as one
 SUPPORT = 20  # pages below which a branch cannot be told from its siblings
 QUANTILE = 2.576  # of the normal distribution: 1 in 100 similar branches is taken for different
 TRUST = 10.0  # labelled pages that weigh as much as what is known of the host
@@ -88,11 +88,13 @@ def kind_of(segment: Column) -> Column:
     return reduce(lambda rest, kind: F.when(segment.rlike(kind[1]), kind[0]).otherwise(rest), reversed(KINDS.items()), out)
 
 
-def segments_of(path: Column) -> Column:
-    """Generalised segments; empty ones do not count, and those below the deepest are one."""
+def segments_of(path: Column, deepest: int | None = DEEPEST) -> Column:
+    """Generalised segments; empty ones do not count, and those below the deepest, if there is one, are one."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    kinds = F.transform(F.slice(parts, 1, DEEPEST), kind_of)
-    return F.when(F.size(parts) > DEEPEST, F.concat(kinds, F.array(F.lit("**")))).otherwise(kinds)
+    if deepest is None:
+        return F.transform(parts, kind_of)
+    kinds = F.transform(F.slice(parts, 1, deepest), kind_of)
+    return F.when(F.size(parts) > deepest, F.concat(kinds, F.array(F.lit("**")))).otherwise(kinds)
 
 
 def _shape(segments: Column) -> Column:
@@ -112,7 +114,7 @@ def _merged(paths: DataFrame, level: int) -> DataFrame:
         "host",
         F.array_join(F.slice("template", 1, level), "/").alias("before") if level else F.lit("").alias("before"),
         F.col("template")[level].alias("segment"),
-        _shape(F.slice("template", level + 2, DEEPEST + 1)).alias("rest"),
+        _shape(F.slice("template", F.lit(level + 2), F.size("template"))).alias("rest"),
         "n",
         "labelled",
         "bad",
@@ -160,11 +162,24 @@ def _agrees(share: Column, quantile: float) -> Column:
     return F.abs(F.col("bad") - share * F.col("labelled")) <= spread + 0.5
 
 
+def _siblings_below(paths: DataFrame, level: int) -> bool:
+    """Whether some branches of one node at this level or further down differ."""
+    deep = paths.where(F.size("template") > level)
+    rest = F.xxhash64(F.slice("template", F.lit(level + 1), F.size("template")))
+    nodes = deep.groupBy("host", F.slice("template", 1, level).alias("before")).agg(F.min(rest).alias("least"), F.max(rest).alias("most"))
+    return bool(nodes.where("least <> most").take(1))
+
+
 def learn_templates(paths: DataFrame) -> DataFrame:
-    """``host``, ``typed``, and ``template`` of distinct ``(host, typed, segments, n, labelled, bad)`` rows."""
+    """``host``, ``typed``, and ``template`` of distinct ``(host, typed, segments, n, labelled, bad)`` rows.
+
+    The levels end where no branch has siblings further down, so a few very deep paths do not prolong them.
+    """
     paths = paths.withColumn("template", F.col("segments")).drop("segments")
     deepest = paths.agg(F.max(F.size("template"))).first()[0] or 0
     for level in range(deepest):
+        if level >= DEEPEST and not _siblings_below(paths, level):
+            break
         merged = cut_lineage(_merged(paths, level), "merged")
         before = F.array_join(F.slice("template", 1, level), "/") if level else F.lit("")
         keyed = paths.withColumns({"before": before, "segment": F.get("template", F.lit(level))})
@@ -201,7 +216,7 @@ def judge_urls(
     """
     url = F.col(url_column)
     parsed = pages.select(F.col(id_column).alias("page"), host_of(url).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"))
-    parsed = parsed.withColumn("host", F.coalesce("host", F.lit(""))).withColumn("segments", segments_of(F.col("path")))
+    parsed = parsed.withColumn("host", F.coalesce("host", F.lit(""))).withColumn("segments", segments_of(F.col("path"), None))
     parsed = cut_lineage(parsed.withColumn("typed", F.array_join("segments", "/")), "urls")
     known = bad.where(F.col("page").isNotNull() & F.col("bad").isNotNull()).groupBy("page").agg(F.max("bad").alias("bad"))
     marked = parsed.select("page", "host", "typed", "segments").join(known, "page", "left")

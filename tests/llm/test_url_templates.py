@@ -108,6 +108,18 @@ def test_shares_are_smoothed_counts(judged):
         assert judged[i]["bad_share"] == pytest.approx(want)
 
 
+def test_sections_that_differ_below_the_eighth_segment(spark):
+    deep, pages, bad = "a/b/c/d/e/f/g/h/i", [], []
+    for i in range(60):
+        for section in ("good", "fine", "ads"):
+            pages.append((len(pages), f"http://deep.com/{deep}/{section}/{i}"))
+            bad.append((len(pages) - 1, int(i % 20 != 0 if section == "ads" else i % 20 == 0)))
+    judged = judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(bad, "page long, bad int")).collect()
+    urls = dict(pages)
+    assert all(r["verdict"] == ("block" if "/ads/" in urls[r["page_id"]] else "allow") for r in judged)
+    assert {r["template"] for r in judged} == {f"{deep}/ads/{{number}}", f"{deep}/*/{{number}}"}
+
+
 def test_nulls_repetitions_and_no_rows(spark):
     pages = [(1, None), (1, "http://a.net/x"), (1, "http://a.net/x"), (None, "http://a.org/fr/1"), (2, "nothing"), (3, "http://h/" + "p/" * 5000), (4, "")]
     frame = spark.createDataFrame(pages, "page_id long, url string")
