@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc
+from stridebase.llm import chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc, whitening
 from stridebase.llm.tables import application_folder, cut_lineage, table
 from stridebase.llm.url_templates import Rule
 
@@ -113,6 +113,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first eight whitened components; a deviation beyond a long is NULL."""
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
@@ -124,6 +130,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op12_whitening": op12_whitening,
 }
 
 
