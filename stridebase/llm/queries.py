@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc, whitening
+from stridebase.llm import alignment, chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc, whitening
 from stridebase.llm.tables import application_folder, cut_lineage, table
 from stridebase.llm.url_templates import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +114,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies laid over each other."""
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the first eight whitened components; a deviation beyond a long is NULL."""
     whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -130,6 +136,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
 }
 
