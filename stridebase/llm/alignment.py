@@ -6,10 +6,11 @@ groups are one A token and the B token of the same bytes; which one that is depe
 alone, so it is an array from A ids to B ids, made once. Documents that hold such a pair are
 counted in a vector as long as the vocabulary. Only pairs of other groups are counted by a shuffle.
 
-Texts are encoded once and kept as ids, in blocks of about ``BLOCK_BYTES`` of text. A block
-hands over each irregular pair once, with its number of documents; the sums go back to the blocks that
-hold the pair, and each block looks its links up in them. So what is shuffled grows with the distinct
-pairs of blocks, not with links; the driver holds vectors as long as the vocabulary.
+Texts are encoded once. What is kept of a document is each pair it links and how often, in blocks of about
+``BLOCK_BYTES`` of text. A block hands over each irregular pair once, with its number of documents; the sums
+go back to the blocks that hold the pair, and each block looks its documents' irregular pairs up in them. So
+what is shuffled grows with distinct pairs, not with links; the driver holds vectors as long as the
+vocabulary.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from stridebase.llm.words import rows_of
 BLOCK_BYTES = 12 << 20  # of text; a longer text is a block of its own
 STEP_BYTES = 2 << 20  # of text that are laid over each other at once
 PAIRS_AT_ONCE = 1 << 21  # links in memory at once
+ROWS_AT_ONCE = 4096  # documents of a block whose links are looked up together
 SMALL_GROUP = 64  # links; in larger groups equal ids are put together first
 
 
@@ -54,7 +56,8 @@ class Vocabularies:
             if all(c in letters for c in token):
                 self.bytes_a[i] = bytes(letters[c] for c in token)
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.stored_a, self.stored_b = ("<u2" if len(t) <= 1 << 16 else "<u4" for t in (self.bytes_a, self.bytes_b))
+        pairs = len(self.bytes_a) * len(self.bytes_b)
+        self.stored_id, self.stored_pair = "<u2" if len(self.bytes_a) <= 1 << 16 else "<u4", "<u4" if pairs <= 1 << 32 else "<u8"
         self.length_a = np.array([len(t) for t in self.bytes_a])
         self.length_b = np.array([len(t) for t in self.bytes_b])
         by_bytes: dict[bytes, int] = {}
@@ -134,8 +137,9 @@ class Overlay:
         parts = [out[e - n : e].tobytes().translate(None, b"\0")[:-1] for n, e in zip(tokens, ends)]
         return [hashlib.sha256(p).hexdigest() if p else "" for p in parts]
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(document, pair, links): every pair a document links, once, in runs of whole documents.
+    def pairs(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first document, one past the last, and per pair its document, pair, links): every pair a document
+        links, once, in runs of whole documents.
 
         A pair is A id * size of B's vocabulary + B id.
         """
@@ -143,7 +147,7 @@ class Overlay:
         held = np.append(0, np.cumsum(self.links))
         while at < self.documents:
             end = max(at + 1, int(np.searchsorted(held, held[at] + PAIRS_AT_ONCE, "right")) - 1)
-            yield self._distinct(at, end)
+            yield at, end, *self._distinct(at, end)
             at = end
 
     def _distinct(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,10 +190,23 @@ class Overlay:
                 yield np.full(size, g), np.repeat(x, len(b)), np.tile(b, len(x)), np.outer(times, times_b).ravel()
 
 
-# One row per document (``a`` and ``b`` are its ids), per irregular pair of a block, and per A id with
-# documents that link it to the piece of its bytes (no ``block``).
-_LAID = "block long, row int, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a binary, b binary, pair long, docs long"
-_LOOKED_UP = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+# One row per document, per irregular pair of a block, and per A id with documents that link it to the
+# piece of its bytes (no ``block``). Of a document, each pair it links and how often: pairs of equal bytes
+# by their A id (``same``), others (``odd``) as pairs.
+_DOCUMENT = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+_LAID = "block long, " + _DOCUMENT + ", same binary, same_links binary, odd binary, odd_links binary, pair long, docs long"
+_PARTLY = "block long, " + _DOCUMENT + ", n_best long, count_sum long, odd binary, odd_links binary"
+_LOOKED_UP = _DOCUMENT + ", n_best long, count_sum long"
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0, in as many bytes each as the largest needs."""
+    most = int(numbers.max()) if len(numbers) else 0
+    return numbers.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if most <= np.iinfo(t).max)).tobytes()
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // count}" if count else "<u1").astype(np.int64)
 
 
 def _batch(schema: T.StructType, **columns) -> pa.RecordBatch:
@@ -206,12 +223,12 @@ def _batch(schema: T.StructType, **columns) -> pa.RecordBatch:
 
 
 def _lay(path_a: str, path_b: str, schema: T.StructType):
-    """Documents -> their groups and ids, and what each block counts."""
+    """Documents -> their groups and pairs, and what each block counts."""
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabularies(path_a, path_b)
         n = len(known.bytes_b)
-        block, held, row = TaskContext.get().partitionId() << 32, 0, 0
+        block, held = TaskContext.get().partitionId() << 32, 0
         twins = np.zeros(len(known.bytes_a), np.int64)
         counted: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -225,30 +242,36 @@ def _lay(path_a: str, path_b: str, schema: T.StructType):
                 size = sum(len(t) for t in texts if t)
                 if held and held + size > BLOCK_BYTES:
                     yield from irregular()
-                    counted, block, held, row = [], block + 1, 0, 0
+                    counted, block, held = [], block + 1, 0
                 held += size
                 a, b = zip(*known.encode(texts))
                 laid = Overlay(known, list(a), list(b))
+                linked = [[], [], [], []]
+                for first, last, document, pair, links in laid.pairs():
+                    twin = known.twin[pair // n] == pair % n
+                    np.add.at(twins, pair[twin] // n, 1)
+                    counted.append(np.unique(pair[~twin], return_counts=True))
+                    if sum(len(p) for p, _ in counted) > 4 * PAIRS_AT_ONCE:
+                        counted = [_added(counted)]
+                    edges = np.searchsorted(document, np.arange(first, last + 1))
+                    for x, y in zip(edges, edges[1:]):
+                        same, p, m = twin[x:y], pair[x:y], links[x:y]
+                        for column, numbers in zip(linked, (p[same] // n, m[same], p[~same], m[~same])):
+                            column.append(numbers)
                 yield _batch(
                     schema,
                     block=np.full(len(texts), block),
-                    row=np.arange(row, row + len(texts)),
                     doc_id=batch.column(0).slice(start, len(texts)),
                     n_a=[len(x) for x in a],
                     n_b=[len(x) for x in b],
                     n_groups=laid.group_counts(),
                     n_links=laid.links,
                     groups_sha256=laid.digests(),
-                    a=pa.array([x.astype(known.stored_a).tobytes() for x in a], pa.binary()),
-                    b=pa.array([x.astype(known.stored_b).tobytes() for x in b], pa.binary()),
+                    same=pa.array([x.astype(known.stored_id).tobytes() for x in linked[0]], pa.binary()),
+                    same_links=pa.array(map(_narrow, linked[1]), pa.binary()),
+                    odd=pa.array([x.astype(known.stored_pair).tobytes() for x in linked[2]], pa.binary()),
+                    odd_links=pa.array(map(_narrow, linked[3]), pa.binary()),
                 )
-                row += len(texts)
-                for _, pair, _ in laid.pairs():
-                    twin = known.twin[pair // n] == pair % n
-                    np.add.at(twins, pair[twin] // n, 1)
-                    counted.append(np.unique(pair[~twin], return_counts=True))
-                    if sum(len(p) for p, _ in counted) > 4 * PAIRS_AT_ONCE:
-                        counted = [_added(counted)]
         yield from irregular()
         ids = np.flatnonzero(twins)
         yield _batch(schema, pair=ids * n + known.twin[ids], docs=twins[ids])
@@ -280,7 +303,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id",
     """
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
-    laid_schema, result = (T.StructType.fromDDL(s.format(id=kind)) for s in (_LAID, _LOOKED_UP))
+    laid_schema, partly, result = (T.StructType.fromDDL(s.format(id=kind)) for s in (_LAID, _PARTLY, _LOOKED_UP))
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     laid = cut_lineage(texts.mapInArrow(_lay(path_a, path_b, laid_schema), laid_schema), "laid")
 
@@ -299,37 +322,50 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id",
     best[ids] = np.maximum(best[ids], highest.column("docs").to_numpy())
     vectors = spark.sparkContext.broadcast((twins, best))
 
-    def look_up(documents: pa.Table, known_pairs: pa.Table) -> pa.Table:
+    def regular(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the vectors know; the other pairs go on."""
         known = vocabularies(path_a, path_b)
         twins, best = vectors.value
-        order = np.argsort(known_pairs.column("pair").to_numpy())
-        keys, counts = known_pairs.column("pair").to_numpy()[order], known_pairs.column("docs").to_numpy()[order]
-        documents = documents.sort_by("row")
-        sums, bests = np.zeros((2, documents.num_rows), np.int64)
-        for first, part in _steps(documents):
-            a = [np.frombuffer(x, known.stored_a).astype(np.int64) for x in part.column("a").to_pylist()]
-            b = [np.frombuffer(x, known.stored_b).astype(np.int64) for x in part.column("b").to_pylist()]
-            for document, pair, links in Overlay(known, a, b).pairs():
-                token = pair // size_b
-                twin = known.twin[token] == pair % size_b
-                count = np.zeros(len(pair), np.int64)
-                count[twin] = twins[token[twin]]
-                count[~twin] = counts[np.searchsorted(keys, pair[~twin])]
-                np.add.at(sums, document + first, count * links)
-                np.add.at(bests, document + first, np.where(count == best[token], links, 0))
-        done = documents.append_column("n_best", pa.array(bests)).append_column("count_sum", pa.array(sums))
-        return done.select(result.names)
-
-    documents = laid.where("row is not null").select("block", "row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b")
-    looked_up = documents.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(look_up, result)
-    return looked_up.withColumnRenamed("doc_id", id_column)
-
-
-def _steps(documents: pa.Table) -> Iterator[tuple[int, pa.Table]]:
-    """(first row, rows) of runs with about as many tokens as ``STEP_BYTES`` of text, or one row."""
-    tokens = np.append(0, np.cumsum(documents.column("n_a").to_numpy() + documents.column("n_b").to_numpy()))
-    at = 0
-    while at < documents.num_rows:
-        end = max(at + 1, int(np.searchsorted(tokens, tokens[at] + STEP_BYTES // 2, "right")) - 1)
-        yield at, documents.slice(at, end - at)
-        at = end
+        for batch in batches:
+            ids, count, links, owner = _flat(batch.column("same"), batch.column("same_links"), known.stored_id)
+            at_best = np.where(twins[ids] == best[ids], links, 0)
+            rows = {f.name: batch.column(f.name) for f in partly if f.name not in ("n_best", "count_sum")}
+            yield _batch(partly, **rows, n_best=_total(owner, at_best, len(count)), count_sum=_total(owner, twins[ids] * links, len(count)))
+
+    def look_up(documents: pa.Table, known_pairs: pa.Table) -> pa.Table:
+        """The other pairs of a block's documents, by the block's counts."""
+        known = vocabularies(path_a, path_b)
+        _, best = vectors.value
+        keys, counts = (known_pairs.column(c).to_numpy() for c in ("pair", "docs"))
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        columns = {name: documents.column(name) for name in result.names}
+        sums, bests = (columns[c].to_numpy().copy() for c in ("count_sum", "n_best"))
+        for start in range(0, documents.num_rows, ROWS_AT_ONCE):
+            part = documents.slice(start, ROWS_AT_ONCE)
+            pair, number, links, owner = _flat(part.column("odd"), part.column("odd_links"), known.stored_pair)
+            count = counts[np.searchsorted(keys, pair)]
+            rows = slice(start, start + part.num_rows)
+            sums[rows] += _total(owner, count * links, len(number))
+            bests[rows] += _total(owner, np.where(count == best[pair // size_b], links, 0), len(number))
+        return pa.table(columns | {"count_sum": pa.array(sums), "n_best": pa.array(bests)})
+
+    known_part = laid.where("n_a is not null").drop("pair", "docs").mapInArrow(regular, partly)
+    looked_up = known_part.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(look_up, result)
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return looked_up.select(F.col("doc_id").alias(id_column), *names)
+
+
+def _flat(values: pa.Array, links: pa.Array, stored: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(value, number of values per row, links, row) of packed columns, on end."""
+    packed = values.to_pylist()
+    number = np.array([len(v) for v in packed], np.int64) // np.dtype(stored).itemsize
+    value = np.frombuffer(b"".join(packed), stored).astype(np.int64)
+    times = [_wide(data, n) for data, n in zip(links.to_pylist(), number.tolist())]
+    return value, number, np.concatenate([np.zeros(0, np.int64), *times]), np.repeat(np.arange(len(number)), number)
+
+
+def _total(owner: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    total = np.zeros(rows, np.int64)
+    np.add.at(total, owner, values)
+    return total

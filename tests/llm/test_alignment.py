@@ -101,9 +101,9 @@ def test_many_blocks_and_steps(spark, monkeypatch):
     texts = [t for t in ODD if t] * 2
     a, b = zip(*known.encode(texts))
     laid = alignment.Overlay(known, list(a), list(b))
-    got = [(d, p, n) for part in laid.pairs() for d, p, n in zip(*part)]
+    got = [(d, p, n) for part in laid.pairs() for d, p, n in zip(*part[2:])]
     monkeypatch.undo()
-    whole = [(d, p, n) for part in alignment.Overlay(known, list(a), list(b)).pairs() for d, p, n in zip(*part)]
+    whole = [(d, p, n) for part in alignment.Overlay(known, list(a), list(b)).pairs() for d, p, n in zip(*part[2:])]
     assert got == whole and sum(n for _, _, n in got) == laid.links.sum()
 
 
