@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridebase.llm import alignment, chat, decontaminate, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc, whitening
+from stridebase.llm import alignment, chat, decontaminate, html_text, kdtree, licenses, neighbours, ngram_join, packing, sharding, url_templates, warc, whitening
 from stridebase.llm.tables import application_folder, cut_lineage, table
 from stridebase.llm.url_templates import Rule
 
@@ -125,6 +125,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, with weights learnt from pages that mark their article."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, html_text.fit_weights(pages))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
@@ -138,6 +144,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
+    "op13_html_text": op13_html_text,
 }
 
 

@@ -17,7 +17,7 @@ def duck():
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
@@ -33,6 +33,9 @@ SHAPES = {
     "op5_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op10_licenses": "doc_id bigint, first_line int, last_line int, license string, gain double, missing string, added string, block string",
+    "op11_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
+    "op12_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    "op13_html_text": "page_id bigint, url string, text string, n_chars bigint",
 }
 
 
