@@ -1,39 +1,43 @@
 """Similar documents by the Jaccard similarity of their word shingles, through an LSH forest.
 
-Every document gets ``TREES`` short MinHash signatures of ``DEPTH`` values. A tree is the
-sorted list of its signatures, a trie whose nodes are runs that share a prefix. The join
-starts from the longest prefix and shortens it until pairs at the threshold, which are the hardest
-to find, are found with a chance of ``RECALL``. An average over all pairs of a table would not do: many
-very similar copies would hide the pairs that a long prefix misses. ``SHALLOWEST`` bounds it; there the
-recall at a similarity of 0.8 is above 0.9999.
-
-Runs of one tree are then verified exactly. Documents with equal shingle sets take part
-once. A run is cut into blocks by number of documents and of words, and every task compares one
-pair of blocks by sparse counts and a dense product, so pairs are never rows: a task returns, per document,
-the number of documents it links to, and one link towards its group. A pair that shares
-runs in several trees is compared in the first of them.
+A tree of the forest orders documents by up to ``DEPTH`` MinHash values; its nodes are runs that share a
+prefix. The join starts from the longest prefix and shortens it until a pair at the threshold, which is the
+hardest to find, shares a node in some tree with a chance of ``RECALL``; thresholds at which not even
+one value is short enough get more trees. An average over the pairs of a table would not do: many very
+similar copies would hide the pairs that a long prefix misses. Long prefixes in many trees keep
+documents apart that only share some passages.
+
+Documents with equal shingle sets take part once. A node is cut into blocks, and a task compares one
+pair of blocks, so pairs are never rows. First the tasks compare sketches of ``SKETCH`` values, of one byte
+each; only documents with a partner whose sketch is near enough (a similar pair fails with a chance
+below one in 100,000) are read again, and their shingles compared exactly by sparse counts and a dense
+product. A task returns, per document, the number of documents it links to, and one link towards its group.
+A pair that shares nodes of several trees is compared in the first of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridebase.llm.components import components
+from stridebase.llm.membership import possible_members
 from stridebase.llm.tables import cut_lineage, fresh_name
 from stridebase.llm.words import minhash, rows_of, seeds, shingle_sequence, word_hashes
 
-TREES, DEPTH, SHALLOWEST = 20, 6, 4
+TREES, DEPTH = 33, 12
 RECALL = 0.9999
 SEED = 7
-BLOCK_DOCS, BLOCK_WORDS = 1024, 1 << 20  # in one block of a run
-VALUE = np.dtype(">u2")  # big-endian, so that bytes sort as numbers; 16 bits of each MinHash value
+SKETCH = 128  # values of a sketch, one byte each
+SPREAD = 4.5  # standard deviations by which a sketch may fall short of the threshold
+BLOCK_DOCS, BLOCK_WORDS = 1024, 1 << 20  # in one block of a node
 MULTIPLIERS = seeds(TREES * DEPTH, SEED)
 
 _SIGNED = T.StructType(
@@ -42,102 +46,168 @@ _SIGNED = T.StructType(
         T.StructField("text_hash", T.LongType()),
         T.StructField("same", T.BinaryType()),
         T.StructField("words", T.LongType()),
-        T.StructField("signature", T.BinaryType()),
+        T.StructField("nodes", T.BinaryType()),
+        T.StructField("sketch", T.BinaryType()),
     ]
 )
 
 
+def chance(similarity: float, depth: int, trees: int = TREES) -> float:
+    """That two documents share a node at this depth in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
+def fitting_depth(threshold: float) -> int:
+    """The longest prefix at which pairs at the threshold are found with a chance of ``RECALL``, or 1.
+
+    Pairs above the threshold are found with a greater chance. What else is in a table does not matter.
+    """
+    return next((d for d in range(DEPTH, 1, -1) if chance(threshold, d) >= RECALL), 1)
+
+
+def forest_shape(threshold: float) -> tuple[int, int]:
+    """Trees and depth that find pairs at the threshold with a chance of ``RECALL``."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"the threshold must be above 0 and at most 1, not {threshold}")
+    depth = fitting_depth(threshold)
+    if chance(threshold, depth) >= RECALL:
+        return TREES, depth
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - threshold)), depth
+
+
+def least_agreement(threshold: float) -> int:
+    """Values of two sketches that agree at least, if the documents are similar."""
+    return max(0, math.floor(SKETCH * threshold - SPREAD * math.sqrt(SKETCH * threshold * (1 - threshold))))
+
+
 def _digest(shingles: np.ndarray) -> bytes:
     """Equal for equal shingle sets."""
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text hash, text) -> id, text hash, digest of the shingle set, number of words, signature; NULL without words."""
-    for batch in batches:
-        for start, texts in rows_of(batch, 2):
-            same, number, signature = [], [], []
-            for text in texts:
-                words = word_hashes(text)
-                number.append(len(words))
-                if not len(words):
-                    same.append(None)
-                    signature.append(None)
-                    continue
-                shingles = np.unique(shingle_sequence(words))
-                same.append(_digest(shingles))
-                signature.append((minhash(shingles, MULTIPLIERS) & np.uint32(0xFFFF)).astype(VALUE).tobytes())
-            keys = [batch.column(c).slice(start, len(texts)) for c in (0, 1)]
-            columns = [*keys, pa.array(same, pa.binary()), pa.array(number), pa.array(signature, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=_SIGNED.names)
-
-
-def _bytes_of_tree() -> int:
-    return DEPTH * VALUE.itemsize
-
-
-def _prefixes(signed: DataFrame, depth: int) -> DataFrame:
-    """``signed`` once per tree, with the key of its node at ``depth``."""
-    prefix = F.expr(f"substring(signature, tree * {_bytes_of_tree()} + 1, {depth * VALUE.itemsize})")
-    return signed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).withColumn("node", F.xxhash64("tree", prefix))
-
-
-def chance(similarity: float, depth: int) -> float:
-    """That two documents share a node at this depth in some tree."""
-    return 1 - (1 - similarity**depth) ** TREES
+def _nodes(values: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """The key of a document's node in every tree, from its MinHash values."""
+    keys = np.arange(1, trees + 1, dtype=np.uint64)
+    for column in values[: trees * depth].reshape(trees, depth).T:
+        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys
 
 
-def fitting_depth(threshold: float) -> int:
-    """The longest prefix at which pairs at the threshold are found with a chance of ``RECALL``, or ``SHALLOWEST``.
+def _sign(trees: int, depth: int):
+    """(id, text hash, text) -> id, text hash, digest of the shingle set, number of words, nodes, sketch; NULL without words."""
+    multipliers = seeds(max(trees * depth, SKETCH, len(MULTIPLIERS)), SEED)[: max(trees * depth, SKETCH)]
 
-    Pairs above the threshold are found with a greater chance. What else is in a table does not matter.
-    """
-    return next((d for d in range(DEPTH, SHALLOWEST, -1) if chance(threshold, d) >= RECALL), SHALLOWEST)
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in rows_of(batch, 2):
+                same, number, nodes, sketches = [], [], [], []
+                for text in texts:
+                    words = word_hashes(text)
+                    number.append(len(words))
+                    if not len(words):
+                        for column in (same, nodes, sketches):
+                            column.append(None)
+                        continue
+                    shingles = np.unique(shingle_sequence(words))
+                    values = minhash(shingles, multipliers)
+                    same.append(_digest(shingles))
+                    nodes.append(_nodes(values, trees, depth).tobytes())
+                    sketches.append(values[:SKETCH].astype(np.uint8).tobytes())
+                keys = [batch.column(c).slice(start, len(texts)) for c in (0, 1)]
+                binary = [pa.array(c, pa.binary()) for c in (nodes, sketches)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(same, pa.binary()), pa.array(number), *binary], names=_SIGNED.names)
 
+    return sign
 
-def _prefixes_of(forest: DataFrame, depth: int) -> DataFrame:
-    prefix = F.substring("values", 1, depth * VALUE.itemsize)
-    return forest.withColumn("node", F.xxhash64("tree", prefix))
 
+_ROOTED = T.StructType([T.StructField(c, T.LongType()) for c in ("number", "words", "tree", "node")])
 
-def _blocks(forest: DataFrame, depth: int) -> DataFrame:
-    """``same``, ``tree``, ``node``, its ``block``, and each pair of blocks (``low``, ``high``) it takes part in.
+
+def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, words, nodes) -> a row per tree."""
+    for batch in batches:
+        nodes = [np.frombuffer(n, np.int64) for n in batch.column(2).to_pylist()]
+        trees = [len(n) for n in nodes]
+        repeated = [np.repeat(batch.column(c).to_numpy(), trees) for c in (0, 1)]
+        tree = np.concatenate([np.arange(n) for n in trees]) if trees else np.zeros(0, np.int64)
+        columns = [*repeated, tree, np.concatenate(nodes) if nodes else np.zeros(0, np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_ROOTED.names)
+
+
+def _blocks(forest: DataFrame) -> DataFrame:
+    """``number``, ``tree``, ``node``, its ``block``, and each pair of blocks (``low``, ``high``) it takes part in.
 
     Nodes with the same members are compared once, in the first tree that has them.
     """
-    rows = _prefixes_of(forest, depth)
-    digest = F.xxhash64("same")
+    digest = F.xxhash64("number")
     members = [
         F.count(F.lit(1)).alias("n"),
         F.sum("words").alias("words"),
         F.bit_xor(digest).alias("x"),
         F.sum(digest.bitwiseAND(F.lit((1 << 40) - 1))).alias("y"),
     ]
-    nodes = rows.groupBy("node", "tree").agg(*members).where("n > 1")
+    nodes = forest.groupBy("node", "tree").agg(*members)
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("words") / BLOCK_WORDS)).cast("int")
     kept = nodes.groupBy("n", "words", "x", "y").agg(F.min(F.struct("tree", "node")).alias("k"))
-    member = rows.join(kept.select("k.node", parts.alias("parts")), "node")
-    block = F.pmod(F.xxhash64("same", F.lit(SEED)), F.col("parts")).cast("int")
+    member = forest.join(kept.select("k.node", parts.alias("parts")), "node")
+    block = F.pmod(F.xxhash64("number", F.lit(SEED)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     return (
-        member.select("same", "tree", "node", block.alias("block"), "parts")
-        .select("same", "tree", "node", "block", other.alias("other"))
-        .select("same", "tree", "node", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        member.select("number", "tree", "node", block.alias("block"), "parts")
+        .select("number", "tree", "node", "block", other.alias("other"))
+        .select("number", "tree", "node", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     )
 
 
-_LINKS = T.StructType(
-    [T.StructField("same", T.BinaryType()), T.StructField("near", T.LongType()), T.StructField("root", T.BinaryType())]
+class _Pair:
+    """A pair of blocks of a node: which of its rows are in which block, and which pairs are compared here."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.table = table = table.sort_by("number")
+        block = table.column("block").to_numpy()
+        self.tree, self.low, self.high = (table.column(c)[0].as_py() for c in ("tree", "low", "high"))
+        self.mine, self.others = np.flatnonzero(block == self.low), np.flatnonzero(block == self.high)
+        self.nodes = np.stack([np.frombuffer(n, np.uint64) for n in table.column("nodes").to_pylist()])
+
+    def parts(self, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows of the lower block, which of them meets which row of the higher block here first)."""
+        others = self.others
+        for start in range(0, len(self.mine) if len(others) else 0, step):
+            part = self.mine[start : start + step]
+            here = np.ones((len(part), len(others)), bool)
+            if self.low == self.high:  # every pair once
+                here &= part[:, None] < others[None, :]
+            for earlier in range(self.tree):  # compared there
+                here &= self.nodes[part, earlier][:, None] != self.nodes[others, earlier][None, :]
+            yield part, here
+
+
+_PROPOSED = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("number", "tree", "node")] + [T.StructField(c, T.IntegerType()) for c in ("block", "low", "high")]
 )
 
 
-def _trees(signatures: list[bytes], depth: int) -> np.ndarray:
-    """A number per document and tree, equal for equal prefixes."""
-    values = np.frombuffer(b"".join(signatures), VALUE).reshape(len(signatures), TREES, DEPTH)[:, :, :depth]
-    keys = np.zeros(values.shape[:2], np.uint64)
-    for i in range(depth):
-        keys = keys * np.uint64(0x9E3779B97F4A7C15) + values[:, :, i].astype(np.uint64)
-    return keys
+def _propose(least: int):
+    """One pair of blocks of a node -> its documents with a partner whose sketch agrees in ``least`` values."""
+
+    def propose(table: pa.Table) -> pa.Table:
+        pair = _Pair(table)
+        sketches = np.stack([np.frombuffer(s, np.uint8) for s in pair.table.column("sketch").to_pylist()])
+        likely = np.zeros(len(sketches), bool)
+        for part, here in pair.parts(64):
+            agree = np.zeros(here.shape, np.uint8 if SKETCH < 256 else np.uint16)
+            for value in range(SKETCH):
+                agree += sketches[part, value][:, None] == sketches[pair.others, value][None, :]
+            here &= agree >= least
+            likely[part] |= here.any(axis=1)
+            likely[pair.others] |= here.any(axis=0)
+        return pair.table.select(_PROPOSED.names).filter(pa.array(likely))
+
+    return propose
+
+
+_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("number", "near", "root")])
 
 
 def shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -172,25 +242,17 @@ def links_between(left: list[np.ndarray], right: list[np.ndarray], threshold: fl
     return shared >= threshold * (a[:, None] + b[None, :] - shared) - 1e-6
 
 
-def _verify(threshold: float, depth: int):
+def _verify(threshold: float):
     """One pair of blocks of a node -> linked documents per shingle set, and a link towards its group."""
 
     def verify(table: pa.Table) -> pa.Table:
-        table = table.sort_by("same")
-        block, tree = table.column("block").to_numpy(), table.column("tree")[0].as_py()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        same, copies = table.column("same").to_pylist(), table.column("copies").to_numpy()
-        trees = _trees(table.column("signature").to_pylist(), depth)
-        sets = [np.unique(shingle_sequence(np.frombuffer(w, np.uint64))) for w in table.column("hashes").to_pylist()]
-        mine, others = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        near, root = np.zeros(len(same), np.int64), np.arange(len(same))
-        for start in range(0, len(mine) if len(others) else 0, 256):
-            part = mine[start : start + 256]
-            linked = links_between([sets[i] for i in part], [sets[i] for i in others], threshold)
-            if low == high:  # every pair once
-                linked &= part[:, None] < others[None, :]
-            for earlier in range(tree):  # compared there
-                linked &= trees[part, earlier][:, None] != trees[others, earlier][None, :]
+        pair = _Pair(table)
+        number, copies = pair.table.column("number").to_numpy(), pair.table.column("copies").to_numpy()
+        sets = [np.unique(shingle_sequence(np.frombuffer(w, np.uint64))) for w in pair.table.column("hashes").to_pylist()]
+        near, root = np.zeros(len(number), np.int64), np.arange(len(number))
+        others = pair.others
+        for part, here in pair.parts():
+            linked = here & links_between([sets[i] for i in part], [sets[i] for i in others], threshold)
             near[part] += linked @ copies[others]
             near[others] += copies[part] @ linked
             for i, row in zip(part, linked):
@@ -198,9 +260,8 @@ def _verify(threshold: float, depth: int):
                 if len(beside):
                     _join(root, np.append(beside, i))
         kept = np.flatnonzero(near)
-        return pa.table(
-            {"same": pa.array([same[i] for i in kept], pa.binary()), "near": near[kept], "root": pa.array([same[_root(root, i)] for i in kept], pa.binary())}
-        )
+        roots = number[[_root(root, i) for i in kept]] if len(kept) else number[:0]
+        return pa.table({"number": number[kept], "near": near[kept], "root": roots})
 
     return verify
 
@@ -252,46 +313,59 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str =
     )
 
 
+def _document_key(id_column: str, text_hash: str) -> Column:
+    return F.xxhash64(F.col(id_column).cast("long"), text_hash)
+
+
+def _picked(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ``df`` whose key may be among ``keys``, and the others; (all, None) if there are too many keys."""
+    maybe: Callable[[Column], Column] | None = possible_members(keys)
+    return (df.where(maybe(key)), df.where(~maybe(key))) if maybe else (df, None)
+
+
 def _classified(docs: DataFrame, threshold: float, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
     """The signed rows of ``docs`` (``id``, ``text_hash``, ``same``), and of shingle sets with links ``same``,
-    ``class`` (the least id of the class and that row's text hash) and ``near``. Both are stored."""
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    members = cut_lineage(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_sign, _SIGNED), "signed")
-    first = F.min(F.struct("id", "text_hash", "words", "signature"))
+    ``class`` (the least id of the class and that row's text hash) and ``near``. Both are stored.
+
+    Joins that could be broadcast on small tables only are merge joins everywhere: they read narrow rows.
+    """
+    trees, depth = forest_shape(threshold)
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
+    members = cut_lineage(texts.mapInArrow(_sign(trees, depth), _SIGNED), "signed")
+    first = F.min(F.struct("id", "text_hash", "words", "nodes", "sketch"))
     signed = cut_lineage(
         members.where(F.col("same").isNotNull() & F.col("id").isNotNull())
         .groupBy("same")
         .agg(first.alias("f"), F.count(F.lit(1)).alias("copies"))
-        .select("same", "f.*", "copies"),
+        .select(F.monotonically_increasing_id().alias("number"), "same", "f.*", "copies"),
         "distinct",
     )
 
-    # Nodes of the shallowest depth with two members or more hold every node below them.
-    rows = _prefixes(signed.select("same", "words", "signature"), SHALLOWEST)
-    shared = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node"), "nodes")
-    values = F.expr(f"substring(signature, tree * {_bytes_of_tree()} + 1, {_bytes_of_tree()})")
-    narrow = rows.select("same", "words", "tree", "node", values.alias("values"))
-    forest = cut_lineage(narrow.join(shared, "node", "left_semi").drop("node"), "forest")
-    inside = forest.select("same").distinct()
-    likely = cut_lineage(signed.join(inside, "same", "left_semi").select("same", "id", "copies", "signature"), "likely")
-    depth = fitting_depth(threshold)
-
-    blocks = cut_lineage(_blocks(forest, depth), "blocks")
-    compared = blocks.select("same").distinct()
-    wanted = cut_lineage(likely.select("same", "id").join(compared, "same", "left_semi").select("id").distinct(), "wanted")
-    hashed = texts.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_hash, _HASHED).dropDuplicates(["same"])
-    candidates = blocks.join(hashed, "same").join(likely.select("same", "copies", "signature"), "same")
-    links = cut_lineage(candidates.groupBy("node", "low", "high").applyInArrow(_verify(threshold, depth), _LINKS), "links")
-
-    roots = cut_lineage(components(links.select(F.col("same").alias("a"), F.col("root").alias("b"))), "roots")
-    number = links.groupBy("same").agg(F.sum("near").alias("near"))
+    rooted = signed.select("number", "words", "nodes").mapInArrow(_rooted, _ROOTED)
+    shared = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
+    forest = cut_lineage(rooted.join(shared.hint("merge"), "node", "left_semi"), "forest")
+    likely = cut_lineage(signed.join(forest.select("number").distinct().hint("merge"), "number", "left_semi"), "likely")
+    block_pair = ("node", "low", "high")
+    candidates = _blocks(forest).join(likely.select("number", "nodes", "sketch").hint("merge"), "number")
+    proposed = cut_lineage(candidates.groupBy(*block_pair).applyInArrow(_propose(least_agreement(threshold)), _PROPOSED), "proposed")
+
+    compared = likely.join(proposed.select("number").distinct().hint("merge"), "number", "left_semi")
+    wanted = cut_lineage(compared.select("number", "same", "nodes", "copies", _document_key("id", "text_hash").alias("key")), "wanted")
+    again, _ = _picked(texts, _document_key("id", "text_hash"), wanted.select("key"))
+    hashed = again.select("id", "text").mapInArrow(_hash, _HASHED).join(wanted.select("same").hint("merge"), "same", "left_semi").dropDuplicates(["same"])
+    read = wanted.join(hashed, "same").select("number", "nodes", "copies", "hashes")
+    links = cut_lineage(proposed.join(read.hint("merge"), "number").groupBy(*block_pair).applyInArrow(_verify(threshold), _LINKS), "links")
+
+    roots = cut_lineage(components(links.select(F.col("number").alias("a"), F.col("root").alias("b"))), "roots")
+    near = links.groupBy("number").agg(F.sum("near").alias("near"))
+    linked = near.join(roots.withColumnRenamed("node", "number"), "number", "left")
     grouped = (
-        signed.select("same", "id", "text_hash", "copies")
-        .join(number, "same", "left")
-        .join(roots.withColumnRenamed("node", "same"), "same", "left")
-        .select("same", "id", "text_hash", F.coalesce("root", "same").alias("root"), (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("near"))
+        signed.select("number", "same", "id", "text_hash", "copies")
+        .join(linked.hint("merge"), "number", "left")
+        .select("same", "id", "text_hash", F.coalesce("root", "number").alias("root"), (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("near"))
         .where("near > 0")
     )
+    grouped = cut_lineage(grouped, "grouped")
     least = grouped.groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("class"))
     classes = grouped.join(least, "root").select("same", "class", "near")
     return members, cut_lineage(classes, "classes")
@@ -301,7 +375,8 @@ def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str =
     """``docs`` with one document of each class of similar ones: that with the least id.
 
     A document is an id and a text: rows that repeat an id with another text are judged by their own text,
-    and of rows that repeat both only one stays. All rows without an id stay.
+    and of rows that repeat both only one stays. All rows without an id stay. Texts are shuffled only of rows that a
+    bounded filter takes for such as go or are repeated; if those are too many for it, of all rows.
     """
     named = docs.where(F.col(id_column).isNotNull())
     members, classes = _classified(named, threshold, id_column, "text")
@@ -309,10 +384,12 @@ def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str =
     document = [id_column, text_hash]
     rows = members.select(F.col("id").alias(id_column), F.col("text_hash").alias(text_hash), "same")
     others = (F.col(id_column) != F.col("class.id")) | (F.col(text_hash) != F.col("class.text_hash"))
-    gone = cut_lineage(rows.join(classes, "same").where(others).select(*document).distinct(), "gone")
-    kept = named.withColumn(text_hash, F.xxhash64("text")).join(gone, document, "left_anti")
-    times = rows.groupBy(*document).agg(F.count(F.lit(1)).alias("n"))
-    repeated = cut_lineage(times.where("n > 1").select(*document), "repeated")
-    once = kept.join(repeated, document, "left_anti").select(*docs.columns)
-    again = kept.join(repeated, document, "left_semi").dropDuplicates(document).select(*docs.columns)
-    return once.unionByName(again).unionByName(docs.where(F.col(id_column).isNull()))
+    gone = cut_lineage(rows.join(classes.hint("merge"), "same").where(others).select(*document).distinct(), "gone")
+    repeated = rows.groupBy(*document).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*document)
+    keys = cut_lineage(gone.unionByName(repeated).select(_document_key(id_column, text_hash).alias("key")), "keys")
+    hashed = named.withColumn(text_hash, F.xxhash64("text"))
+    suspects, sure = _picked(hashed, _document_key(id_column, text_hash), keys)
+    stay = suspects.dropDuplicates(document).join(gone.hint("merge"), document, "left_anti")
+    for part in (sure, docs.where(F.col(id_column).isNull())):
+        stay = stay.select(*docs.columns).unionByName(part.select(*docs.columns)) if part is not None else stay
+    return stay

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from stridebase.llm import ngram_join, words
+from stridebase.llm import membership, ngram_join, words
 from stridebase.llm.components import components
 
 
@@ -46,9 +47,9 @@ def spread(seed, number, size=120):
     return out
 
 
-def run(spark, docs):
+def run(spark, docs, threshold=0.8):
     df = spark.createDataFrame([(i, t, "x", 0) for i, t in docs], "doc_id long, text string, same string, node int")
-    return sorted(((r["doc_id"], r["class_id"], r["links"]) for r in ngram_join.similar_documents(df).collect()), key=str)
+    return sorted(((r["doc_id"], r["class_id"], r["links"]) for r in ngram_join.similar_documents(df, threshold).collect()), key=str)
 
 
 def test_against_brute_force(spark):
@@ -71,26 +72,74 @@ def test_empty_table(spark):
     assert ngram_join.one_of_each_class(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_recall_at_the_threshold():
-    assert ngram_join.chance(0.8, ngram_join.SHALLOWEST) > 0.9999
+@pytest.mark.parametrize("threshold", [0.05, 0.2, 0.3, 0.5, 0.6, 0.7, 0.8, 0.82, 0.85, 0.9, 1.0])
+def test_the_forest_suits_pairs_at_the_threshold(threshold):
+    trees, depth = ngram_join.forest_shape(threshold)
+    assert ngram_join.chance(threshold, depth, trees) >= ngram_join.RECALL
+    if trees == ngram_join.TREES:  # the longest prefix that does
+        assert depth == ngram_join.DEPTH or ngram_join.chance(threshold, depth + 1) < ngram_join.RECALL
+    else:
+        assert depth == 1
 
 
-@pytest.mark.parametrize("threshold", [0.8, 0.82, 0.85, 0.9, 1.0])
-def test_the_depth_suits_pairs_at_the_threshold(threshold):
-    depth = ngram_join.fitting_depth(threshold)
-    assert ngram_join.chance(threshold, depth) >= ngram_join.RECALL
-    assert depth == ngram_join.DEPTH or ngram_join.chance(threshold, depth + 1) < ngram_join.RECALL
+def test_the_forest_keeps_documents_apart_that_share_passages():
+    trees, depth = ngram_join.forest_shape(0.8)
+    assert ngram_join.chance(0.3, depth, trees) < 0.03 and ngram_join.chance(0.4, depth, trees) < 0.15
 
 
-def test_copies_do_not_hide_pairs_at_the_threshold(spark, monkeypatch):
-    used = []
-    monkeypatch.setattr(ngram_join, "_verify", lambda threshold, depth, verify=ngram_join._verify: used.append(depth) or verify(threshold, depth))
+@pytest.mark.parametrize("threshold", [0, -1, 1.1, float("nan")])
+def test_thresholds_that_make_no_sense(spark, threshold):
+    with pytest.raises(ValueError):
+        ngram_join.similar_documents(spark.createDataFrame([], "doc_id long, text string"), threshold)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
+def test_recall_at_every_threshold(spark, threshold):
+    """60 pairs just at the threshold: 100 + 4 words, of which a run is shared."""
+    docs, size = [], 200
+    for i in range(60):
+        shared = round(2 * size * threshold / (1 + threshold)) + 1
+        common = [f"c{i}x{j}" for j in range(shared + 4)]
+        for side in range(2):
+            docs.append((2 * i + side, " ".join(common + [f"s{i}x{side}x{j}" for j in range(size - shared)])))
+    found = run(spark, docs, threshold)
+    assert found == brute_force(docs, threshold)
+    assert sum(links for _, _, links in found) == 120
+
+
+def test_copies_do_not_hide_pairs_at_the_threshold(spark):
     base = [f"w{i}" for i in range(400)]
     docs = [(i, " ".join([*base, f"end{i}"])) for i in range(150)]  # very similar copies
     pair = [f"v{i}" for i in range(104)]
     docs += [(500, " ".join(pair[:94])), (501, " ".join(pair[:4] + pair[10:]))]
     assert run(spark, docs) == brute_force(docs)
-    assert used == [ngram_join.SHALLOWEST]
+
+
+def test_without_a_filter(spark, monkeypatch):
+    """Too many keys for a bounded filter: the same rows by joins alone."""
+    docs = list(enumerate(spread(5, 20) + ["alone"])) + [(3, "alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    with_filter = sorted(map(tuple, ngram_join.one_of_each_class(df).collect()))
+    monkeypatch.setattr(membership, "MOST_BITS", 1)
+    assert sorted(map(tuple, ngram_join.one_of_each_class(df).collect())) == with_filter
+
+
+def test_filters_hold_all_keys(spark):
+    keys = spark.range(0, 200_000, 2).selectExpr("xxhash64(id) as key")
+    maybe = membership.possible_members(keys)
+    found = spark.range(200_000).select((F.col("id") % 2 == 0).alias("even"), maybe(F.xxhash64("id")).alias("held"))
+    counts = {(r["even"], r["held"]): r["count"] for r in found.groupBy("even", "held").count().collect()}
+    assert counts[True, True] == 100_000 and (True, False) not in counts
+    assert counts[False, True] < 5_000
+    none = membership.possible_members(spark.range(0).selectExpr("id as key"))
+    assert spark.range(100).where(none(F.xxhash64("id"))).count() == 0
+
+
+def test_sketches_miss_no_similar_pair():
+    rng = np.random.default_rng(5)
+    least = ngram_join.least_agreement(0.8)
+    agreed = rng.binomial(ngram_join.SKETCH, 0.8, 100_000)
+    assert (agreed < least).mean() < 1e-4 and least > 0.6 * ngram_join.SKETCH
 
 
 def test_signatures_estimate_similarity():
