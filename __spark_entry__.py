@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle.duckdb_sql import ORACLE  # noqa: E402
-from stridebase.operators import profiling  # noqa: E402
+from stridebase.operators import profiling, quantile_sketches  # noqa: E402
 from stridebase.operators.dense_ids import dense_ranks  # noqa: E402
-from stridebase.plans import explore, gold, marts, quality, reports, star_queries  # noqa: E402
+from stridebase.plans import explore, gold, marts, quality, reports, star_queries, year_figures  # noqa: E402
 from stridebase.plans.explore import V1  # noqa: E402
 from stridebase.plans.silver import clean_results  # noqa: E402
+from stridebase.plans.star_queries import Star  # noqa: E402
 from stridebase.plans.warehouse import StreamedWarehouse, Warehouse, order_warehouse  # noqa: E402
+from stridebase.sources.audit import AuditFailed, as_table, publish  # noqa: E402
 from stridebase.sources.order_races import races_from_orders  # noqa: E402
 from stridebase.sources.races_csv import count_lines, read_races_csv, write_races_csv  # noqa: E402
 from stridebase.sources.tables import create_schema, drop_table, refresh_table  # noqa: E402
@@ -33,6 +35,10 @@ except ImportError:  # the package may be left out
 # Parameters of the registered reports.
 AS_OF_YEAR = 2025
 CLICKED_YEAR = 1998
+FIRST_YEAR, LAST_YEAR = 1993, 1996  # of the range of years
+MISSING_ATHLETES, DAMAGED_SECONDS = 50, 97  # multiples are left out of the dimension, and lose their event
+QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+LATE_YEARS, MIDDLE_YEARS = 1997, 1994  # from which on results land first and second
 DAMAGED_IDS = 101  # multiples of this are damaged in the file whose lines are counted
 
 
@@ -74,6 +80,60 @@ def _streamed(w: Warehouse) -> StreamedWarehouse:
     return StreamedWarehouse(w.spark, f"{run}/landing", f"{run}/layers", f"s{uuid.uuid4().hex[:10]}_")
 
 
+_landed: dict[str, StreamedWarehouse] = {}
+
+
+def _in_three_landings(w: Warehouse) -> StreamedWarehouse:
+    """Layers after three landings, the latest years first, each with a refresh, and one batch that is replayed."""
+    if w.location not in _landed:
+        run = f"{w.location}/landings-{uuid.uuid4().hex}"
+        layers = StreamedWarehouse(w.spark, f"{run}/landing", f"{run}/layers", f"i{uuid.uuid4().hex[:10]}_")
+        third = F.when(F.col("year_of_event") >= LATE_YEARS, 0).when(F.col("year_of_event") >= MIDDLE_YEARS, 1).otherwise(2)
+        for landing in range(3):
+            arriving = w.races.where(third == landing)
+            arriving.write.mode("append").parquet(f"{run}/landing")
+            layers.refresh()
+        layers.store.add(clean_results(arriving), 2)
+        _landed[w.location] = layers
+    return _landed[w.location]
+
+
+def _audited_gold(w: Warehouse) -> DataFrame:
+    """What the audits find while copies of the four star tables are published."""
+    name = f"audit_{uuid.uuid4().hex[:10]}"
+    copy = Warehouse(w.races, f"{w.location}/{name}", f"{name}_", audited=True)
+    copy.__dict__["silver"] = w.silver
+    copy.fct_results
+    return as_table(w.spark, [finding for findings in copy.findings.values() for finding in findings])
+
+
+def _rejected_keys(w: Warehouse) -> DataFrame:
+    """The keys for which a damaged fact is not published."""
+    schema = f"rejected_{uuid.uuid4().hex[:10]}"
+    create_schema(w.spark, schema, f"{w.location}/{schema}")
+    fewer = w.dim_athlete.where(F.col("athlete_id") % MISSING_ATHLETES != 0)
+    damaged = F.when(F.col("performance_seconds") % DAMAGED_SECONDS != 0, F.col("event_id"))
+    star = Star(w.fct_results.withColumn("event_id", damaged), fewer, w.dim_event, w.dim_time)
+    try:
+        publish(star.fct_results, f"{schema}.fct_results", "", f"{w.location}/{schema}/fct", quality.declared_rules("fct_results", star))
+    except AuditFailed as failed:
+        return failed.violations
+    raise AssertionError("the damaged fact was published")
+
+
+def _sketched_speeds(w: Warehouse) -> DataFrame:
+    """Number of speeds per year, whether the quantiles of their sketches, merged from sketches by event and year,
+    are as exact as promised, and the exact median."""
+    parts = quantile_sketches.sketch(w.fct_results, "athlete_average_speed", "year_id", "event_id")
+    found = quantile_sketches.quantiles(quantile_sketches.merged(parts, "year_id"), QUANTILES)
+    errors = quantile_sketches.measured_rank_errors(w.fct_results, "athlete_average_speed", ["year_id"], found, QUANTILES)
+    return (
+        errors.join(w.dim_time, "year_id")
+        .groupBy("year_of_event", "quantile")
+        .agg(F.max("values").alias("speeds"), (F.max("error") <= quantile_sketches.rank_error()).alias("within_error"))
+    )
+
+
 def _dense_ids(w: Warehouse, value: str, rank: str, n: int | None = None) -> DataFrame:
     ranks = dense_ranks(w.explore_v1, {rank: value})[rank]
     return ranks if n is None else ranks.orderBy(rank).limit(n)
@@ -118,6 +178,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_obt": lambda w: clean_results(w.races),
         "silver_stream": lambda w: _streamed(w).silver,
         "mart_top_countries_streamed": lambda w: _streamed(w).mart_top_countries,
+        "mart_top_countries_incremental": lambda w: _in_three_landings(w).store.mart_top_countries(),
+        "dim_athlete_incremental": lambda w: _in_three_landings(w).store.dim_athlete(),
+        "dim_event_incremental": lambda w: _in_three_landings(w).store.dim_event(),
+        "kpi_overview_incremental": lambda w: star_queries.kpi_overview(_in_three_landings(w).star),
+        "kpi_by_year_incremental": lambda w: star_queries.kpi_by_year(_in_three_landings(w).star),
+        "gender_incremental": lambda w: star_queries.gender_distribution(_in_three_landings(w).star),
+        "speed_by_distance_incremental": lambda w: star_queries.speed_by_distance(_in_three_landings(w).star),
         "csv_line_counts": _damaged_csv,
         "dim_athlete": lambda w: gold.dim_athlete(w.silver),
         "dim_event": lambda w: gold.dim_event(w.silver),
@@ -142,11 +209,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dash_top10_fastest": lambda w: star_queries.top10_fastest(w.star),
         "kpi_by_year": lambda w: star_queries.kpi_by_year(w.star),
         # Dashboard after a click on one year
-        "kpi_year_filter": lambda w: star_queries.kpi_overview(w.star, CLICKED_YEAR),
-        "top_countries_year_filter": lambda w: star_queries.top_countries(w.star, CLICKED_YEAR),
-        "gender_year_filter": lambda w: star_queries.gender_distribution(w.star, CLICKED_YEAR),
-        "speed_by_distance_year_filter": lambda w: star_queries.speed_by_distance(w.star, CLICKED_YEAR),
-        "top10_fastest_year_filter": lambda w: star_queries.top10_fastest(w.star, CLICKED_YEAR),
+        "kpi_year_filter": lambda w: star_queries.kpi_overview(w.star_by_year, CLICKED_YEAR),
+        "top_countries_year_filter": lambda w: star_queries.top_countries(w.star_by_year, CLICKED_YEAR),
+        "gender_year_filter": lambda w: star_queries.gender_distribution(w.star_by_year, CLICKED_YEAR),
+        "speed_by_distance_year_filter": lambda w: star_queries.speed_by_distance(w.star_by_year, CLICKED_YEAR),
+        "top10_fastest_year_filter": lambda w: star_queries.top10_fastest(w.star_by_year, CLICKED_YEAR),
+        # Ranges of years, from what is stored per year
+        "kpi_year_range": lambda w: year_figures.kpi_over_years(w.year_figures, FIRST_YEAR, LAST_YEAR),
+        "kpi_up_to_each_year": lambda w: year_figures.kpi_up_to_each_year(w.year_figures),
+        "speed_sketches_by_year": _sketched_speeds,
         # Profiles of raw results
         "describe_numeric": lambda w: profiling.describe(w.races).withColumns(
             {"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)}
@@ -214,6 +285,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_table_inventory": lambda w: _gold_inventory(w, quality.table_inventory),
         "gold_schema_inventory": lambda w: _gold_inventory(w, quality.column_inventory),
         # Data quality
+        "audit_gold": _audited_gold,
+        "audit_rejected_keys": _rejected_keys,
         "dq_pk_duplicates": lambda w: quality.primary_key_duplicates(w.star),
         "dq_fk_orphans": lambda w: quality.foreign_key_orphans(w.star),
         "dq_result_id_collisions": lambda w: quality.result_id_collisions(w.silver),

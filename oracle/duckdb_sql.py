@@ -621,3 +621,66 @@ for _name, _rows in (("race_type_counts", "silver"), ("race_type_counts_explore"
   THEN 'kilometers' ELSE 'other' END AS race_type, count(*) AS results FROM {_rows} GROUP BY 1""",
         _rows,
     )
+ORACLE |= {
+    "mart_top_countries_incremental": ORACLE["mart_top_countries"],
+    "dim_athlete_incremental": ORACLE["dim_athlete"],
+    "dim_event_incremental": ORACLE["dim_event"],
+    "kpi_overview_incremental": ORACLE["dash_kpi_overview"],
+    "kpi_by_year_incremental": ORACLE["kpi_by_year"],
+    "gender_incremental": ORACLE["dash_gender_distribution"],
+    "speed_by_distance_incremental": ORACLE["dash_speed_by_distance"],
+}
+
+# Questions about ranges of years, and audits.
+_KPI_OF = """count(DISTINCT event_id) AS unique_races, count(DISTINCT athlete_key) AS unique_athletes,
+  count(DISTINCT athlete_country) AS countries, count(*) AS total_results, round(avg(athlete_average_speed::double), 2) AS avg_speed_kmh"""
+_WITH_YEARS = "fct JOIN dim_time USING (year_id) JOIN dim_athlete USING (athlete_key)"
+ORACLE["kpi_year_range"] = _query(f"SELECT {_KPI_OF} FROM {_WITH_YEARS} WHERE year_of_event BETWEEN 1993 AND 1996", *_STAR)
+ORACLE["kpi_up_to_each_year"] = _query(
+    f"SELECT y.year_of_event AS up_to, {_KPI_OF} FROM dim_time y JOIN ({_WITH_YEARS}) r ON r.year_of_event <= y.year_of_event GROUP BY 1", *_STAR
+)
+ORACLE["speed_sketches_by_year"] = _query(
+    """SELECT year_of_event, quantile, count(athlete_average_speed) AS speeds, true AS within_error
+FROM fct JOIN dim_time USING (year_id) CROSS JOIN (VALUES ('p25'), ('p50'), ('p75'), ('p99')) q(quantile) GROUP BY ALL""",
+    *_STAR,
+)
+
+
+def _found(table: str, rows: str, rule: str, column: str, broken: str, must_hold: bool = True) -> str:
+    """One finding; ``broken`` selects the rows (n) of each key that breaks the rule."""
+    return f"""SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, (SELECT count(*) FROM {rows}) AS checked_rows,
+  (SELECT count(*) FROM ({broken})) AS broken_keys, (SELECT coalesce(sum(n), 0)::bigint FROM ({broken})) AS broken_rows,
+  {must_hold} AS must_hold, ((SELECT count(*) FROM ({broken})) = 0 OR NOT {must_hold}) AS passed"""
+
+
+def _missing(rows: str, column: str) -> str:
+    return f"SELECT count(*) AS n FROM {rows} WHERE {column} IS NULL HAVING count(*) > 0"
+
+
+def _repeated(rows: str, column: str) -> str:
+    return f"SELECT count(*) AS n FROM {rows} GROUP BY {column} HAVING count(*) > 1"
+
+
+def _dangling(dimension: str, column: str) -> str:
+    return f"SELECT count(*) AS n FROM fct WHERE {column} NOT IN (SELECT {column} FROM {dimension}) GROUP BY {column}"
+
+
+_DIMENSIONS = {"dim_athlete": "athlete_key", "dim_event": "event_id", "dim_time": "year_id"}
+ORACLE["audit_gold"] = _query(
+    "\nUNION ALL ".join(
+        [_found(d, d, "required", c, _missing(d, c)) for d, c in _DIMENSIONS.items()]
+        + [_found(d, d, "unique", c, _repeated(d, c)) for d, c in _DIMENSIONS.items()]
+        + [_found("fct_results", "fct", "required", c, _missing("fct", c)) for c in ("result_id", *_DIMENSIONS.values())]
+        + [_found("fct_results", "fct", "unique", "result_id", _repeated("fct", "result_id"), False)]
+        + [_found("fct_results", "fct", "reference", c, _dangling(d, c)) for d, c in _DIMENSIONS.items()]
+    ),
+    *_STAR,
+)
+ORACLE["audit_rejected_keys"] = _query(
+    """SELECT 'required' AS rule, 'event_id' AS column_name, NULL::varchar AS key_value, count(*) AS rows
+FROM fct WHERE performance_seconds % 97 = 0
+UNION ALL SELECT 'unique', 'result_id', result_id, count(*) FROM fct GROUP BY result_id HAVING count(*) > 1
+UNION ALL SELECT 'reference', 'athlete_key', athlete_key, count(*) FROM fct JOIN dim_athlete USING (athlete_key)
+WHERE athlete_id % 50 = 0 GROUP BY athlete_key""",
+    *_STAR,
+)

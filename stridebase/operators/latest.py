@@ -18,9 +18,14 @@ def latest_by(df: DataFrame, key: str, order: str, attributes: Sequence[str]) ->
     One ``max`` over a struct needs one shuffle and has a map side, so a key that holds a
     large share of the rows is reduced in every task before it is shuffled.
     """
+    return attributes_of(newest_by(df, key, order, attributes), key, attributes)
+
+
+def newest_by(df: DataFrame, key: str, order: str, attributes: Sequence[str]) -> DataFrame:
+    """Per key ``newest``, its greatest struct of ``order`` and attributes. The greatest of several parts' is that of all."""
     newest = F.max(F.when(F.col(order).isNotNull(), F.struct(order, *attributes)))
-    return (
-        df.groupBy(key)
-        .agg(newest.alias("newest"))
-        .select(key, *[F.col(f"newest.{name}").alias(name) for name in attributes])
-    )
+    return df.groupBy(key).agg(newest.alias("newest"))
+
+
+def attributes_of(newest: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    return newest.select(key, *[F.col(f"newest.{name}").alias(name) for name in attributes])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPEED, _TIME = "athlete_average_speed", "performance_seconds"
+MEASURES = ("results", "speed_sum", "speed_count", "seconds_sum", "seconds_count")
 
 
 def partial_measures(fct: DataFrame, *keys: str) -> DataFrame:
@@ -24,6 +25,11 @@ def partial_measures(fct: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def merged_measures(partial: DataFrame, *keys: str) -> DataFrame:
+    """Partial measures of several parts, or of finer keys, added up per key."""
+    return partial.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in MEASURES])
+
+
 def total_results() -> Column:
     return F.sum("results")
 

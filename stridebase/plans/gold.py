@@ -6,26 +6,27 @@ from pyspark.sql import functions as F
 from stridebase.functions.keys import hash_key
 from stridebase.operators.latest import latest_by
 
+ATHLETE_ATTRIBUTES = (
+    "athlete_id",
+    "athlete_country",
+    "athlete_gender",
+    "athlete_year_of_birth",
+    "athlete_age_category",
+)
+EVENT_ATTRIBUTES = (
+    "event_name",
+    "event_distance_length",
+    "event_number_of_finishers",
+    "event_dates",
+)
+
 
 def dim_athlete(silver: DataFrame) -> DataFrame:
-    attributes = [
-        "athlete_id",
-        "athlete_country",
-        "athlete_gender",
-        "athlete_year_of_birth",
-        "athlete_age_category",
-    ]
-    return latest_by(silver, "athlete_key", "year_of_event", attributes)
+    return latest_by(silver, "athlete_key", "year_of_event", ATHLETE_ATTRIBUTES)
 
 
 def dim_event(silver: DataFrame) -> DataFrame:
-    attributes = [
-        "event_name",
-        "event_distance_length",
-        "event_number_of_finishers",
-        "event_dates",
-    ]
-    return latest_by(silver, "event_id", "year_of_event", attributes)
+    return latest_by(silver, "event_id", "year_of_event", EVENT_ATTRIBUTES)
 
 
 def dim_time(silver: DataFrame) -> DataFrame:

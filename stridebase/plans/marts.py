@@ -19,7 +19,11 @@ def mart_top_countries(fct: DataFrame, dim_athlete: DataFrame) -> DataFrame:
     The country is the athlete's latest one, not the one on the result. A stored table keeps no
     order; the questions asked of it sort.
     """
-    per_athlete = partial_measures(fct, "athlete_key")
+    return country_mart(partial_measures(fct, "athlete_key"), dim_athlete)
+
+
+def country_mart(per_athlete: DataFrame, dim_athlete: DataFrame) -> DataFrame:
+    """The same from partial measures by athlete, or by athlete and more."""
     countries = dim_athlete.select("athlete_key", "athlete_country")
     return (
         per_athlete.join(countries, "athlete_key", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridebase.plans.star_queries import Star
+from stridebase.sources.audit import Rules
 
 # Declared keys of the star schema.
 PRIMARY_KEYS = {
@@ -17,6 +18,17 @@ PRIMARY_KEYS = {
     "dim_time": "year_id",
 }
 FOREIGN_KEYS = {"dim_athlete": "athlete_key", "dim_event": "event_id", "dim_time": "year_id"}
+# Two distances of one event in one year share a result id, so its repeats are reported only.
+REPORTED_KEYS = {"fct_results"}
+
+
+def declared_rules(table: str, star: Star) -> Rules:
+    """The declared keys of a table as rules of an audit; the fact refers to the dimensions of ``star``."""
+    key = PRIMARY_KEYS[table]
+    if table != "fct_results":
+        return Rules(key, required=(key,))
+    references = {column: getattr(star, dimension).select(column) for dimension, column in FOREIGN_KEYS.items()}
+    return Rules(key, table not in REPORTED_KEYS, (key, *references), references)
 
 
 def primary_key_duplicates(star: Star) -> DataFrame:

@@ -9,10 +9,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridebase.functions import athlete, clock, keys, speed, units
 from stridebase.operators.settle import settle
-from stridebase.schema import BRONZE_COLUMNS
+from stridebase.schema import BRONZE_COLUMNS, BRONZE_SCHEMA
 
 # Countries in scope.
 EUROPE = (
@@ -35,6 +36,21 @@ SILVER_COLUMNS = [
 ]
 
 
+_TYPES = {
+    "event_number_of_finishers": T.IntegerType(),
+    "athlete_year_of_birth": T.IntegerType(),
+    "athlete_average_speed": T.FloatType(),
+    "performance_seconds": T.IntegerType(),
+    "athlete_age_at_event": T.IntegerType(),
+}
+SILVER_SCHEMA = T.StructType(
+    [
+        T.StructField(name, _TYPES.get(name) or (BRONZE_SCHEMA[name].dataType if name in BRONZE_COLUMNS else T.StringType()))
+        for name in SILVER_COLUMNS
+    ]
+)
+
+
 def in_scope(countries: Sequence[str] = EUROPE) -> Column:
     """Row predicate on raw columns: a timed kilometre event of an athlete in scope, with a
     speed that is no clock text. Cheap tests come first."""

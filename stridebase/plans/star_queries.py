@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridebase.operators.rollup import mean_speed, partial_measures, total_results
-from stridebase.plans.marts import mart_fastest_athletes, mart_top_countries
+from stridebase.operators.rollup import mean_speed, merged_measures, partial_measures, total_results
+from stridebase.plans.marts import country_mart, mart_fastest_athletes
 
 # Fixed values of the dashboard and of the standing questions.
 FIRST_TREND_YEAR, LAST_TREND_YEAR = 1996, 2023
@@ -36,6 +36,32 @@ class Star:
         results = self.fct_results.join(wanted, "year_id", "left_semi")
         return Star(results, self.dim_athlete, self.dim_event, self.dim_time)
 
+    def measures(self, *keys: str) -> DataFrame:
+        """Partial measures of the results per key."""
+        return partial_measures(self.fct_results, *keys)
+
+
+@dataclass(frozen=True)
+class SummedStar(Star):
+    """A star whose measures are stored, per year and athlete and per year and event.
+
+    Questions that need no single result are answered from these, without reading the fact.
+    """
+
+    athlete_years: DataFrame
+    event_years: DataFrame
+
+    def in_year(self, year: int | None) -> SummedStar:
+        if year is None:
+            return self
+        wanted = self.dim_time.where(F.col("year_of_event") == year).select("year_id")
+        kept = (df.join(wanted, "year_id", "left_semi") for df in (self.fct_results, self.athlete_years, self.event_years))
+        results, athlete_years, event_years = kept
+        return SummedStar(results, self.dim_athlete, self.dim_event, self.dim_time, athlete_years, event_years)
+
+    def measures(self, *keys: str) -> DataFrame:
+        return merged_measures(self.event_years if "event_id" in keys else self.athlete_years, *keys)
+
 
 def star_wide(star: Star) -> DataFrame:
     """Every result with all attributes of its three dimensions."""
@@ -61,7 +87,7 @@ def top_country(mart: DataFrame) -> DataFrame:
 def participation(star: Star) -> DataFrame:
     """Results per year."""
     return (
-        partial_measures(star.fct_results, "year_id")
+        star.measures("year_id")
         .join(star.dim_time, "year_id")
         .groupBy("year_of_event")
         .agg(total_results().alias("total_results"))
@@ -73,7 +99,7 @@ def gender_distribution(star: Star, year: int | None = None) -> DataFrame:
     """Results per gender; athletes of unknown gender are left out."""
     known = star.dim_athlete.where(F.col("athlete_gender").isNotNull())
     return (
-        partial_measures(star.in_year(year).fct_results, "athlete_key")
+        star.in_year(year).measures("athlete_key")
         .join(known.select("athlete_key", "athlete_gender"), "athlete_key")
         .groupBy("athlete_gender")
         .agg(total_results().alias("number_of_results"))
@@ -99,7 +125,7 @@ def speed_by_distance(star: Star, year: int | None = None) -> DataFrame:
     not the one on the result, so an event with several distances counts under one."""
     distances = star.dim_event.select("event_id", "event_distance_length")
     return (
-        partial_measures(star.in_year(year).fct_results, "event_id")
+        star.in_year(year).measures("event_id")
         .join(distances, "event_id")
         .groupBy("event_distance_length")
         .agg(F.round(mean_speed(), 2).alias("avg_speed_kmh"))
@@ -122,12 +148,12 @@ def kpi_overview(star: Star, year: int | None = None) -> DataFrame:
     """Unique races, results, countries and mean speed, one row."""
     selected = star.in_year(year)
     per_country = (
-        partial_measures(selected.fct_results, "athlete_key")
+        selected.measures("athlete_key")
         .join(star.dim_athlete.select("athlete_key", "athlete_country"), "athlete_key", "left")
         .groupBy("athlete_country")
         .agg(*[F.sum(c).alias(c) for c in ("results", "speed_sum", "speed_count")])
     )
-    races = selected.fct_results.select("event_id").distinct().agg(F.count("event_id"))
+    races = selected.measures("event_id").agg(F.count("event_id"))
     return per_country.agg(
         F.coalesce(total_results(), F.lit(0)).alias("total_results"),
         F.count("athlete_country").alias("countries"),
@@ -137,9 +163,8 @@ def kpi_overview(star: Star, year: int | None = None) -> DataFrame:
 
 def kpi_by_year(star: Star) -> DataFrame:
     """The same figures for every year at once: what a click on each year would show."""
-    fct = star.fct_results
     per_country = (
-        partial_measures(fct, "year_id", "athlete_key")
+        star.measures("year_id", "athlete_key")
         .join(star.dim_athlete.select("athlete_key", "athlete_country"), "athlete_key", "left")
         .groupBy("year_id", "athlete_country")
         .agg(*[F.sum(c).alias(c) for c in ("results", "speed_sum", "speed_count")])
@@ -150,8 +175,7 @@ def kpi_by_year(star: Star) -> DataFrame:
         F.round(mean_speed(), 2).alias("avg_speed_kmh"),
     )
     races = (
-        fct.select("year_id", "event_id")
-        .distinct()
+        star.measures("year_id", "event_id")
         .groupBy("year_id")
         .agg(F.count("event_id").alias("unique_races"))
     )
@@ -164,7 +188,7 @@ def kpi_by_year(star: Star) -> DataFrame:
 
 
 def top_countries(star: Star, year: int | None = None, n: int = DASHBOARD_COUNTRIES) -> DataFrame:
-    mart = mart_top_countries(star.in_year(year).fct_results, star.dim_athlete)
+    mart = country_mart(star.in_year(year).measures("athlete_key"), star.dim_athlete)
     return (
         mart.select("athlete_country", "total_finishers", "avg_speed_kmh")
         .orderBy(F.desc("total_finishers"), "athlete_country")

@@ -12,15 +12,18 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridebase.plans import explore, gold, marts
+from stridebase.plans import explore, gold, marts, quality, year_figures
 from stridebase.plans.silver import SILVER_COLUMNS, clean_results
-from stridebase.plans.star_queries import Star
+from stridebase.plans.star_queries import Star, SummedStar
+from stridebase.plans.year_figures import YearFigures
 from stridebase.schema import BRONZE_SCHEMA
 from stridebase.sources import races_csv
-from stridebase.sources.files import delete_folder
+from stridebase.sources.audit import Finding, publish
+from stridebase.sources.files import delete_folder, make_folder
 from stridebase.sources.order_races import races_from_orders
 from stridebase.sources.tables import application_folder, create_schema, drop_table, refresh_table
-from stridebase.streaming.incremental import refresh_silver, stream_races
+from stridebase.streaming.incremental import refresh_silver, stream_races, stream_silver
+from stridebase.streaming.states import StateStore, refresh_states
 
 GOLD_TABLES = (
     "dim_athlete",
@@ -39,23 +42,28 @@ STORED = {
     "explore_v2": ("explore", "rows_v2"),
     "explore_silver_v1": ("explore", "silver_v1"),
     "explore_silver_v2": ("explore", "silver_v2"),
+    "fct_by_year": ("serving", "fct_by_year"),
 }
+LAYERS = ("bronze", "silver", "gold", "explore", "serving")
 
 
 class Warehouse:
     """Stored layers over one source of raw results.
 
-    A table is built when it is first asked for; :meth:`refresh` builds all but the exploratory
+    A table is built when it is first asked for; :meth:`refresh` builds all but the exploratory and serving
     ones, which are built anew when they are next asked for.
-    ``prefix`` goes in front of the schema names, ``location`` is the folder they live in.
+    ``prefix`` goes in front of the schema names, ``location`` is the folder they live in. If ``audited``, a
+    star table is published only if its declared keys hold; :attr:`findings` has what was found.
     """
 
-    def __init__(self, races: DataFrame, location: str, prefix: str = "") -> None:
+    def __init__(self, races: DataFrame, location: str, prefix: str = "", audited: bool = False) -> None:
         self.spark: SparkSession = races.sparkSession
         self._races = races
         self._prefix = prefix
         self.location = location
-        for layer in ("bronze", "silver", "gold", "explore"):
+        self.audited = audited
+        self.findings: dict[str, list[Finding]] = {}
+        for layer in LAYERS:
             create_schema(self.spark, self.schema(layer), f"{location}/{layer}")
 
     @property
@@ -72,7 +80,11 @@ class Warehouse:
 
     def _store(self, name: str, df: DataFrame, comment: str) -> DataFrame:
         table, path = self._place(name)
-        return refresh_table(df, table, comment, path)
+        if not (self.audited and name in quality.PRIMARY_KEYS):
+            return refresh_table(df, table, comment, path)
+        dimensions = None if name != "fct_results" else Star(df, self.dim_athlete, self.dim_event, self.dim_time)
+        stored, self.findings[name] = publish(df, table, comment, path, quality.declared_rules(name, dimensions))
+        return stored
 
     @cached_property
     def races(self) -> DataFrame:
@@ -99,6 +111,22 @@ class Warehouse:
     def fct_results(self) -> DataFrame:
         return self._store("fct_results", gold.fct_results(self.silver), "One row per result")
 
+    @cached_property
+    def fct_by_year(self) -> DataFrame:
+        """The fact in one folder per year; a year with most of the results is several files."""
+        table, path = self._place("fct_by_year")
+        return refresh_table(self.fct_results, table, "Results by year", path, ("year_id",))
+
+    @property
+    def star_by_year(self) -> Star:
+        """The star for questions about single years: only the files of the years asked for are read."""
+        return Star(self.fct_by_year, self.dim_athlete, self.dim_event, self.dim_time)
+
+    @cached_property
+    def year_figures(self) -> YearFigures:
+        """What is stored per year for questions about ranges of years."""
+        return year_figures.build(self.star)
+
     @cached_property
     def mart_top_countries(self) -> DataFrame:
         mart = marts.mart_top_countries(self.fct_results, self.dim_athlete)
@@ -130,7 +158,7 @@ class Warehouse:
 
     def refresh(self) -> dict[str, DataFrame]:
         """Build every table anew, in order of dependency."""
-        for name in STORED:
+        for name in (*STORED, "year_figures"):
             self.__dict__.pop(name, None)
         return {"races": self.races, "silver": self.silver, **self.gold()}
 
@@ -144,25 +172,64 @@ class Warehouse:
 class StreamedWarehouse(Warehouse):
     """Stored layers over a landing folder of raw files that only ever gains files.
 
-    A refresh cleans the files that are new since the last one and appends them to the
-    cleaned results; the star schema is built anew from these. ``limits`` go to the cleaning
-    (countries, low, high) and must stay the same for one location.
+    A refresh cleans the files that are new since the last one, appends them to the
+    cleaned results and takes them into mergeable states. Dimensions, the country mart and the measures of
+    :attr:`star` come from the states; the fact is a projection of the cleaned results, without a copy of its own.
+    ``limits`` go to the cleaning (countries, low, high) and must stay the same for one location.
     """
 
     def __init__(
         self, spark: SparkSession, landing: str, location: str, prefix: str = "", file_format: str = "parquet", **limits
     ) -> None:
-        read = races_csv.read_races_csv if file_format == "csv" else lambda s, path: s.read.schema(BRONZE_SCHEMA).parquet(path)
-        super().__init__(read(spark, landing), location, prefix)
+        make_folder(spark, landing)
+        super().__init__(spark.createDataFrame([], BRONZE_SCHEMA), location, prefix)
         self.landing, self.file_format, self.limits = landing, file_format, limits
+        self.store = StateStore(spark, f"{location}/silver/states")
+
+    @cached_property
+    def races(self) -> DataFrame:
+        """The landing folder itself, as it is now."""
+        if self.file_format == "csv":
+            return races_csv.read_races_csv(self.spark, self.landing)
+        return self.spark.read.schema(BRONZE_SCHEMA).parquet(self.landing)
 
     @cached_property
     def silver(self) -> DataFrame:
         target, checkpoint = f"{self.location}/silver/streamed", f"{self.location}/silver/checkpoint"
         arriving = stream_races(self.spark, self.landing, self.file_format)
         refresh_silver(arriving, target, checkpoint, **self.limits).awaitTermination()
+        refresh_states(stream_silver(self.spark, target), self.store, f"{checkpoint}_states")
         return self.spark.read.parquet(target).select(*SILVER_COLUMNS)
 
+    @property
+    def star(self) -> SummedStar:
+        self.silver  # refreshed first
+        return self.store.star(self.fct_results)
+
+    @cached_property
+    def dim_athlete(self) -> DataFrame:
+        self.silver
+        return self._store("dim_athlete", self.store.dim_athlete(), "Latest athlete attributes")
+
+    @cached_property
+    def dim_event(self) -> DataFrame:
+        self.silver
+        return self._store("dim_event", self.store.dim_event(), "Latest event attributes")
+
+    @cached_property
+    def dim_time(self) -> DataFrame:
+        self.silver
+        return self._store("dim_time", self.store.dim_time(), "Years")
+
+    @cached_property
+    def fct_results(self) -> DataFrame:
+        return gold.fct_results(self.silver)
+
+    @cached_property
+    def mart_top_countries(self) -> DataFrame:
+        self.silver
+        return self._store("mart_top_countries", self.store.mart_top_countries(), "Results, speed and time per country")
+
     def drop(self) -> None:
         super().drop()
         delete_folder(self.spark, f"{self.location}/silver")

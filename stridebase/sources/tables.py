@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from stridebase.session import shared_folder
 from stridebase.sources import files
 
+if TYPE_CHECKING:
+    from stridebase.sources.audit import Audit
+
 MARKER = "_refreshed_in_full"
 KEPT_VERSIONS = 2  # the published one, and the one that running readers may still hold
 
@@ -27,7 +31,7 @@ def create_schema(spark: SparkSession, schema: str, location: str) -> None:
 
 
 def refresh_table(
-    df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = ()
+    df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = (), audit: Audit | None = None
 ) -> DataFrame:
     """Replace the stored table by ``df`` and return it as read back.
 
@@ -39,15 +43,20 @@ def refresh_table(
 
     With ``partition_by`` the rows are rebalanced on those columns first: every
     partition value lands in few, evenly sized files, and adaptive execution splits a
-    value that holds a large share of the rows.
+    value that holds a large share of the rows. An ``audit`` watches the rows that are written and
+    may stop the publication by an exception.
     """
     spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if audit:
+        df = audit.watch(df)
     version = f"{path}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     try:
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(version)
+        if audit:
+            audit.inspect(spark.read.parquet(version))
     except BaseException:
         files.delete_folder(spark, version)
         raise

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stridebase.plans.silver import EUROPE, MAX_SPEED, MIN_SPEED, clean_results
+from stridebase.plans.silver import EUROPE, MAX_SPEED, MIN_SPEED, SILVER_SCHEMA, clean_results
 from stridebase.schema import BRONZE_SCHEMA, RAW_SCHEMA, RAW_TO_BRONZE
 from stridebase.sources.tables import is_refreshed_in_full
 
@@ -35,6 +35,11 @@ def stream_races(
     return reader.schema(BRONZE_SCHEMA).parquet(folder)
 
 
+def stream_silver(spark: SparkSession, target: str) -> DataFrame:
+    """Cleaned results as :func:`refresh_silver` appends them, for what keeps itself up to date by them."""
+    return spark.readStream.schema(SILVER_SCHEMA).parquet(target)
+
+
 def refresh_silver(
     races: DataFrame,
     target: str,
