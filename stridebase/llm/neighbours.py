@@ -6,6 +6,8 @@ repeat the one before. Weighted terms of a bounded sample of labelled documents
 truncated singular value decomposition, and its right vectors project every document into
 the latent space. The sample's vectors are broadcast; blocks of documents are multiplied with all of
 them, so the cosines are exact, and the nearest vote for their label with weights that grow with the cosine.
+All factors lie on grids of powers of two on which doubles add up exactly, so a text's cosines do not depend on the
+block it is in, and equal voters tie; with the last of the nearest, all that tie with it vote.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ NEIGHBOURS = 15
 SHARPNESS = 12.0  # a vote weighs exp(SHARPNESS * (cosine - 1))
 DOUBT = 0.02  # weight of the share of good documents among the votes
 ACCEPTED = 0.3  # score from which a document counts as good
+TERM_GRID, LATENT_GRID = float(1 << 16), float(1 << 20)
 _SHARES = (0.5, 1.0, 1.0)  # of words, shapes and repetitions in a vector
 
 
@@ -77,8 +80,14 @@ def weighted(counts: list[tuple[np.ndarray, np.ndarray]], rarity: np.ndarray) ->
     return out
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+def _on_grid(values: np.ndarray, grid: float) -> np.ndarray:
+    return np.rint(values.astype(np.float64) * grid) / grid
+
+
+def _latent(rows: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Unit vectors of weighted rows."""
+    out = _on_grid(rows, TERM_GRID) @ projection
+    return _on_grid(out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9), LATENT_GRID)
 
 
 @dataclass
@@ -95,7 +104,7 @@ class Voters:
         return (float(self.labels.sum()) + 1) / (len(self.labels) + 2)
 
     def latent(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        return _unit(weighted(counts, self.rarity) @ self.projection)
+        return _latent(weighted(counts, self.rarity), self.projection)
 
     def scores(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The weighted share of good labels among the nearest; the share of all for a text without terms."""
@@ -103,9 +112,11 @@ class Voters:
         if not n:
             return np.full(len(counts), prior)
         cosines = self.latent(counts) @ self.vectors.T
-        near = np.argpartition(-cosines, n - 1, axis=1)[:, :n]
-        weights = np.exp(SHARPNESS * (np.take_along_axis(cosines, near, axis=1).astype(np.float64) - 1))
-        scores = ((weights * self.labels[near]).sum(axis=1) + DOUBT * prior) / (weights.sum(axis=1) + DOUBT)
+        least = np.partition(cosines, -n, axis=1)[:, -n]
+        document, voter = np.nonzero(cosines >= least[:, None])
+        weights = np.exp(SHARPNESS * (cosines[document, voter] - 1))
+        good = np.bincount(document, weights * self.labels[voter], len(counts))
+        scores = (good + DOUBT * prior) / (np.bincount(document, weights, len(counts)) + DOUBT)
         return np.where([len(t) > 0 for t, _ in counts], scores, prior)
 
 
@@ -117,13 +128,14 @@ def fit(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Vote
     rarity = np.log((1 + len(counts)) / (1 + present[:-1])).astype(np.float32) + np.float32(0.1)
     rows = weighted(counts, rarity)
     if not len(counts):
-        return Voters(rarity, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels.astype(float))
+        return Voters(rarity, np.zeros((TERMS, 1)), np.zeros((0, 1)), labels.astype(float))
     width = min(LATENT + 16, len(counts))
     basis = np.random.default_rng(5).standard_normal((len(counts), width)).astype(np.float32)
     for _ in range(4):
         basis = np.linalg.qr(rows @ (rows.T @ basis))[0]
     projection = np.linalg.svd(basis.T @ rows, full_matrices=False)[2][:LATENT].T
-    return Voters(rarity, np.ascontiguousarray(projection), _unit(rows @ projection), labels.astype(float))
+    projection = np.ascontiguousarray(_on_grid(projection, TERM_GRID))
+    return Voters(rarity, projection, _latent(rows, projection), labels.astype(float))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,28 @@ def test_scores_agree_with_brute_force(spark, scored):
         assert scores[doc] == pytest.approx(top / (sum(weights) + neighbours.DOUBT), abs=1e-3)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_do_not_depend_on_the_block(seed):
+    """600 voters of 77 different texts with mixed labels: ties at the last place."""
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, 20)) for _ in range(77)]
+    voters = fit([term_counts(texts[i % 77]) for i in range(600)], rng.integers(0, 2, 600).astype(float))
+    counts = [term_counts(" ".join(f"w{x}" for x in rng.integers(0, 60, 15))) for _ in range(256)]
+    counts[7] = counts[100] = counts[255]
+    whole = voters.scores(counts)
+    assert whole[7] == whole[100] == whole[255]
+    for size in (1, 7, 64):
+        parts = np.concatenate([voters.scores(counts[i : i + size]) for i in range(0, 256, size)])
+        assert (parts == whole).all()
+
+
+def test_all_that_tie_with_the_last_vote():
+    same = term_counts("one text that all voters share")
+    voters = fit([same] * 40, np.array([1.0] * 10 + [0.0] * 30))
+    share = voters.scores([same])[0]
+    assert share == pytest.approx((10 + neighbours.DOUBT * voters.prior) / (40 + neighbours.DOUBT), abs=1e-4)
+
+
 def test_only_the_learning_folds_teach(spark):
     docs = spark.createDataFrame([(i, f"text {i} " + "word " * i) for i in range(60)], "doc_id long, text string")
     right = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
