@@ -272,7 +272,8 @@ def parse_transcripts(transcripts: DataFrame, model: Model) -> DataFrame:
     ahead = transcripts.sparkSession.createDataFrame(offsets, "of long, at int, ahead long")
     numbered = parts.join(F.broadcast(ahead), F.col("conv").eqNullSafe(F.col("of")) & (F.col("piece") == F.col("at")), "left")
     pieces = F.sort_array(F.collect_list(F.struct("piece", "content")))
-    content = F.regexp_replace(F.array_join(F.transform(pieces, lambda p: p["content"]), "\n"), r"^\s+|\s+$", "")
+    # An expression that looks for blanks at the end would try every blank inside.
+    content = F.btrim(F.array_join(F.transform(pieces, lambda p: p["content"]), "\n"), F.lit(" \t\n\x0b\f\r"))
     turns = (
         numbered.withColumn("turn", F.coalesce("ahead", F.lit(0)) + F.col("number"))
         .groupBy("conv", "turn")

@@ -1,3 +1,4 @@
+import time
 from collections import Counter, defaultdict
 from itertools import product
 
@@ -111,6 +112,15 @@ def test_a_conversation_over_many_pieces(spark, model):
         assert r["rendered"] == f"<|im_start|>{r['role']}\n{r['content']}<|im_end|>"
 
 
+def test_long_runs_of_blanks(spark, model):
+    """A million blanks between two words, and around them, take no longer than other text."""
+    blanks = " \t" * 500_000
+    frame = spark.createDataFrame([(1, 0, f"User: {blanks}one{blanks}two{blanks}")], "conv long, place long, text string")
+    start = time.perf_counter()
+    (row,) = chat.parse_transcripts(frame, model).collect()
+    assert row["content"] == f"one{blanks}two" and time.perf_counter() - start < 60
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv long, place long, role string, text string")
     model = chat.count_labelled(empty)
