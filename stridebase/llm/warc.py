@@ -165,6 +165,14 @@ class _Source:
             self.file.seek(self.at)
 
 
+def _block_length(fields: dict[str, str], at: int) -> int:
+    """The length of a record's block, without which nothing after it can be found."""
+    length = _whole_number(fields.get("content-length"))
+    if length is None or length < 0:
+        raise ValueError(f"the record at byte {at} does not say how long it is")
+    return length
+
+
 def plain_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[tuple[dict, bytes | None]]:
     """(header columns, payload) of the wanted records; blocks of the others are skipped."""
     while True:
@@ -175,9 +183,12 @@ def plain_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[t
         end = source.find(_LINE_END * 2, LARGEST_HEADER)
         if end < 0 or not source.buffer.startswith(b"WARC/"):
             raise ValueError(f"no WARC header at byte {source.at}")
+        start = source.at
         fields = parse_fields(source.take(end + 4)[:end])
-        length = _whole_number(fields.get("content-length")) or 0
+        length = _block_length(fields, start)
         row = header_row(fields)
+        if source.at + length > source.size:
+            raise ValueError(f"the record at byte {start} is cut off")
         if wanted(row):
             yield row, payload_of(source.take(length), fields.get("content-type", ""))
         else:
@@ -212,7 +223,7 @@ def gzip_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[tu
                 raise ValueError(f"no WARC header in the member at byte {start}")
             raw += pump(512)
         fields = parse_fields(raw[:end])
-        length = _whole_number(fields.get("content-length")) or 0
+        length = _block_length(fields, start)
         row = header_row(fields)
         if wanted(row):
             parts, got = [raw], len(raw)

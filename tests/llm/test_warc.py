@@ -114,6 +114,19 @@ def test_broken_archives_are_errors():
             list(warc.plain_records(warc._Source(io.BytesIO(data), len(data)), lambda row: True))
 
 
+@pytest.mark.parametrize("wanted", [True, False])
+def test_cut_records_are_errors(wanted):
+    record = warc.encode_record({"WARC-Type": "response"}, b"x" * 1000, False)
+    for data in (record[:-500], record + record[:-500], record[: record.index(b"\r\n\r\n") + 4]):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.plain_records(warc._Source(io.BytesIO(data), len(data)), lambda row: wanted))
+    for length in (b"", b"Content-Length: -5\r\n", b"Content-Length: many\r\n"):
+        data = b"WARC/1.1\r\nWARC-Type: response\r\n" + length + b"\r\nhello\r\n\r\n"
+        for read, bytes_ in ((warc.plain_records, data), (warc.gzip_records, gzip.compress(data))):
+            with pytest.raises(ValueError, match="how long"):
+                list(read(warc._Source(io.BytesIO(bytes_), len(bytes_)), lambda row: wanted))
+
+
 def test_files_of_failed_attempts_are_not_read(spark, archive):
     count = spark.read.format("warc").load(archive).count()
     with open(f"{archive}/part-failed.warc", "wb") as out:
