@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +39,14 @@ def possible_members(keys: DataFrame) -> Callable[[Column], Column] | None:
         field[start : start + len(held)] = held[: len(field) - start]
     shared = keys.sparkSession.sparkContext.broadcast(field)
 
-    @F.pandas_udf("boolean")
-    def held(key: pd.Series) -> pd.Series:
-        values, field = key.to_numpy().astype(np.int64).view(np.uint64), shared.value
+    @F.arrow_udf("boolean")
+    def held(key: pa.Array) -> pa.Array:
+        values, field = key.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), shared.value
         first, second = values & np.uint64(0xFFFFFFFF), values >> np.uint64(32) | np.uint64(1)
         found = np.ones(len(values), bool)
         for i in range(PROBES):
             at = (first + np.uint64(i) * second) & np.uint64(bits - 1)
             found &= (field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        return pd.Series(found)
+        return pa.array(found)
 
     return held
