@@ -1,9 +1,11 @@
 """License notices in documents, by conditional compression and word differences.
 
-Lines that read like legal text form candidate blocks. Every template is aligned word by word with
-all places of a block, so that the words around a notice do not count. The words of a place are
-compressed alone, and then with the template as raw zstandard dictionary; the place with the fewest
-differences and the greatest relative gain is confirmed if no telling word (name, version) differs.
+Lines that read like legal text form candidate blocks. For each template, a block is cut into windows about as
+long as the template, around its rarest telling word, so that the length of a block does not count. A
+window is compressed alone, and again with the template as raw zstandard dictionary. What a dictionary saves,
+in bytes, ranks windows and templates; pairs that save less than a share of the template's own size are out.
+Down that ranking, the words of the window are aligned with the template, and a place is confirmed if few words
+and no telling one (name, version) differ and no earlier winner has taken its words.
 """
 
 from __future__ import annotations
@@ -64,11 +66,58 @@ TEMPLATES = {
     "CC-BY-ND-4.0/short": "Licensed under CC BY-ND 4.0.",
     "CC0-1.0/short": "Released into the public domain under CC0 1.0.",
     "all-rights-reserved/short": "All rights reserved.",
+    "MIT/licensed": "Licensed under the MIT License.",
+    "MIT/project": "This project is licensed under the MIT License.",
+    "Apache-2.0/licensed": "Licensed under the Apache License 2.0.",
+    "Apache-2.0/project": "This project is licensed under the Apache License 2.0.",
+    "BSD-2-Clause/licensed": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause/licensed": "Licensed under the BSD 3-Clause License.",
+    "BSD-2-Clause/text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "BSD-3-Clause/text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."
+    ),
+    "GPL-2.0/header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+        "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
+    "Unlicense/text": "This is free and unencumbered software released into the public domain.",
+    "Zlib/text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+        "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+        "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "BSL-1.0/short": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-2.0/short": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"
+    ),
 }
+# Identifiers in tags.
+SPDX = (
+    "0BSD Apache-2.0 AGPL-3.0-only AGPL-3.0-or-later BSD-2-Clause BSD-3-Clause BSL-1.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 EPL-2.0 "
+    "GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only "
+    "LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib"
+).split()
+TEMPLATES |= {f"{name}/tag": f"SPDX-License-Identifier: {name}" for name in SPDX}
 # What a block must mention to be a candidate.
 CUE = r"(?i)licen[cs]e|copyright|all rights reserved|public domain|permission (is hereby granted|to use)|redistribute"
 
-LEAST_GAIN = 0.02  # of the words of a notice
+# Words that tell nothing about a line.
+FUNCTION_WORDS = frozenset(
+    "a an and any are as at be been by can do for from has have if in into is it its may no not of on or other such that the their "
+    "there these this to was were which will with you your".split()
+)
+
+LEAST_GAIN = 0.3  # of the template's own compressed size
 MOST_DIFFERENT = 0.2  # of a template's words
 NEVER = 1 << 20  # differences that no notice has
 LEVEL = 9
@@ -86,6 +135,7 @@ class Template:
     words: tuple[str, ...]
     telling: frozenset[str]
     compressor: zstandard.ZstdCompressor
+    size: int  # compressed alone
 
     @property
     def license(self) -> str:
@@ -96,6 +146,10 @@ def _plain() -> dict:
     return {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
 
 
+def _alone(words: str) -> int:
+    return len(zstandard.ZstdCompressor(level=LEVEL, **_plain()).compress(words.encode("utf-8", "replace")))
+
+
 @lru_cache(maxsize=1)
 def templates() -> tuple[Template, ...]:
     """Telling words of a template are those with a capital or a digit inside a sentence, and
@@ -105,7 +159,8 @@ def templates() -> tuple[Template, ...]:
         words = _WORD.findall(text)
         telling = {w.lower() for w in words[1:] if not _COMMON.match(w)} | {w for w in words_of(text) if len(words) < 8 and w not in ("the", "under")}
         data = zstandard.ZstdCompressionDict(" ".join(words_of(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append(Template(name, tuple(words_of(text)), frozenset(telling), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, **_plain())))
+        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, **_plain())
+        out.append(Template(name, tuple(words_of(text)), frozenset(telling), compressor, _alone(" ".join(words_of(text)))))
     return tuple(out)
 
 
@@ -116,16 +171,22 @@ def vocabulary() -> frozenset[str]:
 
 def candidate_blocks(text: str) -> list[tuple[int, int, str]]:
     """(first line, last line, block) of runs of lines whose words are mostly those of notices,
-    with a cue in them. Blank lines inside a run do not end it."""
-    known, cue = vocabulary(), re.compile(CUE)
+    with a cue in them. Blank lines, and lines of words that tell nothing, inside a run do not end it."""
+    known, cue = vocabulary() - FUNCTION_WORDS, re.compile(CUE)
     blocks: list[list[tuple[int, str]]] = [[]]
+    between: list[tuple[int, str]] = []
     for number, line in enumerate(text.split("\n")):
         words = words_of(line)
-        legal = words and 2 * sum(w in known for w in words) >= len(words)
-        if legal or (words and cue.search(line)):
-            blocks[-1].append((number, line))
-        elif words and blocks[-1]:
-            blocks.append([])
+        telling = [w for w in words if w not in FUNCTION_WORDS]
+        if (telling and 2 * sum(w in known for w in telling) >= len(telling)) or (words and cue.search(line)):
+            blocks[-1] += [*between, (number, line)] if blocks[-1] else [(number, line)]
+            between = []
+        elif telling:
+            between = []
+            if blocks[-1]:
+                blocks.append([])
+        elif words:
+            between.append((number, line))
     found = []
     for lines in blocks:
         block = "\n".join(line for _, line in lines)
@@ -136,12 +197,71 @@ def candidate_blocks(text: str) -> list[tuple[int, int, str]]:
 
 def gains(words: str, by: tuple[Template, ...] | None = None) -> list[tuple[float, Template]]:
     """Relative size reductions by each template, best first."""
-    data = words.encode("utf-8", "replace")
-    alone = len(zstandard.ZstdCompressor(level=LEVEL, **_plain()).compress(data))
-    ranked = [((alone - len(t.compressor.compress(data))) / alone, t) for t in by or templates()]
+    alone = _alone(words)
+    ranked = [(saving(words, t) / alone, t) for t in by or templates()]
     return sorted(ranked, key=lambda x: (-x[0], x[1].name))
 
 
+@lru_cache(maxsize=1 << 14)
+def _saving(words: str, template: str) -> int:
+    compressor = next(t.compressor for t in templates() if t.name == template)
+    return _alone(words) - len(compressor.compress(words.encode("utf-8", "replace")))
+
+
+def saving(words: str, template: Template) -> int:
+    """Bytes that the template saves as dictionary."""
+    return _saving(words, template.name)
+
+
+def windows(words: np.ndarray, template: Template) -> list[tuple[int, int]]:
+    """First word and one past the last of the parts of a block that may hold the template.
+
+    Every place that can be confirmed holds all telling words, or, where there are none, one at least of any more words
+    than may be missing; so the parts around the rarest of these in the block hold all such places.
+    """
+    counts = Counter(words.tolist())
+    most = MOST_DIFFERENT * len(template.words)
+    if not template.telling <= counts.keys() or (Counter(template.words) - counts).total() > most:
+        return []
+    rarest = sorted(template.telling or set(template.words), key=lambda w: (counts[w], w))
+    anchors = rarest[:1] if template.telling else rarest[: int(most) + 1]
+    parts = set()
+    for anchor in anchors:
+        places = np.flatnonzero(words == anchor).tolist()
+        # With at most so many words missing or added, the anchor is about as far from both ends as in the template.
+        for k in (k for k, word in enumerate(template.words) if word == anchor):
+            parts |= {(max(0, p - k - int(most)), min(len(words), p - k + len(template.words) + int(most))) for p in places}
+    return sorted(parts)
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """A window and a template that saves enough of it."""
+
+    saved: int
+    template: Template
+    first: int
+    end: int
+
+    @property
+    def gain(self) -> float:
+        return self.saved / self.template.size
+
+    @property
+    def rank(self) -> tuple:
+        return -self.saved, self.template.name, self.first
+
+
+def candidates(words: np.ndarray) -> list[Candidate]:
+    """Pairs of a window and a template, by the bytes that the template saves."""
+    found = [
+        Candidate(saving(" ".join(words[first:end]), template), template, first, end)
+        for template in templates()
+        for first, end in windows(words, template)
+    ]
+    return sorted((c for c in found if c.gain >= LEAST_GAIN), key=lambda c: c.rank)
+
+
 @dataclass(frozen=True)
 class Notice:
     """Words of a block that agree with a template, and how the two differ there."""
@@ -153,8 +273,8 @@ class Notice:
     taken: tuple[int, ...]  # places of the words they share
 
     @property
-    def rank(self) -> tuple:
-        return len(self.missing) + len(self.added) - len(self.template.words), -self.gain, self.template.name, self.taken
+    def differences(self) -> int:
+        return len(self.missing) + len(self.added)
 
 
 def _rows(words: np.ndarray, template: Template) -> Iterator[np.ndarray]:
@@ -170,7 +290,7 @@ def _rows(words: np.ndarray, template: Template) -> Iterator[np.ndarray]:
         yield row
 
 
-def _align(words: np.ndarray, template: Template, end: int) -> Notice:
+def _align(words: np.ndarray, template: Template, end: int, gain: float) -> Notice:
     """The words up to ``end`` that differ least from the template."""
     first = max(0, end - int((1 + MOST_DIFFERENT) * len(template.words)) - 1)
     near = words[first:end]
@@ -187,12 +307,11 @@ def _align(words: np.ndarray, template: Template, end: int) -> Notice:
         else:
             i -= 1
             missing.append(template.words[i])
-    own = " ".join(words[taken[-1] : taken[0] + 1])
-    return Notice(template, gains(own, (template,))[0][0], *(tuple(x[::-1]) for x in (missing, added, taken)))
+    return Notice(template, gain, *(tuple(x[::-1]) for x in (missing, added, taken)))
 
 
-def notices_of(words: np.ndarray, template: Template) -> list[Notice]:
-    """The places of a block that differ from the template in few words, none of them telling."""
+def notices_of(words: np.ndarray, template: Template, gain: float = 0.0) -> list[Notice]:
+    """The places of a window that differ from the template in few words, none of them telling."""
     most = MOST_DIFFERENT * len(template.words)
     counts = Counter(words.tolist())
     if not template.telling <= counts.keys() or (Counter(template.words) - counts).total() > most:
@@ -200,35 +319,36 @@ def notices_of(words: np.ndarray, template: Template) -> list[Notice]:
     *_, fewest = _rows(words, template)
     ends = np.flatnonzero(fewest <= most)
     runs = np.split(ends, np.flatnonzero(np.diff(ends) > 1) + 1) if len(ends) else []
-    found = [_align(words, template, int(run[np.argmin(fewest[run])])) for run in runs]
-    return [n for n in found if n.gain >= LEAST_GAIN]
+    return [_align(words, template, int(run[np.argmin(fewest[run])]), gain) for run in runs]
 
 
 @lru_cache(maxsize=4096)
 def identify(block: str) -> tuple[tuple[str, float, str, str], ...]:
     """(license, gain, missing words, added words) of the confirmed notices of a block.
 
-    Notices with the fewest differences for their length are taken out first, if no word of theirs is in
-    one before, and the rest is judged anew, until nothing in it is confirmed.
+    Candidates are tried in the order of what their template saves, and a word belongs to one notice; the rest
+    is judged anew without these words, until nothing in it is confirmed.
     """
     confirmed, left = [], np.array(words_of(block), object)
     while len(left):
-        judged = [n for template in templates() for n in notices_of(left, template)]
-        if not judged:
-            break
         stays = np.ones(len(left), bool)
-        for notice in sorted(judged, key=lambda n: n.rank):
-            places = list(notice.taken)
-            if stays[places].all():
-                stays[places] = False
-                confirmed.append((notice.template.license, notice.gain, " ".join(notice.missing), " ".join(notice.added)))
+        for c in candidates(left):
+            if not stays[c.first : c.end].any():
+                continue
+            for notice in sorted(notices_of(left[c.first : c.end], c.template, c.gain), key=lambda n: (n.differences, n.taken)):
+                places = [c.first + i for i in notice.taken]
+                if stays[places].all():
+                    stays[places] = False
+                    confirmed.append((notice.template.license, notice.gain, " ".join(notice.missing), " ".join(notice.added)))
+        if stays.all():
+            break
         left = left[stays]
     return tuple(confirmed)
 
 
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per confirmed notice: the id, ``first_line``, ``last_line`` (from 0) of its block, ``license``,
-    ``gain`` (of the notice's own words), ``missing`` and ``added`` (words that differ from the template, else
+    ``gain`` (bytes saved by the template, over its own size), ``missing`` and ``added`` (words that differ from the template, else
     empty), and ``block``.
 
     Whole texts are scanned, and the length of a block does not matter. NULL and empty texts have no notice, and neither have blocks that no

@@ -1,7 +1,11 @@
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stridebase.llm import licenses
 from stridebase.llm.licenses import TEMPLATES, candidate_blocks, gains, identify, scan_licenses, templates, words_of
+from stridebase.llm.tables import table
+from tests.conftest import SF_DIR
 
 PROSE = "Anat with by of nteres atre are.\nThnt eringing onheed, with erenenst thaner ing tionha and, the by this anshwh."
 
@@ -54,6 +58,82 @@ def test_scan(spark):
     assert scan_licenses(frame.where("false")).collect() == []
 
 
+def all_alignments(block):
+    """Brute force: every template aligned with the whole block, places with the fewest differences first."""
+    confirmed, left = [], np.array(words_of(block), object)
+    while len(left):
+        judged = [n for t in templates() for n in licenses.notices_of(left, t)]
+        stays = np.ones(len(left), bool)
+        for notice in sorted(judged, key=lambda n: (n.differences - len(n.template.words), n.template.name, n.taken)):
+            if stays[list(notice.taken)].all():
+                stays[list(notice.taken)] = False
+                confirmed.append((notice.template.license, " ".join(notice.missing), " ".join(notice.added)))
+        if stays.all():
+            break
+        left = left[stays]
+    return sorted(confirmed)
+
+
+def changed(rng, text):
+    """A few words of a text left out, doubled or replaced."""
+    words = text.split()
+    for _ in range(int(rng.integers(0, 1 + len(words) // 8))):
+        i = int(rng.integers(len(words)))
+        words[i : i + 1] = [[], [words[i], "and"], ["other"]][int(rng.integers(3))]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_against_all_alignments(seed):
+    rng = np.random.default_rng(seed)
+    names = list(TEMPLATES)
+    parts = []
+    for i in rng.integers(0, len(names), 3):
+        parts += [prose_words(int(rng.integers(0, 30))), changed(rng, TEMPLATES[names[i]])]
+    block = "\n".join(parts)
+    assert sorted((n[0], *n[2:]) for n in identify(block)) == all_alignments(block)
+
+
+def test_blocks_of_the_table_against_all_alignments(spark):
+    rows = table(spark, SF_DIR, "documents").where(F.col("text").rlike(licenses.CUE)).collect()
+    blocks = {b for r in rows for _, _, b in candidate_blocks(r["text"])}
+    assert len(blocks) > 3
+    for block in blocks:
+        assert sorted((n[0], *n[2:]) for n in identify(block)) == all_alignments(block)
+
+
+@pytest.mark.parametrize(
+    "text, license",
+    [
+        ("SPDX-License-Identifier: MIT", "MIT"),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+        ("This project is licensed under the MIT License.", "MIT"),
+        ("The code is licensed under the MIT License, see below.", "MIT"),
+        ("Licensed under the Apache License 2.0.", "Apache-2.0"),
+        (TEMPLATES["BSD-2-Clause/text"], "BSD-2-Clause"),
+        (TEMPLATES["BSD-3-Clause/text"].replace("the copyright holder", "ACME"), "BSD-3-Clause"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        (TEMPLATES["Zlib/text"], "Zlib"),
+    ],
+)
+def test_common_wordings(text, license):
+    assert [n[0] for _, _, b in candidate_blocks(f"{PROSE}\n{text}\n{PROSE}") for n in identify(b)] == [license]
+
+
+def test_the_dictionary_decides(monkeypatch):
+    """What the template saves ranks the candidates: without it nothing is confirmed, and in another order something else."""
+    lesser = TEMPLATES["LGPL-3.0/short"]
+    assert [n[0] for n in identify(lesser)] == ["LGPL-3.0"]
+    assert [n.differences for t in templates() if t.name == "GPL-3.0/short" for n in licenses.notices_of(np.array(words_of(lesser), object), t)] == [1]
+    monkeypatch.setattr(licenses, "saving", lambda words, template: 0)
+    identify.cache_clear()
+    assert identify(lesser) == ()
+    monkeypatch.setattr(licenses, "saving", lambda words, template: 200 if template.name == "GPL-3.0/short" else 100)
+    identify.cache_clear()
+    assert [n[0] for n in identify(lesser)] == ["GPL-3.0"]
+    identify.cache_clear()
+
+
 def test_templates_are_fixed_for_a_worker():
     assert templates() is templates()
     assert licenses.vocabulary() >= set(words_of(TEMPLATES["MIT/short"]))
