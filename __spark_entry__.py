@@ -191,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_time": lambda w: gold.dim_time(w.silver),
         "fct_results": lambda w: gold.fct_results(w.silver),
         "star_wide": lambda w: star_queries.star_wide(w.star),
+        "star_wide_bucketed": lambda w: w.star_wide(),
         "mart_top_countries": lambda w: marts.mart_top_countries(w.fct_results, w.dim_athlete),
         "mart_fastest_athletes": lambda w: marts.mart_fastest_athletes(w.fct_results, w.dim_athlete, w.dim_event),
         # Standing questions

@@ -684,3 +684,4 @@ UNION ALL SELECT 'reference', 'athlete_key', athlete_key, count(*) FROM fct JOIN
 WHERE athlete_id % 50 = 0 GROUP BY athlete_key""",
     *_STAR,
 )
+ORACLE["star_wide_bucketed"] = ORACLE["star_wide"]

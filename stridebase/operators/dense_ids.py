@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from stridebase.operators.slices import place_in_slices, running_total
 from stridebase.sources.tables import cut_lineage
 
+LOOKUP_BYTES = 64 << 20  # of ranks that are sent to every executor
+ROW_BYTES = 64  # of a rank besides its text
+
 
 def dense_ranks(df: DataFrame, ids: dict[str, str]) -> dict[str, DataFrame]:
     """Per ``{id column: value column}`` the distinct values with their dense rank; NULL counts
@@ -34,7 +37,10 @@ def dense_ranks(df: DataFrame, ids: dict[str, str]) -> dict[str, DataFrame]:
     first = before.groupBy("id").agg((F.min("position") - 1).alias("before"))  # one row per id column
     rank = (F.col("position") - F.col("before")).cast("int")
     ranked = cut_lineage(before.join(F.broadcast(first), "id").select(*order, rank.alias("rank")), "ranks", ("id",))
+    return _by_column(ranked, df, ids)
+
 
+def _by_column(ranked: DataFrame, df: DataFrame, ids: dict[str, str]) -> dict[str, DataFrame]:
     def of(rank: str, column: str) -> DataFrame:
         kind = df.schema[column].dataType
         value = F.col("text") if isinstance(kind, T.StringType) else F.col("number").cast(kind)
@@ -46,12 +52,14 @@ def dense_ranks(df: DataFrame, ids: dict[str, str]) -> dict[str, DataFrame]:
 def with_dense_ids(df: DataFrame, ids: dict[str, str]) -> DataFrame:
     """Add one dense id per ``{id column: value column}``. ``df`` is read twice: store it first.
 
-    The ranks are joined back null-safe. They are unique per value, so a value that
-    holds a large share of the rows is a skewed join side that adaptive execution splits.
+    The ranks are joined back null-safe. Those of up to ``LOOKUP_BYTES`` are looked up where the rows lie, so
+    only columns with more values than that cost a shuffle of the rows. Ranks are unique per value, so a value that
+    holds a large share of the rows is then a skewed join side that adaptive execution splits.
     """
     out = df
     for rank, ranks in dense_ranks(df, ids).items():
         column, key = ids[rank], f"{rank}_value"
         values = ranks.withColumnRenamed(column, key)
-        out = out.join(values, out[column].eqNullSafe(values[key]), "left").drop(key)
+        size = values.agg(F.coalesce(F.sum(ROW_BYTES + F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))), F.lit(0))).first()[0]
+        out = out.join(F.broadcast(values) if size <= LOOKUP_BYTES else values, out[column].eqNullSafe(values[key]), "left").drop(key)
     return out

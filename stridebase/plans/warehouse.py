@@ -11,6 +11,7 @@ import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stridebase.plans import explore, gold, marts, quality, year_figures
 from stridebase.plans.silver import SILVER_COLUMNS, clean_results
@@ -21,7 +22,7 @@ from stridebase.sources import races_csv
 from stridebase.sources.audit import Finding, publish
 from stridebase.sources.files import delete_folder, make_folder
 from stridebase.sources.order_races import races_from_orders
-from stridebase.sources.tables import application_folder, create_schema, drop_table, refresh_table
+from stridebase.sources.tables import application_folder, create_schema, cut_lineage, drop_table, refresh_table
 from stridebase.streaming.incremental import refresh_silver, stream_races, stream_silver
 from stridebase.streaming.states import StateStore, refresh_states
 
@@ -43,6 +44,9 @@ STORED = {
     "explore_silver_v1": ("explore", "silver_v1"),
     "explore_silver_v2": ("explore", "silver_v2"),
     "fct_by_year": ("serving", "fct_by_year"),
+    "fct_by_athlete": ("serving", "fct_by_athlete"),
+    "fct_of_frequent": ("serving", "fct_of_frequent"),
+    "dim_athlete_bucketed": ("serving", "dim_athlete"),
 }
 LAYERS = ("bronze", "silver", "gold", "explore", "serving")
 
@@ -62,6 +66,7 @@ class Warehouse:
         self._prefix = prefix
         self.location = location
         self.audited = audited
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.findings: dict[str, list[Finding]] = {}
         for layer in LAYERS:
             create_schema(self.spark, self.schema(layer), f"{location}/{layer}")
@@ -122,6 +127,46 @@ class Warehouse:
         """The star for questions about single years: only the files of the years asked for are read."""
         return Star(self.fct_by_year, self.dim_athlete, self.dim_event, self.dim_time)
 
+    @cached_property
+    def frequent_athletes(self) -> DataFrame:
+        """Athletes with more results than a bucket holds on average: fewer than there are buckets."""
+        counts = self.fct_results.groupBy("athlete_key").agg(F.count(F.lit(1)).alias("n"))
+        limit = self.fct_results.agg(F.count(F.lit(1)) / self.buckets).scalar()
+        return cut_lineage(counts.where(F.col("n") > limit).select("athlete_key"), "frequent")
+
+    @cached_property
+    def fct_by_athlete(self) -> DataFrame:
+        """The fact in buckets of athletes, without the frequent ones, so that no bucket is much larger than others."""
+        table, path = self._place("fct_by_athlete")
+        rare = self.fct_results.join(F.broadcast(self.frequent_athletes), "athlete_key", "left_anti").select(*self.fct_results.columns)
+        return refresh_table(rare, table, "Results by athlete", path, buckets=(self.buckets, "athlete_key"))
+
+    @cached_property
+    def fct_of_frequent(self) -> DataFrame:
+        """The results of the frequent athletes, as they come."""
+        table, path = self._place("fct_of_frequent")
+        frequent = self.fct_results.join(F.broadcast(self.frequent_athletes), "athlete_key", "left_semi")
+        return refresh_table(frequent.select(*self.fct_results.columns), table, "Results of frequent athletes", path)
+
+    @cached_property
+    def dim_athlete_bucketed(self) -> DataFrame:
+        table, path = self._place("dim_athlete_bucketed")
+        return refresh_table(self.dim_athlete, table, "Latest athlete attributes", path, buckets=(self.buckets, "athlete_key"))
+
+    def star_wide(self) -> DataFrame:
+        """:func:`star_queries.star_wide` without a shuffle of the fact for its join with the athletes.
+
+        Results and athletes lie in the same buckets; the results of frequent athletes meet their few rows of the
+        dimension by broadcast, wherever they lie.
+        """
+        few = self.dim_athlete.join(F.broadcast(self.frequent_athletes), "athlete_key", "left_semi")
+        parts = (
+            self.fct_by_athlete.join(self.dim_athlete_bucketed, "athlete_key", "left"),
+            self.fct_of_frequent.join(F.broadcast(few), "athlete_key", "left"),
+        )
+        rows = parts[0].unionByName(parts[1])
+        return rows.join(self.dim_event, "event_id", "left").join(self.dim_time, "year_id", "left")
+
     @cached_property
     def year_figures(self) -> YearFigures:
         """What is stored per year for questions about ranges of years."""
@@ -158,7 +203,7 @@ class Warehouse:
 
     def refresh(self) -> dict[str, DataFrame]:
         """Build every table anew, in order of dependency."""
-        for name in (*STORED, "year_figures"):
+        for name in (*STORED, "year_figures", "frequent_athletes"):
             self.__dict__.pop(name, None)
         return {"races": self.races, "silver": self.silver, **self.gold()}
 

@@ -31,8 +31,9 @@ def create_schema(spark: SparkSession, schema: str, location: str) -> None:
 
 
 def refresh_table(
-    df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = (), audit: Audit | None = None
-) -> DataFrame:
+    df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = (), audit: Audit | None = None,
+    buckets: tuple[int, str] | None = None,
+) -> DataFrame:
     """Replace the stored table by ``df`` and return it as read back.
 
     The rows go to a new version folder under ``path``, and only when all are written is the
@@ -44,7 +45,8 @@ def refresh_table(
     With ``partition_by`` the rows are rebalanced on those columns first: every
     partition value lands in few, evenly sized files, and adaptive execution splits a
     value that holds a large share of the rows. An ``audit`` watches the rows that are written and
-    may stop the publication by an exception.
+    may stop the publication by an exception. With ``buckets`` (number, column) equal values share a bucket, one
+    sorted file each, so that tables with the same buckets join without a shuffle.
     """
     spark = df.sparkSession
     if partition_by:
@@ -52,16 +54,28 @@ def refresh_table(
     if audit:
         df = audit.watch(df)
     version = f"{path}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    beside = f"{name}_{uuid.uuid4().hex[:8]}"
     try:
-        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(version)
+        if buckets:
+            number, column = buckets
+            rows = df.repartition(number, column).write.bucketBy(number, column).sortBy(column)
+            rows.format("parquet").option("path", version).saveAsTable(beside)
+        else:
+            writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+            writer.parquet(version)
         if audit:
             audit.inspect(spark.read.parquet(version))
     except BaseException:
+        if buckets:
+            spark.sql(f"DROP TABLE IF EXISTS {beside}")
         files.delete_folder(spark, version)
         raise
     files.touch(spark, f"{path}/{MARKER}")
-    _publish(spark, name, version, bool(partition_by))
+    if buckets:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    else:
+        _publish(spark, name, version, bool(partition_by))
     spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
     for old in [v for v in files.subfolders(spark, path) if v.startswith("v")][:-KEPT_VERSIONS]:
         files.delete_folder(spark, f"{path}/{old}")
