@@ -21,7 +21,9 @@ from stridebase.plans.explore import V1  # noqa: E402
 from stridebase.plans.silver import clean_results  # noqa: E402
 from stridebase.plans.star_queries import Star  # noqa: E402
 from stridebase.plans.warehouse import StreamedWarehouse, Warehouse, order_warehouse  # noqa: E402
+from stridebase.schema import BRONZE_TO_RAW  # noqa: E402
 from stridebase.sources.audit import AuditFailed, as_table, publish  # noqa: E402
+from stridebase.sources.drift import read_fitting_races  # noqa: E402
 from stridebase.sources.order_races import races_from_orders  # noqa: E402
 from stridebase.sources.races_csv import count_lines, read_races_csv, write_races_csv  # noqa: E402
 from stridebase.sources.tables import create_schema, drop_table, refresh_table  # noqa: E402
@@ -73,6 +75,25 @@ def _damaged_csv(w: Warehouse) -> DataFrame:
     return count_lines(w.spark, path)
 
 
+def _drifted_files(w: Warehouse) -> DataFrame:
+    """Rows that are read of a landing folder to which some years came with other columns, and why the files of
+    those years were set aside."""
+    folder = f"{w.location}/drifted-{uuid.uuid4().hex}"
+    raw = w.races.withColumnsRenamed(BRONZE_TO_RAW)
+
+    def land(rows: DataFrame) -> None:
+        padded = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.mode("append").options(**padded).csv(folder)
+
+    year = F.col("Year of event")
+    land(raw.where(year < MIDDLE_YEARS))
+    land(raw.where((year >= MIDDLE_YEARS) & (year < LATE_YEARS)).withColumnRenamed("Athlete club", "Club"))
+    land(raw.where(year >= LATE_YEARS).drop("Athlete gender"))
+    rows, apart = read_fitting_races(w.spark, folder)
+    reasons = apart.select("reason", "column_name", F.lit(None).cast("long").alias("rows")).distinct()
+    return reasons.unionByName(rows.agg(F.lit("read").alias("reason"), F.lit("").alias("column_name"), F.count(F.lit(1)).alias("rows")))
+
+
 def _streamed(w: Warehouse) -> StreamedWarehouse:
     """Layers that take the raw results from a landing folder."""
     run = f"{w.location}/stream-{uuid.uuid4().hex}"
@@ -186,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gender_incremental": lambda w: star_queries.gender_distribution(_in_three_landings(w).star),
         "speed_by_distance_incremental": lambda w: star_queries.speed_by_distance(_in_three_landings(w).star),
         "csv_line_counts": _damaged_csv,
+        "csv_files_set_aside": _drifted_files,
         "dim_athlete": lambda w: gold.dim_athlete(w.silver),
         "dim_event": lambda w: gold.dim_event(w.silver),
         "dim_time": lambda w: gold.dim_time(w.silver),

@@ -685,3 +685,8 @@ WHERE athlete_id % 50 = 0 GROUP BY athlete_key""",
     *_STAR,
 )
 ORACLE["star_wide_bucketed"] = ORACLE["star_wide"]
+ORACLE["csv_files_set_aside"] = _query(
+    """SELECT 'read' AS reason, '' AS column_name, count(*) AS rows FROM races WHERE year_of_event < 1994
+UNION ALL VALUES ('missing', 'Athlete club', NULL), ('unknown', 'Club', NULL), ('missing', 'Athlete gender', NULL)""",
+    "races",
+)

@@ -29,6 +29,24 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory())
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, sorted; none if it does not exist."""
+    system, path = _open(spark, folder)
+    if not system.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isFile())
+
+
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    """At most ``n`` bytes from the start of a file."""
+    system, target = _open(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(stream.readNBytes(n))
+    finally:
+        stream.close()
+
+
 def make_folder(spark: SparkSession, folder: str) -> None:
     system, path = _open(spark, folder)
     system.mkdirs(path)
