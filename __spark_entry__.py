@@ -200,6 +200,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_stream": lambda w: _streamed(w).silver,
         "mart_top_countries_streamed": lambda w: _streamed(w).mart_top_countries,
         "mart_top_countries_incremental": lambda w: _in_three_landings(w).store.mart_top_countries(),
+        "mart_fastest_athletes_incremental": lambda w: _in_three_landings(w).store.mart_fastest_athletes(),
         "dim_athlete_incremental": lambda w: _in_three_landings(w).store.dim_athlete(),
         "dim_event_incremental": lambda w: _in_three_landings(w).store.dim_event(),
         "kpi_overview_incremental": lambda w: star_queries.kpi_overview(_in_three_landings(w).star),

@@ -623,6 +623,7 @@ for _name, _rows in (("race_type_counts", "silver"), ("race_type_counts_explore"
     )
 ORACLE |= {
     "mart_top_countries_incremental": ORACLE["mart_top_countries"],
+    "mart_fastest_athletes_incremental": ORACLE["mart_fastest_athletes"],
     "dim_athlete_incremental": ORACLE["dim_athlete"],
     "dim_event_incremental": ORACLE["dim_event"],
     "kpi_overview_incremental": ORACLE["dash_kpi_overview"],

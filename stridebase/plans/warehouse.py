@@ -218,7 +218,7 @@ class StreamedWarehouse(Warehouse):
     """Stored layers over a landing folder of raw files that only ever gains files.
 
     A refresh cleans the files that are new since the last one, appends them to the
-    cleaned results and takes them into mergeable states. Dimensions, the country mart and the measures of
+    cleaned results and takes them into mergeable states. Dimensions, both marts and the measures of
     :attr:`star` come from the states; the fact is a projection of the cleaned results, without a copy of its own.
     ``limits`` go to the cleaning (countries, low, high) and must stay the same for one location.
     """
@@ -275,6 +275,11 @@ class StreamedWarehouse(Warehouse):
         self.silver
         return self._store("mart_top_countries", self.store.mart_top_countries(), "Results, speed and time per country")
 
+    @cached_property
+    def mart_fastest_athletes(self) -> DataFrame:
+        self.silver
+        return self._store("mart_fastest_athletes", self.store.mart_fastest_athletes(), "The 1,000 shortest finishing times")
+
     def drop(self) -> None:
         super().drop()
         delete_folder(self.spark, f"{self.location}/silver")

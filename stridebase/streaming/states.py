@@ -1,6 +1,7 @@
 """Mergeable states of the star schema, kept up to date by a stream.
 
-A state holds, per key, values that can be merged: sums, counts, or the greatest struct. Every batch of
+A state holds, per key, values that can be merged: sums, counts, or the greatest struct; or the rows that can be
+among the k least. Every batch of
 cleaned results is reduced to one delta of each state, in a folder named after the batch, so a batch that
 is replayed writes its own delta again and nothing twice. Reading a state merges its base with
 the deltas after it; when there are many, they are folded into a new base. Dimensions, marts and
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from stridebase.operators.latest import attributes_of, newest_by
 from stridebase.operators.rollup import MEASURES, partial_measures
+from stridebase.operators.topk import least_with_ties
 from stridebase.plans import gold, marts
 from stridebase.plans.silver import SILVER_SCHEMA
 from stridebase.plans.star_queries import SummedStar
@@ -27,27 +29,33 @@ BASE, DELTA, DONE = "base-", "delta-", "_SUCCESS"
 
 @dataclass(frozen=True)
 class State:
-    """``reduce`` makes a delta of cleaned results: one row per key. ``merge`` names how each value column of several
-    rows of one key becomes one."""
+    """``reduce`` makes a delta of cleaned results, ``fold`` one delta of the rows of several."""
 
     name: str
-    keys: tuple[str, ...]
     reduce: Callable[[DataFrame], DataFrame]
-    merge: dict[str, Callable[[str], Column]]
+    fold: Callable[[DataFrame], DataFrame]
 
-    def folded(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*self.keys).agg(*[merge(name).alias(name) for name, merge in self.merge.items()])
+
+def keyed(name: str, keys: tuple[str, ...], reduce: Callable[[DataFrame], DataFrame], merge: dict[str, Callable[[str], Column]]) -> State:
+    """A state of one row per key; ``merge`` names how the values of several rows of one key become one."""
+    return State(name, reduce, lambda rows: rows.groupBy(*keys).agg(*[f(column).alias(column) for column, f in merge.items()]))
+
+
+def _fastest(fct: DataFrame) -> DataFrame:
+    """The results that can be among the fastest, ties of the last included: those of the parts hold those of all."""
+    return least_with_ties(fct, "performance_seconds", marts.FASTEST_RESULTS)
 
 
 _ADDED = dict.fromkeys(MEASURES, F.sum)
-ATHLETES = State(
+ATHLETES = keyed(
     "athletes", ("athlete_key",), lambda df: newest_by(df, "athlete_key", "year_of_event", gold.ATHLETE_ATTRIBUTES), {"newest": F.max}
 )
-EVENTS = State("events", ("event_id",), lambda df: newest_by(df, "event_id", "year_of_event", gold.EVENT_ATTRIBUTES), {"newest": F.max})
-YEARS = State("years", ("year_id",), gold.dim_time, {"year_of_event": F.max})
-ATHLETE_YEARS = State("athlete_years", ("year_id", "athlete_key"), lambda df: partial_measures(df, "year_id", "athlete_key"), _ADDED)
-EVENT_YEARS = State("event_years", ("year_id", "event_id"), lambda df: partial_measures(df, "year_id", "event_id"), _ADDED)
-STATES = (ATHLETES, EVENTS, YEARS, ATHLETE_YEARS, EVENT_YEARS)
+EVENTS = keyed("events", ("event_id",), lambda df: newest_by(df, "event_id", "year_of_event", gold.EVENT_ATTRIBUTES), {"newest": F.max})
+YEARS = keyed("years", ("year_id",), gold.dim_time, {"year_of_event": F.max})
+ATHLETE_YEARS = keyed("athlete_years", ("year_id", "athlete_key"), lambda df: partial_measures(df, "year_id", "athlete_key"), _ADDED)
+EVENT_YEARS = keyed("event_years", ("year_id", "event_id"), lambda df: partial_measures(df, "year_id", "event_id"), _ADDED)
+FASTEST = State("fastest", lambda df: _fastest(gold.fct_results(df)), _fastest)
+STATES = (ATHLETES, EVENTS, YEARS, ATHLETE_YEARS, EVENT_YEARS, FASTEST)
 
 
 class StateStore:
@@ -83,10 +91,10 @@ class StateStore:
                 state.reduce(silver).write.mode("overwrite").parquet(self._folder(state, DELTA, batch))
 
     def read(self, state: State) -> DataFrame:
-        """One row per key. Before the first batch there are none."""
+        """The state of all batches. Before the first there are no rows."""
         paths = self.paths(state)
         rows = self.spark.read.parquet(*paths) if paths else state.reduce(self.spark.createDataFrame([], SILVER_SCHEMA))
-        return state.folded(rows)
+        return state.fold(rows)
 
     def compact(self, most_deltas: int | None = None) -> None:
         """Fold a state with more deltas than allowed into a new base.
@@ -122,6 +130,9 @@ class StateStore:
     def mart_top_countries(self) -> DataFrame:
         return marts.country_mart(self.read(ATHLETE_YEARS), self.dim_athlete())
 
+    def mart_fastest_athletes(self) -> DataFrame:
+        return marts.mart_fastest_athletes(self.read(FASTEST), self.dim_athlete(), self.dim_event())
+
     def star(self, fct_results: DataFrame) -> SummedStar:
         """The star whose measures are the states; only questions about single results read ``fct_results``."""
         return SummedStar(
