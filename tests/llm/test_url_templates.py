@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -142,3 +143,100 @@ def test_critical_values(spark):
 
 def test_patterns_compile():
     assert all(re.compile(p) for p in url_templates.KINDS.values())
+
+
+def merged_branches(paths, level):
+    """Brute force of one level: (host, before, segment) of the branches that become a wildcard."""
+
+    def shape(segments):
+        return "/".join(s if s.startswith("{") or s == "**" else "w" for s in segments)
+
+    cells, branches = defaultdict(lambda: [0, 0, 0]), defaultdict(lambda: [0, 0, 0])
+    for host, template, *sums in paths:
+        if len(template) > level:
+            branch = (host, "/".join(template[:level]), template[level])
+            for key, held in (((*branch, shape(template[level + 1 :])), cells), (branch, branches)):
+                held[key] = [a + b for a, b in zip(held[key], sums)]
+    main = {b: max((n[0], k[3]) for k, n in cells.items() if k[:3] == b)[1] for b in branches}
+    kin_of = {b: (*b[:2], main[b]) for b, n in branches.items() if n[0] >= url_templates.SUPPORT}
+
+    def agrees(branch, share, quantile):
+        _, labelled, bad = branches[branch]
+        return abs(bad - share * labelled) <= quantile * (share * (1 - share) * labelled) ** 0.5 + 0.5
+
+    chosen = [(b, (*b[:2], "rare")) for b, n in branches.items() if n[0] < url_templates.SUPPORT]
+    for kin in set(kin_of.values()):
+        own = [b for b in kin_of if kin_of[b] == kin]
+        shares = sorted(branches[b][2] / branches[b][1] for b in own if branches[b][1])
+        least = 1 / (sum(branches[b][1] for b in own) + 2)
+        middle = shares[(len(shares) + 1) // 2 - 1] if shares else 0.5
+        near = [b for b in own if agrees(b, max(least, min(1 - least, middle)), 2 * url_templates.QUANTILE)]
+        if not near:
+            continue
+        share = (sum(branches[b][2] for b in near) + 1) / (sum(branches[b][1] for b in near) + 2)
+        clean = [b for b in own if agrees(b, share, url_templates.QUANTILE)]
+        together = defaultdict(int)
+        for key, n in cells.items():
+            if key[:3] in clean:
+                together[key[3]] += n[0]
+        for b in clean:
+            distance = branches[b][0]
+            for rest, n in ((k[3], n[0]) for k, n in cells.items() if k[:3] == b):
+                expected = branches[b][0] * together[rest] / sum(together.values())
+                distance += (n - expected) ** 2 / expected - expected
+            freedom = max(len(together) - 1, 1)
+            spread = 2 / (9 * freedom)
+            if len(together) == 1 or distance <= freedom * (1 - spread + 2.326 * spread**0.5) ** 3:
+                chosen.append((b, kin))
+    count = defaultdict(int)
+    for _, kin in chosen:
+        count[kin] += 1
+    return {b for b, kin in chosen if count[kin] > 1}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_tree_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    paths = {}
+    for host in ("a.x", "b.x"):
+        sections = [f"s{i}" for i in range(rng.randint(2, 6))]
+        for _ in range(60):
+            tail = [rng.choice(["{number}", "{date}", "list", "view", f"p{rng.randint(0, 5)}"]) for _ in range(rng.randint(0, 3))]
+            segments = (rng.choice(sections), *tail)[: rng.randint(0, 4)]
+            labelled = rng.randint(0, 10)
+            bad = sum(rng.random() < (0.8 if segments[:1] == ("s0",) else 0.1) for _ in range(labelled))
+            paths[host, segments] = (rng.randint(labelled + 1, labelled + 12), labelled, bad)
+    rows = [(h, "/".join(s), list(s), *sums) for (h, s), sums in paths.items()]
+    frame = spark.createDataFrame(rows, "host string, typed string, segments array<string>, n long, labelled long, bad long")
+    got = {(r["host"], r["typed"]): r["template"] for r in url_templates.learn_templates(frame).collect()}
+    want = [[h, list(s), *sums] for (h, s), sums in paths.items()]
+    for level in range(4):
+        wild = merged_branches(want, level)
+        for row in want:
+            if len(row[1]) > level and (row[0], "/".join(row[1][:level]), row[1][level]) in wild:
+                row[1][level] = url_templates.WILDCARD
+    assert got == {(h, "/".join(s)): row[1] for (h, s), row in zip(paths, want)}
+    assert any(url_templates.WILDCARD in t for t in got.values())
+
+
+def test_planted_sections_by_held_out_labels(spark):
+    """One bad section per host, labels for half of the pages: the verdicts on the other half."""
+    rng = random.Random(4)
+    pages, truth = [], {}
+    for h in range(4):
+        for section in ("news", "blog", "shop", "casino"):
+            for _ in range(80):
+                page = len(pages)
+                pages.append((page, f"http://h{h}.x/{section}/{rng.randint(1, 9999)}/{rng.choice(['a', 'b'])}{rng.randint(0, 99)}.html"))
+                truth[page] = rng.random() < (0.9 if section == "casino" else 0.04)
+    labels = [(p, int(bad)) for p, bad in truth.items() if p % 2 == 0]
+    judged = judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page long, bad int"))
+    blocked = {r["page_id"] for r in judged.collect() if r["verdict"] == "block" and r["page_id"] % 2}
+    bad = {p for p, b in truth.items() if b and p % 2}
+    assert len(blocked & bad) >= 0.85 * len(blocked) and len(blocked & bad) >= 0.8 * len(bad)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "http://a.b/c", "x", 1, "y")], "page_id long, url string, host string, bad int, template string")
+    (row,) = judge_urls(df, spark.createDataFrame([(1, 1)], "page long, bad int")).collect()
+    assert (row["host"], row["path"]) == ("a.b", "/c")
