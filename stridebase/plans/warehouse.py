@@ -22,7 +22,7 @@ from stridebase.sources import races_csv
 from stridebase.sources.audit import Finding, publish
 from stridebase.sources.files import delete_folder, make_folder
 from stridebase.sources.order_races import races_from_orders
-from stridebase.sources.tables import application_folder, create_schema, cut_lineage, drop_table, refresh_table
+from stridebase.sources.tables import application_folder, create_schema, drop_table, refresh_table
 from stridebase.streaming.incremental import refresh_silver, stream_races, stream_silver
 from stridebase.streaming.states import StateStore, refresh_states
 
@@ -47,6 +47,9 @@ STORED = {
     "fct_by_athlete": ("serving", "fct_by_athlete"),
     "fct_of_frequent": ("serving", "fct_of_frequent"),
     "dim_athlete_bucketed": ("serving", "dim_athlete"),
+    "frequent_athletes": ("serving", "frequent_athletes"),
+    "year_sums": ("serving", "year_sums"),
+    "year_bitmaps": ("serving", "year_bitmaps"),
 }
 LAYERS = ("bronze", "silver", "gold", "explore", "serving")
 
@@ -132,7 +135,7 @@ class Warehouse:
         """Athletes with more results than a bucket holds on average: fewer than there are buckets."""
         counts = self.fct_results.groupBy("athlete_key").agg(F.count(F.lit(1)).alias("n"))
         limit = self.fct_results.agg(F.count(F.lit(1)) / self.buckets).scalar()
-        return cut_lineage(counts.where(F.col("n") > limit).select("athlete_key"), "frequent")
+        return self._store("frequent_athletes", counts.where(F.col("n") > limit).select("athlete_key"), "Athletes with very many results")
 
     @cached_property
     def fct_by_athlete(self) -> DataFrame:
@@ -170,7 +173,9 @@ class Warehouse:
     @cached_property
     def year_figures(self) -> YearFigures:
         """What is stored per year for questions about ranges of years."""
-        return year_figures.build(self.star)
+        built = year_figures.build(self.star)
+        comment = "of every year"
+        return YearFigures(self._store("year_sums", built.sums, f"Measures {comment}"), self._store("year_bitmaps", built.bitmaps, f"Distinct values {comment}"))
 
     @cached_property
     def mart_top_countries(self) -> DataFrame:
@@ -203,7 +208,7 @@ class Warehouse:
 
     def refresh(self) -> dict[str, DataFrame]:
         """Build every table anew, in order of dependency."""
-        for name in (*STORED, "year_figures", "frequent_athletes"):
+        for name in (*STORED, "year_figures"):
             self.__dict__.pop(name, None)
         return {"races": self.races, "silver": self.silver, **self.gold()}
 
@@ -212,6 +217,7 @@ class Warehouse:
         for name in STORED:
             drop_table(self.spark, *self._place(name))
             self.__dict__.pop(name, None)
+        self.__dict__.pop("year_figures", None)
 
 
 class StreamedWarehouse(Warehouse):

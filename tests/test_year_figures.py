@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stridebase.operators import distinct_bitmaps, quantile_sketches
 from stridebase.plans import star_queries, year_figures
 from stridebase.plans.warehouse import Warehouse
+from stridebase.sources.tables import intermediates
 
 
 def executed(df):
@@ -31,7 +32,19 @@ def test_any_range_of_years(warehouse, first, last):
 def test_ranges_read_only_what_is_stored_per_year(warehouse):
     figures = warehouse.year_figures
     for question in (year_figures.kpi_over_years(figures, 1993, 1995), year_figures.kpi_up_to_each_year(figures)):
-        assert question.inputFiles() and all("/year-" in f for f in question.inputFiles())
+        assert question.inputFiles() and all("/serving/year_" in f for f in question.inputFiles())
+
+
+def test_figures_outlive_the_run_that_built_them(spark, warehouse, shared):
+    name = "t" + uuid.uuid4().hex[:8]
+    layers = Warehouse(warehouse.races, f"{shared}/{name}", f"{name}_")
+    layers.refresh()
+    with intermediates(spark):
+        first = [tuple(r) for r in year_figures.kpi_up_to_each_year(layers.year_figures).orderBy("up_to").collect()]
+        rows = layers.star_wide().count()
+    assert [tuple(r) for r in year_figures.kpi_up_to_each_year(layers.year_figures).orderBy("up_to").collect()] == first
+    assert layers.star_wide().count() == rows
+    layers.drop()
 
 
 @pytest.mark.parametrize("seed", range(3))
