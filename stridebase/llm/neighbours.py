@@ -33,6 +33,7 @@ SHARPNESS = 12.0  # a vote weighs exp(SHARPNESS * (cosine - 1))
 DOUBT = 0.02  # weight of the share of good documents among the votes
 ACCEPTED = 0.3  # score from which a document counts as good
 TERM_GRID, LATENT_GRID = float(1 << 16), float(1 << 20)
+BLOCK = 256  # documents that are multiplied at once
 _SHARES = (0.5, 1.0, 1.0)  # of words, shapes and repetitions in a vector
 
 
@@ -135,7 +136,9 @@ def fit(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Vote
         basis = np.linalg.qr(rows @ (rows.T @ basis))[0]
     projection = np.linalg.svd(basis.T @ rows, full_matrices=False)[2][:LATENT].T
     projection = np.ascontiguousarray(_on_grid(projection, TERM_GRID))
-    return Voters(rarity, projection, _latent(rows, projection), labels.astype(float))
+    # In blocks, as the sample's rows as doubles would be the largest thing on the driver.
+    vectors = np.concatenate([_latent(rows[i : i + BLOCK], projection) for i in range(0, len(rows), BLOCK)])
+    return Voters(rarity, projection, vectors, labels.astype(float))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +187,8 @@ def quality_scores(docs: DataFrame, voters: Voters, text_column: str = "text", k
         voters = shared.value
         for batch in batches:
             for start, texts in rows_of(batch, last, 2 << 20):
-                for first in range(0, len(texts), 256):
-                    block = texts[first : first + 256]
+                for first in range(0, len(texts), BLOCK):
+                    block = texts[first : first + BLOCK]
                     scores = voters.scores([term_counts(t) for t in block])
                     part = batch.slice(start + first, len(block))
                     yield pa.RecordBatch.from_arrays([*part.columns[:last], pa.array(scores)], names=[*names, "score"])
