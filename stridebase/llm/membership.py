@@ -7,10 +7,9 @@ and what it leaves is certain. It is built by Spark; the driver holds the bit fi
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,33 @@ def _positions(key: Column, bits: int) -> list[Column]:
     return [(first + i * second).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)]
 
 
-def possible_members(keys: DataFrame) -> Callable[[Column], Column] | None:
-    """A test whether a key (long) may be among ``keys`` (one column of longs, stored), or None if they are too many."""
+class PossibleMembers:
+    """A filter: a test on a column of longs, or, inside a task, on an array of them."""
+
+    def __init__(self, field: Broadcast, bits: int) -> None:
+        self.field, self.bits = field, bits
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        values, field = keys.astype(np.int64, copy=False).view(np.uint64), self.field.value
+        first, second = values & np.uint64(0xFFFFFFFF), values >> np.uint64(32) | np.uint64(1)
+        found = np.ones(len(values), bool)
+        for i in range(PROBES):
+            at = (first + np.uint64(i) * second) & np.uint64(self.bits - 1)
+            found &= (field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return found
+
+    def __call__(self, key: Column) -> Column:
+        holds = self.holds
+
+        @F.arrow_udf("boolean")
+        def held(key: pa.Array) -> pa.Array:
+            return pa.array(holds(key.to_numpy(zero_copy_only=False)))
+
+        return held(key)
+
+
+def possible_members(keys: DataFrame) -> PossibleMembers | None:
+    """The filter of ``keys`` (one column of longs, stored), or None if they are too many."""
     number = keys.count()
     if number * BITS_PER_KEY > MOST_BITS:
         return None
@@ -37,16 +61,4 @@ def possible_members(keys: DataFrame) -> Callable[[Column], Column] | None:
         held = np.frombuffer(row["set"], np.uint8)
         start = row["part"] * _PART // 8
         field[start : start + len(held)] = held[: len(field) - start]
-    shared = keys.sparkSession.sparkContext.broadcast(field)
-
-    @F.arrow_udf("boolean")
-    def held(key: pa.Array) -> pa.Array:
-        values, field = key.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), shared.value
-        first, second = values & np.uint64(0xFFFFFFFF), values >> np.uint64(32) | np.uint64(1)
-        found = np.ones(len(values), bool)
-        for i in range(PROBES):
-            at = (first + np.uint64(i) * second) & np.uint64(bits - 1)
-            found &= (field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        return pa.array(found)
-
-    return held
+    return PossibleMembers(keys.sparkSession.sparkContext.broadcast(field), bits)

@@ -18,7 +18,7 @@ A pair that shares nodes of several trees is compared in the first of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridebase.llm.components import components
-from stridebase.llm.membership import possible_members
+from stridebase.llm.membership import PossibleMembers, possible_members
 from stridebase.llm.tables import cut_lineage, fresh_name
 from stridebase.llm.words import minhash, rows_of, seeds, shingle_sequence, word_hashes
 
@@ -282,12 +282,19 @@ def _join(root: np.ndarray, nodes: np.ndarray) -> None:
 _HASHED = T.StructType([T.StructField("same", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
 
 
-def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in rows_of(batch, 1):
-            words = [w for w in map(word_hashes, texts) if len(w)]
-            same = pa.array([_digest(np.unique(shingle_sequence(w))) for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays([same, pa.array([w.tobytes() for w in words], pa.binary())], names=_HASHED.names)
+def _hash(maybe: PossibleMembers | None):
+    """(key, text) -> digest of the shingle set and word hashes, of texts whose key may be wanted."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if maybe:
+                batch = batch.filter(pa.array(maybe.holds(batch.column(0).to_numpy())))
+            for _, texts in rows_of(batch, 1):
+                words = [w for w in map(word_hashes, texts) if len(w)]
+                same = pa.array([_digest(np.unique(shingle_sequence(w))) for w in words], pa.binary())
+                yield pa.RecordBatch.from_arrays([same, pa.array([w.tobytes() for w in words], pa.binary())], names=_HASHED.names)
+
+    return hashed
 
 
 def similar_documents(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -319,7 +326,7 @@ def _document_key(id_column: str, text_hash: str) -> Column:
 
 def _picked(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ``df`` whose key may be among ``keys``, and the others; (all, None) if there are too many keys."""
-    maybe: Callable[[Column], Column] | None = possible_members(keys)
+    maybe = possible_members(keys)
     return (df.where(maybe(key)), df.where(~maybe(key))) if maybe else (df, None)
 
 
@@ -351,8 +358,11 @@ def _classified(docs: DataFrame, threshold: float, id_column: str, text_column:
 
     compared = likely.join(proposed.select("number").distinct().hint("merge"), "number", "left_semi")
     wanted = cut_lineage(compared.select("number", "same", "nodes", "copies", _document_key("id", "text_hash").alias("key")), "wanted")
-    again, _ = _picked(texts, _document_key("id", "text_hash"), wanted.select("key"))
-    hashed = again.select("id", "text").mapInArrow(_hash, _HASHED).join(wanted.select("same").hint("merge"), "same", "left_semi").dropDuplicates(["same"])
+    # The filter is asked by the task that hashes, so that no task needs two Python workers.
+    maybe = possible_members(wanted.select("key"))
+    again = texts.select(_document_key("id", "text_hash").alias("key"), "text")
+    again = again if maybe else again.join(wanted.select("key").distinct(), "key", "left_semi")
+    hashed = again.mapInArrow(_hash(maybe), _HASHED).join(wanted.select("same").hint("merge"), "same", "left_semi").dropDuplicates(["same"])
     read = wanted.join(hashed, "same").select("number", "nodes", "copies", "hashes")
     links = cut_lineage(proposed.join(read.hint("merge"), "number").groupBy(*block_pair).applyInArrow(_verify(threshold), _LINKS), "links")
 
