@@ -224,7 +224,8 @@ def _search_shards(k: int) -> Callable[[pa.Table], pa.Table]:
 
 def learn_splits(sample: np.ndarray, cells: int) -> list[tuple]:
     """Splits (dimension, least value of the second half, node of the first half, node of the second half) into about ``cells``
-    cells of equal numbers of the sample, and ``(cell,)`` for a cell. The first entry is the root."""
+    cells of equal numbers of the sample, and ``(cell,)`` for a cell. The first entry is the root. A split is at the median, or
+    in a gap of a quarter of the spread if one lies within an eighth of the rows from it."""
     nodes: list[tuple] = [()]
     open_nodes, number = [(0, np.arange(len(sample)), cells)], 0
     while open_nodes:
@@ -238,7 +239,10 @@ def learn_splits(sample: np.ndarray, cells: int) -> list[tuple]:
             continue
         values = np.sort(inside[:, widest])
         changes = np.flatnonzero(values[1:] != values[:-1]) + 1
-        cut = values[changes[np.argmin(np.abs(changes - len(rows) * (wanted // 2) // wanted))]]
+        away = np.abs(changes - len(rows) * (wanted // 2) / wanted)
+        gaps = values[changes].astype(np.float64) - values[changes - 1]
+        wide = (away <= len(rows) / 8) & (gaps >= spread[widest] / 4)
+        cut = values[changes[np.argmax(np.where(wide, gaps, -1)) if wide.any() else np.argmin(away)]]
         second = inside[:, widest] >= cut
         nodes[node] = (widest, int(cut), len(nodes), len(nodes) + 1)
         open_nodes += [(len(nodes), rows[~second], wanted // 2), (len(nodes) + 1, rows[second], wanted - wanted // 2)]
