@@ -6,6 +6,9 @@ fails one is stepped over by its length, so its block is neither read nor decode
 ``df.write.format("warc").mode("append").save(folder)`` writes one archive per task and then
 a manifest; files of failed or repeated attempts are not in it and are never read.
 
+A large plain archive is cut into parts that tasks read side by side. A part takes the records that begin in it; where the first
+one begins is found from the bytes, and the task before, which comes there record by record, checks it.
+
 Paths may be anything that :mod:`pyarrow.fs` opens (``file:``, ``hdfs:``, ``s3:``, ``gs:``).
 """
 
@@ -128,10 +131,12 @@ def payload_of(block: bytes, content_type: str) -> bytes:
 
 
 class _Source:
-    """Bytes of one file from its start, read in steps, with a way to step ahead."""
+    """Bytes of one file from ``at`` on, read in steps, with a way to step ahead."""
 
-    def __init__(self, file: pa.NativeFile, size: int) -> None:
-        self.file, self.size, self.at, self.buffer = file, size, 0, b""
+    def __init__(self, file: pa.NativeFile, size: int, at: int = 0) -> None:
+        self.file, self.size, self.at, self.buffer = file, size, at, b""
+        if at:
+            file.seek(at)
 
     def fill(self, n: int, step: int = 1 << 16) -> bytes:
         """At least ``n`` bytes from here on if the file has them; none is consumed."""
@@ -173,12 +178,15 @@ def _block_length(fields: dict[str, str], at: int) -> int:
     return length
 
 
-def plain_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[tuple[dict, bytes | None]]:
-    """(header columns, payload) of the wanted records; blocks of the others are skipped."""
+def plain_records(
+    source: _Source, wanted: Callable[[dict], bool], bodies: bool = True, stop: int | None = None
+) -> Iterator[tuple[dict, bytes | None]]:
+    """(header columns, payload) of the wanted records that begin before ``stop``; blocks of the others, and
+    all blocks without ``bodies``, are skipped."""
     while True:
         while source.fill(2)[:2] == _LINE_END:
             source.take(2)
-        if not source.fill(1):
+        if not source.fill(1) or (stop is not None and source.at >= stop):
             return
         end = source.find(_LINE_END * 2, LARGEST_HEADER)
         if end < 0 or not source.buffer.startswith(b"WARC/"):
@@ -189,14 +197,48 @@ def plain_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[t
         row = header_row(fields)
         if source.at + length > source.size:
             raise ValueError(f"the record at byte {start} is cut off")
-        if wanted(row):
+        passes = wanted(row)
+        if passes and bodies:
             yield row, payload_of(source.take(length), fields.get("content-type", ""))
         else:
             source.skip(length)
+            if passes:
+                yield row, None
+
 
+def first_record(source: _Source) -> int:
+    """Where the first record begins that lies wholly behind the bytes before ``source``, which begins four bytes
+    before the place looked at; the end of the file if there is none.
 
-def gzip_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[tuple[dict, bytes | None]]:
-    """As :func:`plain_records`, for one gzip member per record. Of an unwanted record only
+    A record follows an empty line, names its type and length, and ends at another record or at the end of the file.
+    """
+    mark = _LINE_END * 2 + b"WARC/"
+    while True:
+        found = source.fill(1 << 16).find(mark)
+        if found < 0:
+            if len(source.buffer) < 1 << 16:
+                return source.size
+            source.take(len(source.buffer) - len(mark) + 1)
+            continue
+        source.take(found + 4)
+        end = source.find(_LINE_END * 2, LARGEST_HEADER)
+        fields = parse_fields(source.buffer[: max(end, 0)])
+        length = _whole_number(fields.get("content-length"))
+        if end < 0 or length is None or length < 0 or "warc-type" not in fields:
+            continue
+        after = source.at + end + 4 + length
+        if after + 4 > source.size:
+            continue
+        here = source.file.tell()
+        source.file.seek(after)
+        behind = source.file.read(64)
+        source.file.seek(here)
+        if behind.startswith(_LINE_END * 2) and (not behind.strip() or behind.lstrip(_LINE_END).startswith(b"WARC/")):
+            return source.at
+
+
+def gzip_records(source: _Source, wanted: Callable[[dict], bool], bodies: bool = True) -> Iterator[tuple[dict, bytes | None]]:
+    """As :func:`plain_records`, for one gzip member per record. Of a record whose block is not read only
     the header is inflated; without a length field in the member it is inflated and dropped."""
     while source.fill(12)[:2] == b"\x1f\x8b":
         head, start, member = source.buffer, source.at, None
@@ -225,7 +267,10 @@ def gzip_records(source: _Source, wanted: Callable[[dict], bool]) -> Iterator[tu
         fields = parse_fields(raw[:end])
         length = _block_length(fields, start)
         row = header_row(fields)
-        if wanted(row):
+        passes = wanted(row)
+        if passes and not bodies:
+            yield row, None
+        if passes and bodies:
             parts, got = [raw], len(raw)
             while not inflate.eof and source.fill(1):
                 parts.append(pump(1 << 16))
@@ -252,6 +297,27 @@ class ArchiveGroup(InputPartition):
         self.files = files
 
 
+@dataclass
+class ArchivePart(InputPartition):
+    """The records of a plain archive that begin in a range of its bytes."""
+
+    path: str
+    size: int
+    start: int
+    end: int
+
+    def __init__(self, path: str, size: int, start: int, end: int) -> None:
+        super().__init__(0)
+        self.path, self.size, self.start, self.end = path, size, start, end
+
+
+def parts_of(path: str, size: int, target: int) -> list[ArchivePart]:
+    """A file in even parts of about ``target`` bytes."""
+    number = -(-size // target)
+    borders = [size * i // number for i in range(number + 1)]
+    return [ArchivePart(path, size, a, b) for a, b in zip(borders, borders[1:])]
+
+
 def group_files(files: list[tuple[str, int]], target: int) -> list[list[tuple[str, int]]]:
     """Files, in order of their name, in groups of at most ``target`` bytes or of one file."""
     groups: list[list[tuple[str, int]]] = []
@@ -300,12 +366,15 @@ def header_test(condition: Filter) -> Callable[[dict], bool | None] | None:
 
 
 class WarcReader(DataSourceReader):
-    """Option ``split``: bytes of archives per partition (32 MB). Option ``payload``: "false"
+    """Option ``split``: bytes of archives per partition (32 MB). Option ``cut``: plain archives of more bytes (256 MB)
+    are read in parts; "0" reads all archives whole, which an archive needs whose records hold archives, or lack the empty line
+    between them, where that makes a part begin at a wrong place: such a read fails and says so. Option ``payload``: "false"
     leaves the payload NULL and skips every block."""
 
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
         self.split = int(options.get("split", 32 << 20))
+        self.cut = int(options.get("cut", 256 << 20))
         self.payload = options.get("payload", "true").lower() != "false"
         self.tests: list[Callable[[dict], bool | None]] = []
 
@@ -318,14 +387,20 @@ class WarcReader(DataSourceReader):
                 yield condition
 
     def partitions(self) -> list[InputPartition]:
-        return [ArchiveGroup(g) for g in group_files(list_archives(self.path), self.split)]
+        files = list_archives(self.path)
+        large = sorted(f for f in files if self.cut and f[1] > self.cut and f[0].endswith(".warc"))
+        parts = [part for path, size in large for part in parts_of(path, size, self.split)]
+        return [*parts, *map(ArchiveGroup, group_files([f for f in files if f not in set(large)], self.split))]
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchiveGroup | ArchivePart | None) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [(c, pa.int64() if c in ("page_id", "payload_length") else pa.binary() if c == "payload" else pa.string()) for c in COLUMNS]
         )
         rows, held = [], 0
-        for row in self._rows(partition.files if partition else []):
+        system, _ = fs.FileSystem.from_uri(self.path)
+        records = self._part(system, partition) if isinstance(partition, ArchivePart) else self._whole(system, partition.files if partition else [])
+        for row, payload in records:
+            row["payload"] = None if row["record_type"] == "revisit" else payload
             rows.append(row)
             held += 500 + len(row["payload"] or b"")
             if held > 8 << 20:
@@ -334,25 +409,28 @@ class WarcReader(DataSourceReader):
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    def _rows(self, files: list[tuple[str, int]]) -> Iterator[dict]:
-        files_system, _ = fs.FileSystem.from_uri(self.path)
-        kept: list[dict] = []
-
-        def wanted(row: dict) -> bool:
-            passes = all(test(row) for test in self.tests)
-            if passes and not self.payload:
-                kept.append(row | {"payload": None})
-            return passes and self.payload
+    def _wanted(self, row: dict) -> bool:
+        return all(test(row) for test in self.tests)
 
+    def _whole(self, system: fs.FileSystem, files: list[tuple[str, int]]) -> Iterator[tuple[dict, bytes | None]]:
         for path, size in files:
-            with files_system.open_input_file(path) as file:
+            with system.open_input_file(path) as file:
                 records = gzip_records if path.endswith(".gz") else plain_records
-                for row, payload in records(_Source(file, size), wanted):
-                    if row["record_type"] == "revisit":
-                        payload = None
-                    yield row | {"payload": payload}
-                yield from kept
-                kept.clear()
+                yield from records(_Source(file, size), self._wanted, self.payload)
+
+    def _part(self, system: fs.FileSystem, part: ArchivePart) -> Iterator[tuple[dict, bytes | None]]:
+        """The records of the part. Each task goes on to the first record of the next part and compares the place with the one that
+        the next task finds; as the first part begins with a record, all parts then begin and end where they should."""
+        with system.open_input_file(part.path) as file:
+            start = first_record(_Source(file, part.size, max(part.start - 4, 0))) if part.start else 0
+            next_start = first_record(_Source(file, part.size, max(part.end - 4, 0))) if part.end < part.size else part.size
+            if start >= part.end:  # the record before goes on to the next part or beyond
+                return
+            file.seek(start)
+            source = _Source(file, part.size, start)
+            yield from plain_records(source, self._wanted, self.payload, part.end)
+            if source.at != next_start:
+                raise ValueError(f"{part.path}: cut at byte {next_start}, which is no border of records; read with option cut = 0")
 
 
 def list_archives(path: str) -> list[tuple[str, int]]:

@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import io
 import os
+import random
 import uuid
 
 import pytest
@@ -167,3 +168,56 @@ def test_groups_of_files():
     files = [("c", 5), ("a", 4), ("b", 4), ("d", 50), ("e", 1)]
     assert warc.group_files(files, 10) == [[("a", 4), ("b", 4)], [("c", 5)], [("d", 50)], [("e", 1)]]
     assert warc.group_files([], 10) == []
+
+
+def records(number, seed=1):
+    rng = random.Random(seed)
+    head = lambda i: {"WARC-Type": "response", "X-Page-Id": str(i), "WARC-Record-ID": f"<urn:x-page:{i}>"}
+    return [warc.encode_record(head(i), rng.randbytes(rng.choice([0, 1, 30, 400, 3000])), False) for i in range(number)]
+
+
+def test_large_archives_are_read_in_parts(spark, shared):
+    folder = f"{shared}/{uuid.uuid4().hex}"
+    os.makedirs(folder)
+    data = records(200)
+    with open(f"{folder}/large.warc", "wb") as out:
+        out.write(b"".join(data) + b"\r\n")
+    with open(f"{folder}/small.warc", "wb") as out:
+        out.write(warc.encode_record({"WARC-Type": "response", "X-Page-Id": "200"}, b"x", False))
+    whole = spark.read.format("warc").option("cut", "0").load(folder)
+    rows = sorted((r["page_id"], bytes(r["payload"])) for r in whole.collect())
+    assert [i for i, _ in rows] == list(range(201))
+    for split in (150, 1000, 50_000):
+        cut = spark.read.format("warc").options(cut="1000", split=str(split)).load(folder)
+        assert cut.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+        assert sorted((r["page_id"], bytes(r["payload"])) for r in cut.collect()) == rows
+        assert cut.where("page_id > 150").count() == 50
+
+
+def test_every_cut_of_an_archive(tmp_path):
+    data = records(12, 2)
+    path = tmp_path / "a.warc"
+    path.write_bytes(b"".join(data))
+    size, reader = path.stat().st_size, warc.WarcReader({"path": str(tmp_path), "payload": "false"})
+    system, _ = warc.fs.FileSystem.from_uri(str(tmp_path))
+    for at in range(1, size):
+        parts = [warc.ArchivePart(str(path), size, 0, at), warc.ArchivePart(str(path), size, at, size)]
+        assert [row["page_id"] for part in parts for row, _ in reader._part(system, part)] == list(range(12))
+
+
+def test_records_that_hold_records_are_never_read_as_such(tmp_path):
+    inner = b"\r\n\r\n" + b"".join(records(3, 3)) + b"WARC/1.1 and more"
+    data = [*records(2), warc.encode_record({"WARC-Type": "resource", "X-Page-Id": "2"}, inner, False), *records(2)]
+    path = tmp_path / "a.warc"
+    path.write_bytes(b"".join(data))
+    size, reader = path.stat().st_size, warc.WarcReader({"path": str(tmp_path)})
+    system, _ = warc.fs.FileSystem.from_uri(str(tmp_path))
+    refused = 0
+    for at in range(1, size):
+        parts = [warc.ArchivePart(str(path), size, 0, at), warc.ArchivePart(str(path), size, at, size)]
+        try:
+            assert [row["page_id"] for part in parts for row, _ in reader._part(system, part)] == [0, 1, 2, 0, 1]
+        except ValueError as error:
+            assert "cut = 0" in str(error)
+            refused += 1
+    assert 0 < refused <= len(data[2])
