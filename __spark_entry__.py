@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,12 +102,12 @@ def _streamed(w: Warehouse) -> StreamedWarehouse:
     return StreamedWarehouse(w.spark, f"{run}/landing", f"{run}/layers", f"s{uuid.uuid4().hex[:10]}_")
 
 
-_landed: dict[str, StreamedWarehouse] = {}
+_landed: WeakKeyDictionary[Warehouse, StreamedWarehouse] = WeakKeyDictionary()
 
 
 def _in_three_landings(w: Warehouse) -> StreamedWarehouse:
     """Layers after three landings, the latest years first, each with a refresh, and one batch that is replayed."""
-    if w.location not in _landed:
+    if w not in _landed:
         run = f"{w.location}/landings-{uuid.uuid4().hex}"
         layers = StreamedWarehouse(w.spark, f"{run}/landing", f"{run}/layers", f"i{uuid.uuid4().hex[:10]}_")
         third = F.when(F.col("year_of_event") >= LATE_YEARS, 0).when(F.col("year_of_event") >= MIDDLE_YEARS, 1).otherwise(2)
@@ -115,8 +116,8 @@ def _in_three_landings(w: Warehouse) -> StreamedWarehouse:
             arriving.write.mode("append").parquet(f"{run}/landing")
             layers.refresh()
         layers.store.add(clean_results(arriving), 2)
-        _landed[w.location] = layers
-    return _landed[w.location]
+        _landed[w] = layers
+    return _landed[w]
 
 
 def _audited_gold(w: Warehouse) -> DataFrame:

@@ -8,6 +8,7 @@ variant share another.
 from __future__ import annotations
 
 import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from stridebase.schema import BRONZE_SCHEMA
 from stridebase.sources import races_csv
 from stridebase.sources.audit import Finding, publish
 from stridebase.sources.files import delete_folder, make_folder
-from stridebase.sources.order_races import races_from_orders
-from stridebase.sources.tables import application_folder, create_schema, drop_table, refresh_table
+from stridebase.sources.order_races import orders_state, races_from_orders
+from stridebase.sources.tables import application_folder, create_schema, drop_table, is_stored, refresh_table
 from stridebase.streaming.incremental import refresh_silver, stream_races, stream_silver
 from stridebase.streaming.states import StateStore, refresh_states
 
@@ -212,6 +213,11 @@ class Warehouse:
             self.__dict__.pop(name, None)
         return {"races": self.races, "silver": self.silver, **self.gold()}
 
+    def stands(self) -> bool:
+        """Whether the schemas, and all that has been stored so far, are still there."""
+        schemas = all(self.spark.catalog.databaseExists(self.schema(layer)) for layer in LAYERS)
+        return schemas and all(is_stored(self.spark, *self._place(name)) for name in STORED if name in self.__dict__)
+
     def drop(self) -> None:
         """Forget all tables and remove their files."""
         for name in STORED:
@@ -291,19 +297,21 @@ class StreamedWarehouse(Warehouse):
         delete_folder(self.spark, f"{self.location}/silver")
 
 
-_open: dict[tuple[str, str], Warehouse] = {}
+_open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}
 
 
-def order_warehouse(spark: SparkSession, directory: str) -> Warehouse:
+def order_warehouse(spark: SparkSession, directory: str | os.PathLike[str]) -> Warehouse:
     """The warehouse of this session over the order tables in ``directory``.
 
-    Within one Spark application the stored layers are shared by all queries; a new
-    application builds its own.
+    Within one Spark application the stored layers are shared by all queries, as long as they are there and
+    the order tables have not been replaced; otherwise they are built anew. A new application builds its own.
     """
-    application = spark.sparkContext.applicationId
-    key = (application, directory)
-    if key not in _open:
+    directory = os.fspath(directory)
+    key = (spark.sparkContext.applicationId, directory)
+    state = orders_state(spark, directory)
+    if key not in _open or _open[key][0] != state or not _open[key][1].stands():
         name = "races_" + hashlib.sha256(directory.encode()).hexdigest()[:12]
         location = f"{application_folder(spark)}/{name}"
-        _open[key] = Warehouse(races_from_orders(spark, directory), location, f"{name}_")
-    return _open[key]
+        spark.catalog.refreshByPath(directory)
+        _open[key] = state, Warehouse(races_from_orders(spark, directory), location, f"{name}_")
+    return _open[key][1]

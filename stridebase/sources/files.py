@@ -29,6 +29,13 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory())
 
 
+def state(spark: SparkSession, path: str) -> tuple[int, ...]:
+    """Modification time, bytes and number of files of a file or folder: what tells whether it has been replaced."""
+    system, target = _open(spark, path)
+    summary = system.getContentSummary(target)
+    return system.getFileStatus(target).getModificationTime(), summary.getLength(), summary.getFileCount()
+
+
 def file_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in a folder, sorted; none if it does not exist."""
     system, path = _open(spark, folder)

@@ -7,6 +7,10 @@ table in one shuffle instead of two.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stridebase.sources import files
+
+TABLES = ("lineitem", "orders", "customer", "part")
+
 RACES_SQL = """
 WITH buyer AS (
   SELECT o.o_orderkey, c.c_custkey AS ck, c.c_nationkey AS nk, c.c_mktsegment AS seg
@@ -52,6 +56,11 @@ FROM s
 def races_from_orders(spark: SparkSession, directory: str) -> DataFrame:
     tables = {
         name: spark.read.parquet(f"{directory}/{name}.parquet")
-        for name in ("lineitem", "orders", "customer", "part")
+        for name in TABLES
     }
     return spark.sql(RACES_SQL, **tables)
+
+
+def orders_state(spark: SparkSession, directory: str) -> tuple[tuple[int, ...], ...]:
+    """Changes when one of the tables that :func:`races_from_orders` reads is replaced."""
+    return tuple(files.state(spark, f"{directory}/{name}.parquet") for name in TABLES)

@@ -101,6 +101,11 @@ def _publish(spark: SparkSession, name: str, version: str, partitioned: bool) ->
         spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
 
+def is_stored(spark: SparkSession, name: str, path: str) -> bool:
+    """Whether the catalog has the table, and ``path`` a version of its files."""
+    return spark.catalog.tableExists(name) and any(v.startswith("v") for v in files.subfolders(spark, path))
+
+
 def is_refreshed_in_full(spark: SparkSession, folder: str) -> bool:
     """Whether :func:`refresh_table` owns the folder or the one above it."""
     above = folder.rstrip("/").rpartition("/")[0]
