@@ -120,17 +120,21 @@ def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
 
 
 _scope: ContextVar[str | None] = ContextVar("scope", default=None)
-_applications: set[str] = set()
+_applications: dict[str, str] = {}
 
 
 def application_folder(spark: SparkSession) -> str:
-    """This application's folder among the shared ones; it goes when the driver ends."""
+    """This application's folder among the shared ones; it goes when the driver ends.
+
+    Applications that start at the same time may have the same id: masters count on their own. So the id alone
+    does not name the folder.
+    """
     application = spark.sparkContext.applicationId
-    folder = f"{shared_folder(spark)}/stridebase/{application}"
     if application not in _applications:
+        folder = f"{shared_folder(spark)}/stridebase/{application}-{uuid.uuid4().hex[:12]}"
         files.delete_at_exit(spark, folder)
-        _applications.add(application)
-    return folder
+        _applications[application] = folder
+    return _applications[application]
 
 
 @contextmanager

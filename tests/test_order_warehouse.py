@@ -1,7 +1,10 @@
 """The stored layers that queries share: they are built anew when they or the order tables are no longer the same."""
 
+import os
 import pathlib
 import shutil
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -62,3 +65,24 @@ def test_queries_after_the_order_tables_are_replaced(spark, orders):
     assert [r["results"] for r in counted(spark, str(orders))] == [5]
     write_orders(spark, orders, 8)
     assert [r["results"] for r in counted(spark, str(orders))] == [8]
+
+
+def test_layers_of_drivers_with_one_application_id(orders, tmp_path):
+    """Masters that start in the same second give the same id; one driver's end must not take the other's layers."""
+    code = f"""
+import subprocess, sys
+import __spark_entry__ as contract
+from stridebase.session import build_session
+settings = {{"spark.test.appId": "local-1", "spark.checkpoint.dir": "{tmp_path}/shared", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}}
+spark = build_session("t", "local[2]", **settings)
+assert spark.sparkContext.applicationId == "local-1"
+counts = contract.queries()["country_counts"](spark, "{orders}")
+if "other" not in sys.argv:
+    subprocess.run([sys.executable, "-c", open(sys.argv[1]).read(), sys.argv[1], "other"], check=True, timeout=120)
+assert [r["results"] for r in counts.collect()] == [5]
+"""
+    script = tmp_path / "driver.txt"
+    script.write_text(code)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ended = subprocess.run([sys.executable, "-c", code, str(script)], capture_output=True, text=True, timeout=240, cwd=root)
+    assert ended.returncode == 0, ended.stderr[-2000:]
