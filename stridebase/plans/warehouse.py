@@ -216,7 +216,7 @@ class Warehouse:
     def stands(self) -> bool:
         """Whether the schemas, and all that has been stored so far, are still there."""
         schemas = all(self.spark.catalog.databaseExists(self.schema(layer)) for layer in LAYERS)
-        return schemas and all(is_stored(self.spark, *self._place(name)) for name in STORED if name in self.__dict__)
+        return schemas and all(is_stored(self.spark, self._place(name)[0]) for name in STORED if name in self.__dict__)
 
     def drop(self) -> None:
         """Forget all tables and remove their files."""

@@ -21,6 +21,9 @@ if TYPE_CHECKING:
 MARKER = "_refreshed_in_full"
 KEPT_VERSIONS = 2  # the published one, and the one that running readers may still hold
 
+# Application and table -> the version that was published last, and its state then.
+_published: dict[tuple[str, str], tuple[str, tuple[int, ...]]] = {}
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -77,6 +80,7 @@ def refresh_table(
     else:
         _publish(spark, name, version, bool(partition_by))
     spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+    _published[spark.sparkContext.applicationId, name] = version, files.state(spark, version)
     for old in [v for v in files.subfolders(spark, path) if v.startswith("v")][:-KEPT_VERSIONS]:
         files.delete_folder(spark, f"{path}/{old}")
     return spark.table(name)
@@ -101,9 +105,11 @@ def _publish(spark: SparkSession, name: str, version: str, partitioned: bool) ->
         spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
 
-def is_stored(spark: SparkSession, name: str, path: str) -> bool:
-    """Whether the catalog has the table, and ``path`` a version of its files."""
-    return spark.catalog.tableExists(name) and any(v.startswith("v") for v in files.subfolders(spark, path))
+def is_stored(spark: SparkSession, name: str) -> bool:
+    """Whether the catalog has a table that this application refreshed, and all its files are still there."""
+    version, state = _published.get((spark.sparkContext.applicationId, name), ("", ()))
+    there = bool(version) and spark.catalog.tableExists(name) and files.exists(spark, version)
+    return there and files.state(spark, version) == state
 
 
 def is_refreshed_in_full(spark: SparkSession, folder: str) -> bool:

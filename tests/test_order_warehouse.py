@@ -61,6 +61,15 @@ def test_queries_after_the_layers_have_gone(spark, orders, gone):
     assert (counted(spark, str(orders)), counted(spark, str(orders), "layer_row_counts")) == before
 
 
+def test_queries_after_files_have_gone_from_their_folders(spark, orders):
+    before = counted(spark, str(orders)), counted(spark, str(orders), "layer_row_counts")
+    w = order_warehouse(spark, str(orders))
+    for folder, _, names in os.walk(w.location.removeprefix("file:")):
+        for name in names:
+            os.remove(f"{folder}/{name}")
+    assert (counted(spark, str(orders)), counted(spark, str(orders), "layer_row_counts")) == before
+
+
 def test_queries_after_the_order_tables_are_replaced(spark, orders):
     assert [r["results"] for r in counted(spark, str(orders))] == [5]
     write_orders(spark, orders, 8)
