@@ -20,6 +20,8 @@ if TYPE_CHECKING:
 
 MARKER = "_refreshed_in_full"
 KEPT_VERSIONS = 2  # the published one, and the one that running readers may still hold
+COMPRESSION = "zstd"  # hashed keys in hexadecimal take half the space that they take with Spark's default
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Application and table -> the version that was published last, and its state then.
 _published: dict[tuple[str, str], tuple[str, tuple[int, ...]]] = {}
@@ -33,6 +35,20 @@ def create_schema(spark: SparkSession, schema: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION {_quoted(location)}")
 
 
+@contextmanager
+def shuffles_end_with_writes(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed inside go when it ends; else they stay until the driver's garbage is collected."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def refresh_table(
     df: DataFrame, name: str, comment: str, path: str, partition_by: tuple[str, ...] = (), audit: Audit | None = None,
     buckets: tuple[int, str] | None = None,
@@ -59,15 +75,16 @@ def refresh_table(
     version = f"{path}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     beside = f"{name}_{uuid.uuid4().hex[:8]}"
     try:
-        if buckets:
-            number, column = buckets
-            rows = df.repartition(number, column).write.bucketBy(number, column).sortBy(column)
-            rows.format("parquet").option("path", version).saveAsTable(beside)
-        else:
-            writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-            writer.parquet(version)
-        if audit:
-            audit.inspect(spark.read.parquet(version))
+        with shuffles_end_with_writes(spark):
+            if buckets:
+                number, column = buckets
+                rows = df.repartition(number, column).write.option("compression", COMPRESSION).bucketBy(number, column).sortBy(column)
+                rows.format("parquet").option("path", version).saveAsTable(beside)
+            else:
+                writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+                writer.parquet(version, compression=COMPRESSION)
+            if audit:
+                audit.inspect(spark.read.parquet(version))
     except BaseException:
         if buckets:
             spark.sql(f"DROP TABLE IF EXISTS {beside}")
