@@ -309,9 +309,10 @@ def order_warehouse(spark: SparkSession, directory: str | os.PathLike[str]) -> W
     directory = os.fspath(directory)
     key = (spark.sparkContext.applicationId, directory)
     state = orders_state(spark, directory)
+    folder = application_folder(spark)
     if key not in _open or _open[key][0] != state or not _open[key][1].stands():
         name = "races_" + hashlib.sha256(directory.encode()).hexdigest()[:12]
-        location = f"{application_folder(spark)}/{name}"
+        location = f"{folder}/{name}"
         spark.catalog.refreshByPath(directory)
         _open[key] = state, Warehouse(races_from_orders(spark, directory), location, f"{name}_")
     return _open[key][1]

@@ -153,10 +153,13 @@ def application_folder(spark: SparkSession) -> str:
     does not name the folder.
     """
     application = spark.sparkContext.applicationId
+    shared = shared_folder(spark)  # each time: executors may have joined that do not reach it
     if application not in _applications:
-        folder = f"{shared_folder(spark)}/stridebase/{application}-{uuid.uuid4().hex[:12]}"
+        folder = f"{shared}/stridebase/{application}-{uuid.uuid4().hex[:12]}"
         files.delete_at_exit(spark, folder)
         _applications[application] = folder
+    elif not _applications[application].startswith(f"{shared}/"):
+        raise RuntimeError(f"executors have joined that do not share {_applications[application]}")
     return _applications[application]
 
 
@@ -183,7 +186,8 @@ def cut_lineage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     are columnar. They belong to the run of :func:`intermediates` around the call, or else to the application.
     """
     spark = df.sparkSession
-    path = f"{_scope.get() or application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = application_folder(spark)
+    path = f"{_scope.get() or folder}/{label}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
