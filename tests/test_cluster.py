@@ -51,24 +51,14 @@ ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen
 
 RUN = """
 import json
-from concurrent.futures import ThreadPoolExecutor
 import __spark_entry__ as contract
 from tests.test_cluster import plain
-
-def answer(*names):
-    found = {{}}
-    for name in names:
-        try:
-            found[name] = plain(contract.queries()[name](spark, {tables!r}))
-        except Exception as error:
-            found[name] = f"{{type(error).__name__}}: {{error}}"
-    return found
-
-alone = [n for n in {names!r} if n == "pipeline" or n.startswith("op")]
-layered = [n for n in {names!r} if n not in alone]  # over the same stored layers
-with ThreadPoolExecutor(4) as pool:
-    jobs = [pool.submit(answer, *layered), *(pool.submit(answer, name) for name in alone)]
-    found = {{name: rows for job in jobs for name, rows in job.result().items()}}
+found = {{}}
+for name in {names!r}:
+    try:
+        found[name] = plain(contract.queries()[name](spark, {tables!r}))
+    except Exception as error:
+        found[name] = f"{{type(error).__name__}}: {{error}}"
 with open({answers!r}, "w") as out:
     json.dump(found, out)
 """
